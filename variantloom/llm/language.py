@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -127,3 +128,16 @@ def predict_language(docs: DataFrame, profiles: list[tuple[str, list[int]]], siz
 def held_out(doc_id: str = "doc_id", folds: int = 3, fold: int = 1):
     """True for the documents that training must not see."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == fold
+
+
+def keep_languages(docs: DataFrame, profiles: list[tuple[str, list[int]]], size: int = 400, min_score: float = 0.1) -> DataFrame:
+    """The rows, with all their columns, whose text has a language: neither `und` nor less alike than min_score."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Profiles(profiles, size)
+        for b in batches:
+            found = [model.predict(t.as_py()) for t in b.column(text)]
+            yield b.filter(pa.array([lang != "und" and score >= min_score for lang, score in found], pa.bool_()))
+
+    text = docs.columns.index("text")
+    return docs.mapInArrow(run, docs.schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, pieces, quality, token_counts, toxicity, warc
+from . import chat, decontaminate, language, neardup, pieces, quality, substrings, token_counts, toxicity, warc
 from .shared import table
 
 
@@ -20,6 +20,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, weights, bias).select("doc_id", out.alias("held_out"), "score", "predicted")
 
 
+def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = pieces.decode(pieces.encode(table(spark, sf_dir, "documents")))
     return back.select("doc_id", F.size("piece_ids").alias("n_pieces"), "piece_ids", F.expr("decoded <=> text").alias("round_trip"))
@@ -53,7 +61,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    own = [op1_token_counts, op2_toxicity, op5_sentencepiece, op6_quality_rules, op7_language_id, op8_chat_formatting, op9_decontamination, op10_warc]
+    own = [op1_token_counts, op2_toxicity, op3_minhash_neardup, op4_suffix_dedup, op5_sentencepiece, op6_quality_rules, op7_language_id, op8_chat_formatting, op9_decontamination, op10_warc]
     return {f.__name__: f for f in own}
 
 
