@@ -22,6 +22,11 @@ def attach_summary_stats(members: DataFrame, stats: DataFrame) -> DataFrame:
     return found.where("_ok").withColumn("z", scoring.z_from_p(F.col("pvalue"), F.col("beta"))).drop("_n", "_ok")
 
 
+def _keyed(ld: DataFrame):
+    """LD pairs grouped by cluster, under a name of its own as both sides of a cogroup may stem from one table."""
+    return ld.select(F.col("cluster_id").alias("_cluster"), "rsid_a", "rsid_b", "r").groupBy("_cluster")
+
+
 def impute_z(members: DataFrame, ld: DataFrame, shrink: float = 0.1, rcond: float = 1e-4, most: int = 5_000) -> DataFrame:
     """Members (cluster_id, rsid, z, beta; null where unknown) and ld (cluster_id, rsid_a, rsid_b, r) -> all with z and beta.
 
@@ -44,13 +49,14 @@ def impute_z(members: DataFrame, ld: DataFrame, shrink: float = 0.1, rcond: floa
         k = own["z"].notna().to_numpy()
         s = (1 - shrink) * np.nan_to_num(s) + shrink * np.eye(len(own))
         weights = s[np.ix_(~k, k)] @ np.linalg.pinv(s[np.ix_(k, k)], rcond)
+        out = {c: own[c].to_numpy(object) for c in ("cluster_id", "rsid")}
         for c in ("z", "beta"):
             x = own[c].fillna(0.0).to_numpy(float)
             x[~k] = weights @ x[k]
-            own[c] = x
-        return own.assign(imputed=~k)
+            out[c] = x
+        return pd.DataFrame(out | {"imputed": ~k})
 
-    return left.groupBy("cluster_id").cogroup(ld.select("cluster_id", "rsid_a", "rsid_b", "r").groupBy("cluster_id")).applyInPandas(
+    return left.groupBy("cluster_id").cogroup(_keyed(ld)).applyInPandas(
         lambda a, b: fill(a, b) if len(a) else pd.DataFrame({c: [] for c in ("cluster_id", "rsid", "z", "beta", "imputed")}),
         f"cluster_id {dict(members.dtypes)['cluster_id']}, rsid string, z double, beta double, imputed boolean")
 
@@ -111,7 +117,7 @@ def _large_sets(base: DataFrame, ld: DataFrame, n: int, kmax: int, v: float) ->
                 rows.append((own["cluster_id"].iloc[0], names[i].tolist(), k, len(own), set_log_bf(z[i], beta[i], cov[np.ix_(i, i)], n, v)))
         return pd.DataFrame(rows, columns=["cluster_id", "snps", "size", "m", "log_bf"])
 
-    return base.groupBy("cluster_id").cogroup(ld.select("cluster_id", "rsid_a", "rsid_b", "r").groupBy("cluster_id")).applyInPandas(
+    return base.groupBy("cluster_id").cogroup(_keyed(ld)).applyInPandas(
         lambda a, b: sets(a, b) if len(a) else pd.DataFrame({c: [] for c in ("cluster_id", "snps", "size", "m", "log_bf")}),
         f"cluster_id {dict(base.dtypes)['cluster_id']}, snps array<string>, size int, m long, log_bf double")
 

@@ -44,22 +44,16 @@ def ld_stats(counts: DataFrame, rounds: int = 100) -> DataFrame:
     step = ("aggregate(sequence(1, {k}), named_struct('t', 0.5D, 'p', 2.0D), (s, i) -> if(abs(s.t - s.p) <= 1e-4D, s, named_struct('t', "
             "coalesce(try_divide((_ax + s.t * _h) * (_xb + s.t * _h), (_ab + (1 - s.t) * _h) * (_xx + (1 - s.t) * _h) + (_ax + s.t * _h) * (_xb + s.t * _h)), 0.5D), 'p', s.t)))")
     theta = base.withColumn("_t", F.expr(f"if(n11 = 0, 0.5D, ({step.format(k=rounds)}).t)"))
-    f = theta.withColumns({
-        "_fa": F.expr("try_divide(2 * (n20 + n21 + n22) + n10 + n11 + n12, n)"), "_fb": F.expr("try_divide(2 * (n02 + n12 + n22) + n01 + n11 + n21, n)"),
-        "_d": F.expr("try_divide(_ab + (1 - _t) * _h, n)")})
-    f = f.withColumn("_d", F.expr("_d - _fa * _fb")).withColumn("_v", F.expr("_fa * _fb * (1 - _fa) * (1 - _fb)"))
-    most = F.expr("if(_d < 0, -least(_fa * _fb, (1 - _fa) * (1 - _fb)), least(_fa * (1 - _fb), (1 - _fa) * _fb))")
-    half = "(n / 2)"
-    sums = {
-        "_sa": "2 * (n20 + n21 + n22) + n10 + n11 + n12", "_sb": "2 * (n02 + n12 + n22) + n01 + n11 + n21",
-        "_qa": "4 * (n20 + n21 + n22) + n10 + n11 + n12", "_qb": "4 * (n02 + n12 + n22) + n01 + n11 + n21", "_p": "4 * n22 + 2 * (n12 + n21) + n11"}
-    f = f.withColumns({k: F.expr(v) for k, v in sums.items()})
-    r = F.expr(f"try_divide({half} * _p - _sa * _sb, sqrt(({half} * _qa - _sa * _sa) * ({half} * _qb - _sb * _sb)))")
-    out = f.withColumns({
-        "r2": F.expr("if(n < 1, null, if(_v > 0, least(1.0D, _d * _d / _v), 0.0D))"),
-        "d_prime": F.when(F.col("n") >= 1, F.least(F.lit(1.0), F.coalesce(F.try_divide(F.col("_d"), most), F.lit(0.0)))),
-        "r": F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))})
-    return out.drop(*[c for c in out.columns if c.startswith("_")])
+    sums = ("named_struct('t', _t, 'sa', 2 * (n20 + n21 + n22) + n10 + n11 + n12, 'sb', 2 * (n02 + n12 + n22) + n01 + n11 + n21, 'qa', 4 * (n20 + n21 + n22) + n10 + n11 + n12, "
+            "'qb', 4 * (n02 + n12 + n22) + n01 + n11 + n21, 'p', 4 * n22 + 2 * (n12 + n21) + n11)")
+    # each step is bound to a name in a one-element array, so that what several formulas use is computed once a row
+    freq = "named_struct('d', try_divide(_ab + (1 - s.t) * _h, n) - try_divide(s.sa, n) * try_divide(s.sb, n), 'fa', try_divide(s.sa, n), 'fb', try_divide(s.sb, n), 's', s)"
+    most = "named_struct('f', f, 'v', f.fa * f.fb * (1 - f.fa) * (1 - f.fb), 'm', if(f.d < 0, -least(f.fa * f.fb, (1 - f.fa) * (1 - f.fb)), least(f.fa * (1 - f.fb), (1 - f.fa) * f.fb)))"
+    out = ("named_struct('r2', if(n < 1, null, if(g.v > 0, least(1.0D, g.f.d * g.f.d / g.v), 0.0D)), 'd_prime', if(n < 1, null, least(1.0D, coalesce(try_divide(g.f.d, g.m), 0.0D))), "
+           "'r', try_divide(n / 2 * g.f.s.p - g.f.s.sa * g.f.s.sb, sqrt((n / 2 * g.f.s.qa - g.f.s.sa * g.f.s.sa) * (n / 2 * g.f.s.qb - g.f.s.sb * g.f.s.sb))))")
+    found = theta.withColumn("_o", F.expr(f"transform(transform(transform(array({sums}), s -> {freq}), f -> {most}), g -> {out})[0]"))
+    done = found.withColumns({"r2": F.col("_o.r2"), "d_prime": F.col("_o.d_prime"), "r": F.expr("if(_o.r is null, null, greatest(-1.0D, least(1.0D, _o.r)))")})
+    return done.drop(*[c for c in done.columns if c.startswith("_")])
 
 
 def prune_weak(stats: DataFrame, least_haplotypes: int = 40, r2: float = 0.05) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.tables import stored
 from ..operators import evidence, intervals, ld
 from .fixtures import VIEWS, oracle, sql, view
 
@@ -62,7 +63,8 @@ def packed(s: SparkSession, d: str) -> DataFrame:
 
 
 def window(s: SparkSession, d: str) -> DataFrame:
-    return ld.ld_window(view(s, d, "fx_lead"), packed(s, d))
+    """LD sets of the leads, written once: most plans read them several times."""
+    return stored(ld.ld_window(view(s, d, "fx_lead"), packed(s, d)), "sets")
 
 
 def cis(s: SparkSession, d: str) -> DataFrame:

@@ -199,7 +199,7 @@ RANGES = REACH + ", mem AS (SELECT DISTINCT lab.cluster_id, w.rsid, w.chrom, w.p
 
 
 def _ranges(s, d):
-    w = stored(window(s, d), "sets")
+    w = window(s, d)
     lab = stored(cluster.merge_preclusters(view(s, d, "fx_lead"), w), "labelled")
     m = cluster.cluster_members(lab, w)
     return lab, m, cluster.cluster_ranges(lab, m)
