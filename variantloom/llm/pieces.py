@@ -148,8 +148,10 @@ def decode(encoded: DataFrame, model_path: str = MODEL) -> DataFrame:
         decode_ids = _model(data.value).decode
         for b in _slices(batches):
             ids = b.column(0)
-            values, bounds = ids.values.to_numpy(zero_copy_only=False).tolist(), ids.offsets.to_numpy().tolist()
-            texts = [decode_ids(values[s:e]) if ok else None for s, e, ok in zip(bounds, bounds[1:], ids.is_valid().to_pylist())]
+            bounds = ids.offsets.to_numpy()
+            values = ids.values.slice(bounds[0], bounds[-1] - bounds[0]).to_numpy(zero_copy_only=False)  # of these rows only
+            ends = (bounds - bounds[0]).tolist()
+            texts = [decode_ids(values[s:e].tolist()) if ok else None for s, e, ok in zip(ends, ends[1:], ids.is_valid().to_pylist())]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, "decoded"])
 
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in src.columns) + ", decoded string"
