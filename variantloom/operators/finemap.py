@@ -27,6 +27,10 @@ def _keyed(ld: DataFrame):
     return ld.select(F.col("cluster_id").alias("_cluster"), "rsid_a", "rsid_b", "r").groupBy("_cluster")
 
 
+def _nothing(**kinds) -> pd.DataFrame:
+    return pd.DataFrame({c: pd.Series([], dtype=k) for c, k in kinds.items()})
+
+
 def impute_z(members: DataFrame, ld: DataFrame, shrink: float = 0.1, rcond: float = 1e-4, most: int = 5_000) -> DataFrame:
     """Members (cluster_id, rsid, z, beta; null where unknown) and ld (cluster_id, rsid_a, rsid_b, r) -> all with z and beta.
 
@@ -57,7 +61,7 @@ def impute_z(members: DataFrame, ld: DataFrame, shrink: float = 0.1, rcond: floa
         return pd.DataFrame(out | {"imputed": ~k})
 
     return left.groupBy("cluster_id").cogroup(_keyed(ld)).applyInPandas(
-        lambda a, b: fill(a, b) if len(a) else pd.DataFrame({c: [] for c in ("cluster_id", "rsid", "z", "beta", "imputed")}),
+        lambda a, b: fill(a, b) if len(a) else _nothing(cluster_id=object, rsid=object, z=float, beta=float, imputed=bool),
         f"cluster_id {dict(members.dtypes)['cluster_id']}, rsid string, z double, beta double, imputed boolean")
 
 
@@ -118,7 +122,7 @@ def _large_sets(base: DataFrame, ld: DataFrame, n: int, kmax: int, v: float) ->
         return pd.DataFrame(rows, columns=["cluster_id", "snps", "size", "m", "log_bf"])
 
     return base.groupBy("cluster_id").cogroup(_keyed(ld)).applyInPandas(
-        lambda a, b: sets(a, b) if len(a) else pd.DataFrame({c: [] for c in ("cluster_id", "snps", "size", "m", "log_bf")}),
+        lambda a, b: sets(a, b) if len(a) else _nothing(cluster_id=object, snps=object, size="int32", m="int64", log_bf=float),
         f"cluster_id {dict(base.dtypes)['cluster_id']}, snps array<string>, size int, m long, log_bf double")
 
 
