@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import WordHash, mixed, stored, text_chunks, words_of
+from .shared import WordHash, bounded_batches, mixed, stored, text_chunks, words_of
 
 #: Seven of eleven tokens count; the zeros may differ.
 MASKS = ("11101100101", "10110111001", "11011000111")
@@ -71,7 +71,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_tokens: int = 13, mi
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id is not null and text is not null").groupBy("item_id").agg(F.min("text").alias("text"))
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("text is not null")
+    docs = bounded_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("text is not null")
     size = items.agg(F.sum(F.length("text")), F.count("*")).first()
     if (size[0] or 0) <= 2 * max_broadcast_tokens:  # a token and what parts it take two characters at least
         return _by_array(spark, docs, items, min_tokens, min_share, masks)

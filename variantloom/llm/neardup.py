@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import WordHash, components, mixed, shingles, stored, text_chunks, words_of
+from .shared import WordHash, bounded_batches, components, mixed, shingles, stored, text_chunks, words_of
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -139,7 +139,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, ban
     of its own, so that no task grows with a component. Texts without words (null, empty) are classes of their own;
     so are rows without doc_id, with a null class. Rows that share a doc_id share a class. Other columns are ignored.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sk = stored(sketch(docs, width, bands, rows), "sketch")
     full = sk.where("size(bands) > 0 and doc_id is not null")
     reps = stored(full.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "reps")

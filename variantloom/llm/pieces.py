@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import bounded_batches
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: A marked word: spaces (the marks) and what follows up to the next space or line end.
 MARKED = re.compile(r" +[^ \n]*|[^ \n]+|\n")
@@ -105,7 +107,7 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.R
             yield b.slice(start, rows)
 
 
-def encode(docs: DataFrame, model_path: str = MODEL, cache: int = 150_000) -> DataFrame:
+def encode(docs: DataFrame, model_path: str = MODEL, cache: int = 100_000) -> DataFrame:
     """(doc_id, text) -> doc_id, text, piece_ids, one row per input row; other columns are ignored.
 
     A space is put before each text (decoding takes it away), so "" has the ids of one space; a null text has null ids.
@@ -130,7 +132,7 @@ def encode(docs: DataFrame, model_path: str = MODEL, cache: int = 150_000) -> Da
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.ListArray.from_arrays(offsets, values, mask=null)], ["doc_id", "text", "piece_ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+    return bounded_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, text string, piece_ids array<int>")
 
 
@@ -155,4 +157,4 @@ def decode(encoded: DataFrame, model_path: str = MODEL) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, "decoded"])
 
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in src.columns) + ", decoded string"
-    return src.mapInArrow(run, schema)
+    return bounded_batches(src).mapInArrow(run, schema)

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import re
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from ..functions.tables import shared_dir, stored
+from ..operators.graph import components
+
+__all__ = ["WORD", "WordHash", "bounded_batches", "components", "mixed", "shared_dir", "shingles", "stored", "table", "text_chunks", "words_of"]
 
 WORD = re.compile(r"\w+")
 
@@ -20,29 +22,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="variantloom-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
-def stored(df: DataFrame, name: str = "t") -> DataFrame:
-    """Write df as a table in the shared folder and read it back: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def bounded_batches(df: DataFrame, rows: int = 512) -> DataFrame:
+    """df, after the session has been told to send at most `rows` rows at a time to Python: texts can be long, and a
+    batch is held several times over by the executor and its workers. The setting stays, as plans are made later."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= rows:
+        conf.set(name, str(rows))
+    return df
 
 
 class WordHash(dict):
     """word -> 64-bit hash; emptied before it outgrows its bound."""
 
-    bound = 400_000
+    bound = 200_000
 
     def __missing__(self, word: str) -> int:
         self[word] = value = xxhash.xxh3_64_intdigest(word)
@@ -93,40 +85,3 @@ def text_chunks(batches: Iterator[pd.DataFrame], chars: int = 4_000_000, col: st
             np.r_[0, np.flatnonzero(np.diff(cut)) + 1], np.r_[np.flatnonzero(np.diff(cut)) + 1, len(b)], strict=True
         ):
             yield b.iloc[int(start) : int(stop)]
-
-
-def components(edges: DataFrame, name: str = "cc") -> DataFrame:
-    """Connected components of edges (a, b): rows (node, label), label the least node; only nodes with an edge.
-
-    Every round hooks each node to its least smaller neighbour, jumps pointers until all point to roots, and replaces
-    the edges by edges between roots. Groups shrink to one root, whatever their size, by aggregates and joins alone;
-    the driver sees counts only. Nulls and self links are dropped.
-    """
-    cur = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), name)
-    assign = None
-    while cur.limit(1).count():
-        hook = stored(cur.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root")), name)
-        while True:
-            up = hook.select(F.col("node").alias("root"), F.col("root").alias("above"))
-            hook = stored(hook.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root"), F.col("above").isNotNull().alias("moved")), name)
-            moved = hook.where("moved").limit(1).count()
-            hook = hook.select("node", "root")
-            if not moved:
-                break
-        ha = hook.select(F.col("node").alias("a"), F.col("root").alias("ra"))
-        hb = hook.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-        cur = stored(
-            cur.join(ha, "a", "left").join(hb, "b", "left")
-            .select(F.coalesce("ra", "a").alias("x"), F.coalesce("rb", "b").alias("y"))
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a < b").distinct(), name)
-        if assign is None:
-            assign = hook
-        else:
-            up = hook.select(F.col("node").alias("root"), F.col("root").alias("above"))
-            moved = assign.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
-            assign = stored(moved.unionByName(hook).groupBy("node").agg(F.min("root").alias("root")), name)
-    if assign is None:
-        return cur.select(F.col("a").alias("node"), F.col("b").alias("label"))
-    out = assign.select("node", F.col("root").alias("label"))
-    roots = out.select(F.col("label").alias("node"), "label").distinct()
-    return out.unionByName(roots).distinct()

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import mixed, stored, text_chunks
+from .shared import bounded_batches, mixed, stored, text_chunks
 
 # --- suffix arrays ---------------------------------------------------------------------------------------------------
 
@@ -265,7 +265,7 @@ def remove_repeats(docs: DataFrame, width: int = 200, shard: int = 512, shard_by
     """
     if clash := {"doc_id", "text", *RESULT_NAMES}.intersection(carry):
         raise ValueError(f"columns to carry have names of results: {sorted(clash)}")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    rows = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                        F.struct(*carry).alias("carried") if carry else F.lit(None).cast("int").alias("carried"))
     rows = rows.withColumn("key", F.xxhash64("text"))
     found = stored(_anchor_rows(rows.where(F.octet_length("text") >= width).select("doc_id", "key", "text"), width), "anchors")

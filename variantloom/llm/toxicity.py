@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import text_chunks, words_of
+from .shared import bounded_batches, stored, text_chunks, words_of
 
 
 def features(text: str | None) -> set[str]:
@@ -61,14 +61,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 30_000, n_f
     total = known.count()
     if total > max_rows:
         known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1e6 * max_rows / total))
-    sample = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(known), "doc_id")
+    sample = bounded_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(known), "doc_id")
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in text_chunks(batches):
             yield pd.DataFrame({"doc_id": b["doc_id"], "toxic": b["toxic"], "words": [sorted(features(t)) for t in b["text"]]})
 
-    from .shared import stored
-
     found = stored(sample.mapInPandas(words, "doc_id long, toxic int, words array<string>"), "toxic")
     n_pos, n_all = found.agg(F.sum("toxic"), F.count("*")).first()
     n_pos = n_pos or 0
@@ -104,5 +102,5 @@ def score_toxicity(docs: DataFrame, weights: dict[str, float], bias: float) -> D
             score = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy(), "score": score, "predicted": (score >= 0.5).astype(np.int32)})
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(
+    return bounded_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(
         run, "doc_id long, score double, predicted int")
