@@ -24,7 +24,7 @@ class NonNegativePU:
     negative the step climbs it instead, so that the fit cannot push the unlabelled risk below zero.
     """
 
-    def __init__(self, prior: float, steps: int = 300, rate: float = 0.05, decay: float = 1e-4):
+    def __init__(self, prior: float, steps: int = 600, rate: float = 0.05, decay: float = 1e-5):
         self.prior, self.steps, self.rate, self.decay = prior, steps, rate, decay
 
     def fit(self, rows: np.ndarray, cols: np.ndarray, positive: np.ndarray, n_features: int) -> NonNegativePU:
@@ -49,13 +49,13 @@ class NonNegativePU:
         return self
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 30_000, n_features: int = 2_000, min_df: int = 3) -> tuple[dict[str, float], float]:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 30_000, n_features: int = 2_000, min_df: int = 3, min_z: float = 2.5) -> tuple[dict[str, float], float]:
     """(doc_id, text) and (doc_id, toxic) -> word weights and bias.
 
     A bounded sample is used: about `max_rows` labelled rows at most, chosen by a hash of doc_id. Positives are its
     toxic rows; the unlabelled rows are all of the sample with the label hidden, and the class prior is the share of
-    toxic rows. Of the words in at least `min_df` rows, the `n_features` whose presence differs most between the two
-    are used. The driver receives these counts and the sample's features only. Without positive rows every weight is 0.
+    toxic rows. Of the words in at least `min_df` rows, those whose presence among the positives differs from that
+    among all by `min_z` standard errors or more are used, `n_features` at most. The driver receives these counts and the sample's features only. Without positive rows every weight is 0.
     """
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     total = known.count()
@@ -74,7 +74,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 30_000, n_f
         return {}, -10.0
     df = found.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.sum("toxic").alias("p"), F.count("*").alias("u")).where(F.col("u") >= min_df)
     a, b = F.col("p") / F.lit(float(n_pos)), F.col("u") / F.lit(float(n_all))
-    top = df.withColumn("gap", F.abs(a - b) / F.sqrt(b * (1 - b) + F.lit(1e-6))).orderBy(F.desc("gap"), "word").limit(n_features)
+    z = F.abs(a - b) / F.sqrt(b * (1 - b) + F.lit(1e-9)) * F.sqrt(F.lit(float(n_pos)))
+    top = df.withColumn("gap", z).where(F.col("gap") >= min_z).orderBy(F.desc("gap"), "word").limit(n_features)
     vocab = sorted(r["word"] for r in top.select("word").collect())
     at = {w: i for i, w in enumerate(vocab)}
     keep = F.array(*[F.lit(w) for w in vocab]) if vocab else F.array().cast("array<string>")
