@@ -31,8 +31,8 @@ def _haplotypes() -> tuple[Column, ...]:
     return (2 * n["22"] + n["12"] + n["21"], 2 * n["00"] + n["10"] + n["01"], 2 * n["20"] + n["10"] + n["21"], 2 * n["02"] + n["12"] + n["01"])
 
 
-def ld_stats(counts: DataFrame, rounds: int = 100) -> DataFrame:
-    """Pair counts n00 .. n22 -> adds n (haplotypes), r2, d_prime and r.
+def ld_stats(counts: DataFrame, rounds: int = 100, least_r2: float | None = None) -> DataFrame:
+    """Pair counts n00 .. n22 -> adds n (haplotypes), r2, d_prime and r; with least_r2 only pairs of that r2 or more.
 
     theta, the share of double heterozygotes in opposite phase, is estimated by expectation maximisation from 0.5 until
     it moves by at most 1e-4. r2 and d_prime come from D and are capped at 1; r is Pearson's of the dosages, in -1 .. 1,
@@ -43,6 +43,7 @@ def ld_stats(counts: DataFrame, rounds: int = 100) -> DataFrame:
     base = base.withColumns({"n": F.expr("cast(_ab + _xx + _ax + _xb + 2 * n11 as int)"), "_h": F.col("n11").cast("double")})
     step = ("aggregate(sequence(1, {k}), named_struct('t', 0.5D, 'p', 2.0D), (s, i) -> if(abs(s.t - s.p) <= 1e-4D, s, named_struct('t', "
             "coalesce(try_divide((_ax + s.t * _h) * (_xb + s.t * _h), (_ab + (1 - s.t) * _h) * (_xx + (1 - s.t) * _h) + (_ax + s.t * _h) * (_xb + s.t * _h)), 0.5D), 'p', s.t)))")
+    # A filter on r2 after the fact would be pushed below these columns and evaluate them all twice: a generator is not.
     theta = base.withColumn("_t", F.expr(f"if(n11 = 0, 0.5D, ({step.format(k=rounds)}).t)"))
     sums = ("named_struct('t', _t, 'sa', 2 * (n20 + n21 + n22) + n10 + n11 + n12, 'sb', 2 * (n02 + n12 + n22) + n01 + n11 + n21, 'qa', 4 * (n20 + n21 + n22) + n10 + n11 + n12, "
             "'qb', 4 * (n02 + n12 + n22) + n01 + n11 + n21, 'p', 4 * n22 + 2 * (n12 + n21) + n11)")
@@ -51,7 +52,9 @@ def ld_stats(counts: DataFrame, rounds: int = 100) -> DataFrame:
     most = "named_struct('f', f, 'v', f.fa * f.fb * (1 - f.fa) * (1 - f.fb), 'm', if(f.d < 0, -least(f.fa * f.fb, (1 - f.fa) * (1 - f.fb)), least(f.fa * (1 - f.fb), (1 - f.fa) * f.fb)))"
     out = ("named_struct('r2', if(n < 1, null, if(g.v > 0, least(1.0D, g.f.d * g.f.d / g.v), 0.0D)), 'd_prime', if(n < 1, null, least(1.0D, coalesce(try_divide(g.f.d, g.m), 0.0D))), "
            "'r', try_divide(n / 2 * g.f.s.p - g.f.s.sa * g.f.s.sb, sqrt((n / 2 * g.f.s.qa - g.f.s.sa * g.f.s.sa) * (n / 2 * g.f.s.qb - g.f.s.sb * g.f.s.sb))))")
-    found = theta.withColumn("_o", F.expr(f"transform(transform(transform(array({sums}), s -> {freq}), f -> {most}), g -> {out})[0]"))
+    one = f"transform(transform(transform(array({sums}), s -> {freq}), f -> {most}), g -> {out})"
+    keep = "" if least_r2 is None else f" o.r2 >= {least_r2}D"
+    found = theta.withColumn("_o", F.expr(f"explode(filter({one}, o -> {keep}))") if keep else F.expr(f"{one}[0]"))
     done = found.withColumns({"r2": F.col("_o.r2"), "d_prime": F.col("_o.d_prime"), "r": F.expr("if(_o.r is null, null, greatest(-1.0D, least(1.0D, _o.r)))")})
     return done.drop(*[c for c in done.columns if c.startswith("_")])
 
@@ -78,8 +81,8 @@ def ld_window(leads: DataFrame, packed: DataFrame, window: int = 500_000, r2: fl
     """lead, rsid, chrom, pos, r2: the sites within window / 2 of each lead (rsid, chrom, pos) with r2 or more to it.
 
     A lead is always in its own set, with r2 1, also if the panel lacks it."""
-    stats = ld_stats(genotype_pair_counts(band_pairs(leads, packed, window // 2).where("a.rsid != b.rsid")))
-    near = stats.where(F.col("r2") >= r2).select(F.col("a.rsid").alias("lead"), "b.rsid", "b.chrom", "b.pos", "r2")
+    stats = ld_stats(genotype_pair_counts(band_pairs(leads, packed, window // 2).where("a.rsid != b.rsid")), least_r2=r2)
+    near = stats.select(F.col("a.rsid").alias("lead"), "b.rsid", "b.chrom", "b.pos", "r2")
     own = leads.select(F.col("rsid").alias("lead"), "rsid", "chrom", "pos", F.lit(1.0).alias("r2")).distinct()
     return near.unionByName(own)
 

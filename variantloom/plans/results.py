@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..functions import scoring
+from ..functions.tables import stored
 from ..operators import alleles, checks, cluster, evidence, filters, finemap, intervals, ld, output, report
 from .base import F, cis, packed, query, reg, rounded, sql, v2g, view, window
 
@@ -253,9 +254,10 @@ COLOC = f"""WITH c AS (SELECT * FROM ({MEMBERS}) x WHERE m > 1), h AS (SELECT c.
 
 
 def _coloc(s, d):
-    m = _members(s, d)
+    m = stored(_members(s, d), "members")
     m = m.join(m.groupBy("cluster_id").count().where("count > 1"), "cluster_id", "left_semi")
-    return finemap.colocalise(_posterior(s, d), finemap.eqtl_configurations(m, sql(s, d, EQ)))
+    gwas = finemap.posterior(finemap.configurations(m, None, 1000, 1))
+    return finemap.colocalise(gwas, finemap.eqtl_configurations(m, stored(sql(s, d, EQ), "eqtl")))
 
 
 @query("colocalise", COLOC + " SELECT cluster_id, gene_id, tissue, rsid AS snps, round(joint, 6) AS joint, round(sum(joint) OVER (PARTITION BY cluster_id, gene_id, tissue), 6) AS clpp FROM j")
