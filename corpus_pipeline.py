@@ -39,18 +39,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts repeated 200-byte strings out of the texts (and what is left of a character); drops texts cut to nothing."""
     rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    cut = substrings.remove_repeats(docs.select("doc_id", "text", *(F.col(c).alias(f"_{c}") for c in rest)), carry=tuple(f"_{c}" for c in rest))
-    text = F.col("kept_text")
-    kept = cut.where("n_removed = 0 or n_removed < n_bytes").withColumn("kept_text", _characters("kept"))
-    return kept.select(*(text.alias("text") if c == "text" else F.length(text).cast("long").alias(c) if c == "n_chars" else F.col(c) if c == "doc_id" else F.col(f"_{c}").alias(c) for c in docs.columns))
-
-
-def _characters(col: str):
-    @F.pandas_udf("string")
-    def whole(x):
-        return x.map(lambda b: bytes(b).decode("utf-8", "ignore"))
-
-    return whole(col)
+    cut = substrings.remove_repeats(docs.select("doc_id", "text", *(F.col(c).alias(f"_{c}") for c in rest)), carry=tuple(f"_{c}" for c in rest), as_text=True)
+    kept = cut.where("n_removed = 0 or n_removed < n_bytes")
+    return kept.select(*(F.col("kept").alias("text") if c == "text" else F.length("kept").cast("long").alias(c) if c == "n_chars" else F.col(c) if c == "doc_id" else F.col(f"_{c}").alias(c) for c in docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,8 +51,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def sentence_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_pieces, piece_ids, and whether decoding them gives the text back."""
-    back = pieces.decode(pieces.encode(docs))
-    return back.select("doc_id", F.size("piece_ids").alias("n_pieces"), "piece_ids", F.expr("decoded <=> text").alias("round_trip"))
+    return pieces.encode(docs, verify=True).select("doc_id", F.size("piece_ids").alias("n_pieces"), "piece_ids", "round_trip")
 
 
 STAGES = [

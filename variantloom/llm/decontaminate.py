@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import WordHash, bounded_batches, mixed, stored, text_chunks, words_of
+from .shared import WordHash, bounded_batches, mixed, stored, text_chunks, tidy, words_of
 
 #: Seven of eleven tokens count; the zeros may differ.
 MASKS = ("11101100101", "10110111001", "11011000111")
@@ -116,7 +116,7 @@ def _by_array(spark, docs: DataFrame, items: DataFrame, min_tokens: int, min_sha
                     rows += _verified(doc_id, doc, pairs, tokens, min_tokens, min_share)
             yield pd.DataFrame(rows, columns=[x.split()[0] for x in HIT.split(", ")])
 
-    return docs.mapInPandas(run, HIT)
+    return docs.mapInPandas(tidy(run), HIT)
 
 
 def _by_join(docs: DataFrame, items: DataFrame, min_tokens: int, min_share: float, masks: tuple[str, ...]) -> DataFrame:
@@ -141,8 +141,8 @@ def _by_join(docs: DataFrame, items: DataFrame, min_tokens: int, min_share: floa
 
     docs = stored(docs.withColumn("row", F.monotonically_increasing_id()), "docs")
     items = items.withColumn("row", F.lit(0).cast("long"))
-    left = docs.mapInPandas(seeds("doc_id", False), "row long, doc_id long, seed long, doc_at long")
-    right = items.mapInPandas(seeds("item_id", True), "row long, item_id long, seed long, item_at long").drop("row")
+    left = docs.mapInPandas(tidy(seeds("doc_id", False)), "row long, doc_id long, seed long, doc_at long")
+    right = items.mapInPandas(tidy(seeds("item_id", True)), "row long, item_id long, seed long, item_at long").drop("row")
     hits = left.join(right, "seed").select("row", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct()
     pairs = hits.join(docs, "row").join(items.select("item_id", F.col("text").alias("item")), "item_id")
 
@@ -156,6 +156,6 @@ def _by_join(docs: DataFrame, items: DataFrame, min_tokens: int, min_share: floa
             yield pd.DataFrame(rows, columns=["row", *(x.split()[0] for x in HIT.split(", "))])
 
     best = F.max(F.struct("matched", (-F.col("length")).alias("n"), (-F.col("doc_start")).alias("a"), (-F.col("item_start")).alias("b"))).alias("x")
-    found = pairs.mapInPandas(verify, "row long, " + HIT).groupBy("row", "doc_id", "item_id").agg(best)
+    found = pairs.mapInPandas(tidy(verify), "row long, " + HIT).groupBy("row", "doc_id", "item_id").agg(best)
     neg = lambda c: (-F.col(f"x.{c}")).cast("int")
     return found.select("doc_id", "item_id", "x.matched", neg("n").alias("length"), neg("a").alias("doc_start"), neg("b").alias("item_start"))

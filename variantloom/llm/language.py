@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, text_chunks
+from .shared import bounded_batches, text_chunks, tidy
 
 SPACE = 32
 
@@ -103,7 +103,7 @@ def fit_profiles(docs: DataFrame, size: int = 400) -> list[tuple[str, list[int]]
         yield from rows()
 
     counts = (bounded_batches(docs).where("lang is not null and text is not null").select("lang", "text")
-              .mapInPandas(count, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")))
+              .mapInPandas(tidy(count), "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "key"))
     top = counts.withColumn("place", place).where(F.col("place") <= size)
     rows = top.groupBy("lang").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "key"))), lambda x: x["key"]).alias("keys")).collect()
@@ -122,7 +122,7 @@ def predict_language(docs: DataFrame, profiles: list[tuple[str, list[int]]], siz
             yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy(), "lang_pred": [x[0] for x in found], "score": [x[1] for x in found]})
 
     return bounded_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(
-        run, "doc_id long, lang_pred string, score double")
+        tidy(run), "doc_id long, lang_pred string, score double")
 
 
 def held_out(doc_id: str = "doc_id", folds: int = 3, fold: int = 1):
@@ -140,4 +140,4 @@ def keep_languages(docs: DataFrame, profiles: list[tuple[str, list[int]]], size:
             yield b.filter(pa.array([lang != "und" and score >= min_score for lang, score in found], pa.bool_()))
 
     text = docs.columns.index("text")
-    return bounded_batches(docs).mapInArrow(run, docs.schema)
+    return bounded_batches(docs).mapInArrow(tidy(run), docs.schema)

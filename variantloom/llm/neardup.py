@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import WordHash, bounded_batches, components, mixed, shingles, stored, text_chunks, words_of
+from .shared import WordHash, bounded_batches, components, mixed, shingles, stored, text_chunks, tidy, words_of
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -78,7 +78,7 @@ def sketch(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
                 "doc_id": b["doc_id"].to_numpy(), "h1": np.array([s[0] for s in seq], np.uint64).view(np.int64), "h2": np.array([s[1] for s in seq], np.uint64).view(np.int64),
                 "bands": [k if len(bag[0]) else k[:0] for k, bag in zip(keys, bags, strict=True)]})
 
-    return docs.mapInPandas(run, "doc_id long, h1 long, h2 long, bands array<long>")
+    return docs.mapInPandas(tidy(run), "doc_id long, h1 long, h2 long, bands array<long>")
 
 
 def bag_units(hashes: np.ndarray) -> np.ndarray:
@@ -172,7 +172,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, ban
         if len(nodes) > 1:
             yield done()
 
-    edges = work.repartition("label", "lo", "hi").sortWithinPartitions("label", "lo", "hi").mapInPandas(verify, "a long, b long")
+    edges = work.repartition("label", "lo", "hi").sortWithinPartitions("label", "lo", "hi").mapInPandas(tidy(verify), "a long, b long")
     labels = components(edges, "links")
     by_rep = reps.select("h1", "h2", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", F.coalesce("label", "rep").alias("class_id"))
     found = sk.select("doc_id", "h1", "h2", F.expr("if(size(bands) > 0 and doc_id is not null, 1, 0)").alias("full"))

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches
+from .shared import bounded_batches, tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: A marked word: spaces (the marks) and what follows up to the next space or line end.
@@ -107,8 +107,9 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.R
             yield b.slice(start, rows)
 
 
-def encode(docs: DataFrame, model_path: str = MODEL, cache: int = 100_000) -> DataFrame:
-    """(doc_id, text) -> doc_id, text, piece_ids, one row per input row; other columns are ignored.
+def encode(docs: DataFrame, model_path: str = MODEL, cache: int = 100_000, verify: bool = False) -> DataFrame:
+    """(doc_id, text) -> doc_id, text, piece_ids, one row per input row; other columns are ignored. With verify, text is
+    replaced by round_trip: whether decoding the ids gives the text back.
 
     A space is put before each text (decoding takes it away), so "" has the ids of one space; a null text has null ids.
     The model file (of fixed size) is read by the driver and broadcast; each task keeps at most `cache` encoded words
@@ -129,11 +130,15 @@ def encode(docs: DataFrame, model_path: str = MODEL, cache: int = 100_000) -> Da
             offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
             values = pa.array(np.concatenate([x for x in ids if x is not None]) if sizes.any() else np.zeros(0, np.int32))
             null = pa.array(np.array([x is None for x in ids], bool))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.ListArray.from_arrays(offsets, values, mask=null)], ["doc_id", "text", "piece_ids"])
+            ids_column = pa.ListArray.from_arrays(offsets, values, mask=null)
+            if verify:
+                same = [x is None or model.decode(x.tolist()) == t for x, t in zip(ids, texts, strict=True)]
+                yield pa.RecordBatch.from_arrays([b.column(0), ids_column, pa.array(same, pa.bool_())], ["doc_id", "piece_ids", "round_trip"])
+            else:
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), ids_column], ["doc_id", "text", "piece_ids"])
 
     return bounded_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, text string, piece_ids array<int>")
+        tidy(run), "doc_id long, piece_ids array<int>, round_trip boolean" if verify else "doc_id long, text string, piece_ids array<int>")
 
 
 def decode(encoded: DataFrame, model_path: str = MODEL) -> DataFrame:
@@ -157,4 +162,4 @@ def decode(encoded: DataFrame, model_path: str = MODEL) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, "decoded"])
 
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in src.columns) + ", decoded string"
-    return bounded_batches(src).mapInArrow(run, schema)
+    return bounded_batches(src).mapInArrow(tidy(run), schema)

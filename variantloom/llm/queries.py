@@ -29,8 +29,8 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    back = pieces.decode(pieces.encode(table(spark, sf_dir, "documents")))
-    return back.select("doc_id", F.size("piece_ids").alias("n_pieces"), "piece_ids", F.expr("decoded <=> text").alias("round_trip"))
+    back = pieces.encode(table(spark, sf_dir, "documents"), verify=True)
+    return back.select("doc_id", F.size("piece_ids").alias("n_pieces"), "piece_ids", "round_trip")
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

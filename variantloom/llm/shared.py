@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.tables import shared_dir, stored
 from ..operators.graph import components
 
-__all__ = ["WORD", "WordHash", "bounded_batches", "components", "mixed", "shared_dir", "shingles", "stored", "table", "text_chunks", "words_of"]
+__all__ = ["WORD", "WordHash", "bounded_batches", "components", "mixed", "shared_dir", "shingles", "stored", "table", "text_chunks", "tidy", "words_of"]
 
 WORD = re.compile(r"\w+")
 
@@ -31,6 +35,24 @@ def bounded_batches(df: DataFrame, rows: int = 512) -> DataFrame:
     return df
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run, a function over the batches of a task, which hands freed memory back to the system at its end: workers stay
+    for the next task or stage, and what they hold beside the executor's heap adds up."""
+
+    @functools.wraps(run)
+    def tidied(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return tidied
+
+
 class WordHash(dict):
     """word -> 64-bit hash; emptied before it outgrows its bound."""
 

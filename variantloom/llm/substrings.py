@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, mixed, stored, text_chunks
+from .shared import bounded_batches, mixed, stored, text_chunks, tidy
 
 # --- suffix arrays ---------------------------------------------------------------------------------------------------
 
@@ -234,7 +234,7 @@ def _anchor_rows(docs: DataFrame, width: int) -> DataFrame:
                 cols["doc_id"] = pd.array(cols["doc_id"], "Int64")
                 yield pd.DataFrame(cols)
 
-    return docs.mapInPandas(run, ROW)
+    return docs.mapInPandas(tidy(run), ROW)
 
 
 def _windows_hashes(piece: bytes, n: int, width: int) -> np.ndarray:
@@ -248,13 +248,14 @@ def _ranges(flags: np.ndarray) -> list[int]:
     return edge.tolist()
 
 
-def remove_repeats(docs: DataFrame, width: int = 200, shard: int = 512, shard_bytes: int = 1_000_000, max_broadcast: int = 400_000,
-                   carry: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = 200, shard: int = 512, shard_bytes: int = 500_000, max_broadcast: int = 400_000,
+                   carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
     """(doc_id, text) -> doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans, kept; one row per input row.
 
     Removed is each UTF-8 byte covered by a `width`-byte string that also starts elsewhere in the table, the same text
     included; spans are the maximal removed runs as (start, end) bytes, kept the remaining bytes. A null text is empty.
-    Columns named in `carry` are passed on; all others are dropped.
+    Columns named in `carry` are passed on; all others are dropped. With as_text, kept is a string, without what is
+    left of characters that were cut.
     Rows that share a doc_id are told apart by their text; repeated rows are copies of each other.
 
     Equal strings have equal anchors at equal places, so only texts around anchors that occur twice can repeat. Around
@@ -291,7 +292,7 @@ def remove_repeats(docs: DataFrame, width: int = 200, shard: int = 512, shard_by
                 out += [(w["anchor"], w["ctx"] % w["shards"], w["ctx"], w["n"], w["shards"], w["stop"] - w["start"], data[w["start"] : w["stop"] + width - 1]) for w in wanted]
             yield pd.DataFrame(out, columns=["anchor", "part", "ctx", "n", "shards", "windows", "piece"])
 
-    pieces = mine.mapInPandas(contexts, "anchor long, part int, ctx long, n long, shards int, windows int, piece binary")
+    pieces = mine.mapInPandas(tidy(contexts), "anchor long, part int, ctx long, n long, shards int, windows int, piece binary")
 
     def arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def solve(group: list) -> pd.DataFrame:
@@ -327,7 +328,7 @@ def remove_repeats(docs: DataFrame, width: int = 200, shard: int = 512, shard_by
             yield solve(group)
 
     solved = stored(pieces.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "ctx").mapInPandas(
-        arrays, "anchor long, ctx long, windows array<int>, slice int, hashes binary"), "solved")
+        tidy(arrays), "anchor long, ctx long, windows array<int>, slice int, hashes binary"), "solved")
 
     def across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def solve(anchor: int, blobs: list[bytes]) -> pd.DataFrame:
@@ -349,7 +350,7 @@ def remove_repeats(docs: DataFrame, width: int = 200, shard: int = 512, shard_by
 
     # A window that repeats across shards but not in its own is new to its shard; so is one of those it repeats.
     cross = (solved.where("slice >= 0").select("anchor", "slice", "hashes").repartition("anchor", "slice").sortWithinPartitions("anchor", "slice")
-             .mapInPandas(across, "anchor long, ctx long, windows array<int>"))
+             .mapInPandas(tidy(across), "anchor long, ctx long, windows array<int>"))
     cover = whole.unionByName(solved.where("slice < 0").select("anchor", "ctx", "windows")).unionByName(cross)
     hits = found.join(cover, ["anchor", "ctx"]).select("doc_id", "key", F.transform("windows", lambda w: w + F.col("start")).alias("windows"))
     spans = hits.groupBy("doc_id", "key").agg(F.flatten(F.collect_list("windows")).alias("windows"))
@@ -364,15 +365,17 @@ def remove_repeats(docs: DataFrame, width: int = 200, shard: int = 512, shard_by
                 b = batch.slice(at, 500)
                 texts, windows = b.column(1), b.column(2)
                 out = [_cut(t.as_py().encode(), w.values.to_numpy() if w.is_valid else None, width) for t, w in zip(texts, windows, strict=True)]
+                if as_text:
+                    out = [(*x[:-1], x[-1].decode("utf-8", "ignore")) for x in out]
                 cols = [pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column(0), *cols, b.column(3)], ["doc_id", *RESULT_NAMES, "carried"])
 
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.binary()]
-    done = joined.mapInArrow(cut, f"doc_id long, {RESULT}, carried {dict(joined.dtypes)['carried']}")
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.string() if as_text else pa.binary()]
+    done = joined.mapInArrow(tidy(cut), f"doc_id long, {RESULT}{'string' if as_text else 'binary'}, carried {dict(joined.dtypes)['carried']}")
     return done.select("doc_id", *RESULT_NAMES, *(F.col(f"carried.`{c}`") for c in carry))
 
 
-RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: int, end: int>>, kept binary"
+RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: int, end: int>>, kept "
 
 RESULT_NAMES = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept")
 

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, text_chunks
+from .shared import bounded_batches, text_chunks, tidy
 
 VOCAB = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pre-token pattern published with this vocabulary.
@@ -114,4 +114,4 @@ def token_counts(docs: DataFrame, vocab_path: str = VOCAB, pattern: str = PATTER
             })
 
     return bounded_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(
-        run, "doc_id long, n_pretokens long, n_tokens long")
+        tidy(run), "doc_id long, n_pretokens long, n_tokens long")

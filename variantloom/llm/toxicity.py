@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, stored, text_chunks, words_of
+from .shared import bounded_batches, stored, text_chunks, tidy, words_of
 
 
 def features(text: str | None) -> set[str]:
@@ -67,7 +67,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 30_000, n_f
         for b in text_chunks(batches):
             yield pd.DataFrame({"doc_id": b["doc_id"], "toxic": b["toxic"], "words": [sorted(features(t)) for t in b["text"]]})
 
-    found = stored(sample.mapInPandas(words, "doc_id long, toxic int, words array<string>"), "toxic")
+    found = stored(sample.mapInPandas(tidy(words), "doc_id long, toxic int, words array<string>"), "toxic")
     n_pos, n_all = found.agg(F.sum("toxic"), F.count("*")).first()
     n_pos = n_pos or 0
     if not n_pos:
@@ -104,4 +104,4 @@ def score_toxicity(docs: DataFrame, weights: dict[str, float], bias: float) -> D
             yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy(), "score": score, "predicted": (score >= 0.5).astype(np.int32)})
 
     return bounded_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(
-        run, "doc_id long, score double, predicted int")
+        tidy(run), "doc_id long, score double, predicted int")

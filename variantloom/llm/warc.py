@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, shared_dir, stored
+from .shared import bounded_batches, shared_dir, stored, tidy
 
 #: Fixed values of the seekable format and of its skippable frame.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -147,7 +147,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
                     yield close()
         yield close()
 
-    return stored(bounded_batches(with_revisits(pages, min_bytes)).mapInPandas(run, INDEX), "warc-index")
+    return stored(bounded_batches(with_revisits(pages, min_bytes)).mapInPandas(tidy(run), INDEX), "warc-index")
 
 
 def read_archives(index: DataFrame, payloads: bool = True) -> DataFrame:
@@ -179,7 +179,7 @@ def read_archives(index: DataFrame, payloads: bool = True) -> DataFrame:
                 yield run(part)
 
     schema = RECORD if payloads else RECORD.rpartition(", ")[0]
-    return index.repartition("file", "frame").sortWithinPartitions("file", "frame", "offset").mapInPandas(pages, schema)
+    return index.repartition("file", "frame").sortWithinPartitions("file", "frame", "offset").mapInPandas(tidy(pages), schema)
 
 
 WARC_SQL = """
