@@ -76,6 +76,7 @@ def test_ld_of_hand_made_sites(spark):
     top = spark.createDataFrame([("k", "a")], "cluster_id string, rsid string")
     assert rows(ld.ld_to_top(members, top, packed)) == [("k", "a", 1.0), ("k", "b", pytest.approx(got["b"].r2)), ("k", "zz", 0.0)]
     assert rows(ld.ld_to_top(members, top.withColumn("rsid", F.lit("zz")), packed)) == [("k", "a", 1.0), ("k", "b", 1.0), ("k", "zz", 1.0)]
+    assert rows(ld.ld_to_top(members, top, packed, metric="d_prime"))[1] == ("k", "b", pytest.approx(got["b"].d_prime))
     assert rows(ld.pairwise_ld(members.where("rsid = 'a'"), packed).select("rsid_a", "rsid_b", "r")) == [("a", "a", 1.0)]
 
 

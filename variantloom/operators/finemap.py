@@ -174,12 +174,17 @@ def eqtl_configurations(members: DataFrame, index: DataFrame, n: int = EQTL_SAMP
     return posterior(c, "cluster_id", "gene_id", "tissue")
 
 
+def shared_configurations(gwas: DataFrame, eqtl: DataFrame) -> DataFrame:
+    """The sets that both a trait (cluster_id, snps, posterior) and expression (cluster_id, gene_id, tissue, snps, posterior)
+    have, with p1 and p2, their posteriors. Sets are sorted, so equal ones are equal arrays."""
+    g = gwas.select("cluster_id", "snps", F.col("posterior").alias("p1"))
+    return eqtl.select("cluster_id", "gene_id", "tissue", "snps", F.col("posterior").alias("p2")).join(g, ["cluster_id", "snps"])
+
+
 def colocalise(gwas: DataFrame, eqtl: DataFrame) -> DataFrame:
     """Posteriors (cluster_id, snps, posterior) of a trait and (cluster_id, gene_id, tissue, snps, posterior) of expression ->
     for each set in both the product, and clpp, its sum over the sets of a cluster, gene and tissue."""
-    g = gwas.select("cluster_id", "snps", F.col("posterior").alias("p1"))
-    both = eqtl.select("cluster_id", "gene_id", "tissue", "snps", F.col("posterior").alias("p2")).join(g, ["cluster_id", "snps"])
-    both = both.withColumn("joint", F.col("p1") * F.col("p2"))
+    both = shared_configurations(gwas, eqtl).withColumn("joint", F.col("p1") * F.col("p2"))
     total = both.groupBy("cluster_id", "gene_id", "tissue").agg(F.sum("joint").alias("clpp"))
     return both.join(total, ["cluster_id", "gene_id", "tissue"])
 

@@ -253,11 +253,20 @@ COLOC = f"""WITH c AS (SELECT * FROM ({MEMBERS}) x WHERE m > 1), h AS (SELECT c.
   j AS (SELECT f.cluster_id, f.gene_id, f.tissue, f.rsid, f.e / sum(f.e) OVER (PARTITION BY f.cluster_id, f.gene_id, f.tissue) * p.posterior AS joint FROM f JOIN ({POST}) p ON p.cluster_id = f.cluster_id AND p.rsid = f.rsid)"""
 
 
-def _coloc(s, d):
+def _two_traits(s, d):
     m = stored(_members(s, d), "members")
     m = m.join(m.groupBy("cluster_id").count().where("count > 1"), "cluster_id", "left_semi")
     gwas = finemap.posterior(finemap.configurations(m, None, 1000, 1))
-    return finemap.colocalise(gwas, finemap.eqtl_configurations(m, stored(sql(s, d, EQ), "eqtl")))
+    return gwas, finemap.eqtl_configurations(m, stored(sql(s, d, EQ), "eqtl"))
+
+
+def _coloc(s, d):
+    return finemap.colocalise(*_two_traits(s, d))
+
+
+@query("shared_configurations", COLOC + " SELECT cluster_id, gene_id, tissue, rsid AS snps FROM j")
+def _shared(s, d):
+    return finemap.shared_configurations(*_two_traits(s, d)).select("cluster_id", "gene_id", "tissue", F.array_join("snps", ",").alias("snps"))
 
 
 @query("colocalise", COLOC + " SELECT cluster_id, gene_id, tissue, rsid AS snps, round(joint, 6) AS joint, round(sum(joint) OVER (PARTITION BY cluster_id, gene_id, tissue), 6) AS clpp FROM j")
@@ -285,7 +294,7 @@ def _summary(s, d):
 
 @query("impute_z")
 def _impute(s, d):
-    m = _members(s, d).withColumn("z", F.expr("if(pos % 5 = 0, null, z)")).withColumn("beta", F.expr("if(pos % 5 = 0, null, beta)"))
+    m = _members(s, d).withColumn("z", F.expr("if(pos % 3 = 0, null, z)")).withColumn("beta", F.expr("if(pos % 3 = 0, null, beta)"))
     return finemap.impute_z(m.select("cluster_id", "rsid", "z", "beta"), ld.pairwise_ld(m, packed(s, d)))
 
 
@@ -459,11 +468,11 @@ def _consensus(s, d):
 
 # --- checks ----------------------------------------------------------------------------------------------------------
 
-ODD = f"SELECT *, CASE WHEN pos % 7 = 0 THEN r2 + 1 ELSE r2 END AS bad_r2, CASE WHEN pos % 5 = 0 THEN 'x' || gene_id ELSE gene_id END AS bad_gene, CASE WHEN pos % 3 = 0 THEN '99' ELSE chrom END AS bad_chrom, CASE WHEN pos % 11 = 0 THEN -pos ELSE pos END AS bad_pos FROM {W}"
+ODD = f"SELECT *, CASE WHEN pos % 7 = 0 THEN r2 + 1 ELSE r2 END AS bad_r2, CASE WHEN pos % 9 = 0 THEN 'x' || gene_id ELSE gene_id END AS bad_gene, CASE WHEN pos % 3 = 0 THEN '99' ELSE chrom END AS bad_chrom, CASE WHEN pos % 11 = 0 THEN -pos ELSE pos END AS bad_pos FROM {W}"
 
 
 def _odd(s, d):
-    return wide(s, d).selectExpr("*", "CASE WHEN pos % 7 = 0 THEN r2 + 1 ELSE r2 END AS bad_r2", "CASE WHEN pos % 5 = 0 THEN 'x' || gene_id ELSE gene_id END AS bad_gene", "CASE WHEN pos % 3 = 0 THEN '99' ELSE chrom END AS bad_chrom", "CASE WHEN pos % 11 = 0 THEN -pos ELSE pos END AS bad_pos")
+    return wide(s, d).selectExpr("*", "CASE WHEN pos % 7 = 0 THEN r2 + 1 ELSE r2 END AS bad_r2", "CASE WHEN pos % 9 = 0 THEN 'x' || gene_id ELSE gene_id END AS bad_gene", "CASE WHEN pos % 3 = 0 THEN '99' ELSE chrom END AS bad_chrom", "CASE WHEN pos % 11 = 0 THEN -pos ELSE pos END AS bad_pos")
 
 
 def _check(name, cond, col):
