@@ -77,8 +77,8 @@ def test_against_brute_force(spark, block):
 
 
 def test_rows_without_id_and_empty_table(spark):
-    df = spark.createDataFrame([(None, "a b c d e f"), (3, "a b c d e f"), (4, "A b c, d e f")], "doc_id long, text string")
-    assert sorted(map(str, near_duplicates(df).collect())) == sorted(map(str, [("Row(doc_id=None, class_id=None)"), "Row(doc_id=3, class_id=3)", "Row(doc_id=4, class_id=3)"]))
+    df = spark.createDataFrame([(None, "a b c d e f"), (3, "a b c d e f"), (4, "A b c, d e f"), (2**60 + 1, "q"), (2**60 + 3, "q")], "doc_id long, text string")
+    assert sorted(map(str, near_duplicates(df).collect())) == sorted(map(str, [("Row(doc_id=None, class_id=None)"), "Row(doc_id=3, class_id=3)", "Row(doc_id=4, class_id=3)", *(f"Row(doc_id={2**60 + i}, class_id={2**60 + 1})" for i in (1, 3))]))
     assert near_duplicates(df.limit(0)).collect() == []
 
 

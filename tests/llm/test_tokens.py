@@ -53,7 +53,7 @@ def test_token_counts_of_odd_texts(spark, counter):
 
     from variantloom.llm.token_counts import PATTERN
 
-    rows = [(i, t, 7) for i, t in enumerate(ODD)] + [(3, ODD[3], 7), (None, "the", None)]
+    rows = [(i, t, 7) for i, t in enumerate(ODD)] + [(3, ODD[3], 7), (None, "the", None), (2**60 + 1, "the", 7)]
     got = token_counts(spark.createDataFrame(rows, "doc_id long, text string, n_tokens int"), cache=5).collect()
     want = []
     for i, t, _ in rows:

@@ -9,13 +9,14 @@ from variantloom.llm.warc import parse, read_archives, read_seek_table, write_ar
 
 def test_archives_read_back(spark, tmp_path):
     big = "<p>é</p>" * 400
-    rows = [(1, "http://a/1", big), (2, "http://a/2", big), (9, None, big), (3, "http://a/b c\r\nX: y", "small"), (4, "u", "small"), (5, "u", None), (6, "u", ""), (None, "u", "none"), (7, "u", "z" * 300000), (7, "u", "z" * 300000)]
+    rows = [(1, "http://a/1", big), (2, "http://a/2", big), (9, None, big), (3, "http://a/b c\r\nX: y", "small"), (4, "u", "small"), (5, "u", None), (6, "u", ""), (None, "u", "none"), (7, "u", "z" * 300000), (7, "u", "z" * 300000), (2**60 + 1, "v", "w" * 2000), (2**60 + 3, "w", "w" * 2000)]
     df = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, offset int").repartition(3)
     index = write_archives(df, folder=f"file://{tmp_path}", frame_bytes=5000, file_bytes=20000)
     got = read_archives(index).collect()
     assert len(got) == len(rows)
     by = {(r.page_id, r.url): r for r in got}
     assert {i: by[(i, u)].refers_to for i, u in ((1, "http://a/1"), (2, "http://a/2"), (9, None))} == {1: 9, 2: 9, 9: None}
+    assert by[(2**60 + 1, "v")].refers_to == 2**60 + 3
     for r in got:
         source = next(h or "" for p, _, h in rows if p == r.page_id)
         assert r.payload_bytes == len(source.encode()) and r.payload_digest == hashlib.sha1(source.encode()).hexdigest()

@@ -9,11 +9,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import WordHash, bounded_batches, mixed, stored, text_chunks, tidy, words_of
+from .shared import WordHash, bounded_batches, id_number, id_text, mixed, stored, text_chunks, tidy, words_of
 
 #: Seven of eleven tokens count; the zeros may differ.
 MASKS = ("11101100101", "10110111001", "11011000111")
-HIT = "doc_id long, item_id long, matched int, length int, doc_start int, item_start int"
+HIT = "doc_id string, item_id long, matched int, length int, doc_start int, item_start int"
 
 
 def seed_hashes(tokens: np.ndarray, mask: str) -> np.ndarray:
@@ -71,11 +71,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_tokens: int = 13, mi
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id is not null and text is not null").groupBy("item_id").agg(F.min("text").alias("text"))
-    docs = bounded_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("text is not null")
+    docs = bounded_batches(docs).select(id_text(), F.col("text").cast("string")).where("text is not null")
     size = items.agg(F.sum(F.length("text")), F.count("*")).first()
     if (size[0] or 0) <= 2 * max_broadcast_tokens:  # a token and what parts it take two characters at least
-        return _by_array(spark, docs, items, min_tokens, min_share, masks)
-    return _by_join(docs, items, min_tokens, min_share, masks)
+        return id_number(_by_array(spark, docs, items, min_tokens, min_share, masks))
+    return id_number(_by_join(docs, items, min_tokens, min_share, masks))
 
 
 def _by_array(spark, docs: DataFrame, items: DataFrame, min_tokens: int, min_share: float, masks: tuple[str, ...]) -> DataFrame:
@@ -141,7 +141,7 @@ def _by_join(docs: DataFrame, items: DataFrame, min_tokens: int, min_share: floa
 
     docs = stored(docs.withColumn("row", F.monotonically_increasing_id()), "docs")
     items = items.withColumn("row", F.lit(0).cast("long"))
-    left = docs.mapInPandas(tidy(seeds("doc_id", False)), "row long, doc_id long, seed long, doc_at long")
+    left = docs.mapInPandas(tidy(seeds("doc_id", False)), "row long, doc_id string, seed long, doc_at long")
     right = items.mapInPandas(tidy(seeds("item_id", True)), "row long, item_id long, seed long, item_at long").drop("row")
     hits = left.join(right, "seed").select("row", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct()
     pairs = hits.join(docs, "row").join(items.select("item_id", F.col("text").alias("item")), "item_id")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, text_chunks, tidy
+from .shared import bounded_batches, id_number, id_text, text_chunks, tidy
 
 SPACE = 32
 
@@ -121,8 +121,8 @@ def predict_language(docs: DataFrame, profiles: list[tuple[str, list[int]]], siz
             found = [model.predict(t) for t in b["text"]]
             yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy(), "lang_pred": [x[0] for x in found], "score": [x[1] for x in found]})
 
-    return bounded_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(
-        tidy(run), "doc_id long, lang_pred string, score double")
+    return id_number(bounded_batches(docs).select(id_text(), F.col("text").cast("string")).mapInPandas(
+        tidy(run), "doc_id string, lang_pred string, score double"))
 
 
 def held_out(doc_id: str = "doc_id", folds: int = 3, fold: int = 1):

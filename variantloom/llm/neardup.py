@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import WordHash, bounded_batches, components, mixed, shingles, stored, text_chunks, tidy, words_of
+from .shared import WordHash, bounded_batches, components, id_number, id_text, mixed, shingles, stored, text_chunks, tidy, words_of
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -78,7 +78,7 @@ def sketch(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
                 "doc_id": b["doc_id"].to_numpy(), "h1": np.array([s[0] for s in seq], np.uint64).view(np.int64), "h2": np.array([s[1] for s in seq], np.uint64).view(np.int64),
                 "bands": [k if len(bag[0]) else k[:0] for k, bag in zip(keys, bags, strict=True)]})
 
-    return docs.mapInPandas(tidy(run), "doc_id long, h1 long, h2 long, bands array<long>")
+    return id_number(docs.select(id_text(), "text").mapInPandas(tidy(run), "doc_id string, h1 long, h2 long, bands array<long>"))
 
 
 def bag_units(hashes: np.ndarray) -> np.ndarray:

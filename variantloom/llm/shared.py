@@ -12,12 +12,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.tables import shared_dir, stored
 from ..operators.graph import components
 
-__all__ = ["WORD", "WordHash", "bounded_batches", "components", "mixed", "shared_dir", "shingles", "stored", "table", "text_chunks", "tidy", "words_of"]
+__all__ = ["WORD", "WordHash", "bounded_batches", "components", "id_number", "id_text", "mixed", "shared_dir", "shingles", "stored", "table", "text_chunks", "tidy", "words_of"]
 
 WORD = re.compile(r"\w+")
 
@@ -35,6 +36,15 @@ def bounded_batches(df: DataFrame, rows: int = 512) -> DataFrame:
     return df
 
 
+def id_text(name: str = "doc_id") -> Column:
+    """An integer id as text: beside a null, pandas would hold integers as floats and lose the last digits of large ones."""
+    return F.col(name).cast("long").cast("string").alias(name)
+
+
+def id_number(df: DataFrame, name: str = "doc_id") -> DataFrame:
+    return df.withColumn(name, F.col(name).cast("long"))
+
+
 def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """run, a function over the batches of a task, which hands freed memory back to the system at its end: workers stay
     for the next task or stage, and what they hold beside the executor's heap adds up."""

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, stored, text_chunks, tidy, words_of
+from .shared import bounded_batches, id_number, id_text, stored, text_chunks, tidy, words_of
 
 
 def features(text: str | None) -> set[str]:
@@ -103,5 +103,5 @@ def score_toxicity(docs: DataFrame, weights: dict[str, float], bias: float) -> D
             score = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy(), "score": score, "predicted": (score >= 0.5).astype(np.int32)})
 
-    return bounded_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(
-        tidy(run), "doc_id long, score double, predicted int")
+    return id_number(bounded_batches(docs).select(id_text(), F.col("text").cast("string")).mapInPandas(
+        tidy(run), "doc_id string, score double, predicted int"))

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, shared_dir, stored, tidy
+from .shared import bounded_batches, id_text, shared_dir, stored, tidy
 
 #: Fixed values of the seekable format and of its skippable frame.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -74,6 +74,13 @@ def parse(data: bytes) -> dict:
             "payload": payload.decode("utf-8") if kind == "response" else None}
 
 
+def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
+    """Tuples as a table whose integer columns may hold nulls."""
+    cols = [x.split() for x in schema.split(", ")]
+    data = zip(*rows, strict=True) if rows else ((),) * len(cols)
+    return pd.DataFrame({c: pd.array(list(v), "Int64") if k in ("long", "int") else pd.Series(list(v), dtype=object) for (c, k), v in zip(cols, data, strict=True)})
+
+
 def with_revisits(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
     """(page_id, url, html) -> page_id, url, payload, payload_bytes, payload_digest, refers_to.
 
@@ -131,13 +138,13 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
             if out is not None:
                 out.write(seek_table(sizes))
                 out.close()
-            rows = pd.DataFrame(index, columns=[x.split()[0] for x in INDEX.split(", ")]).astype({"page_id": "Int64"})
+            rows = _frame(index, INDEX)
             out, sizes, index, written = None, [], [], 0
             return rows
 
         for b in batches:
             for r in b.to_dict("records"):
-                page, to = (None if pd.isna(r[k]) else int(r[k]) for k in ("page_id", "refers_to"))
+                page, to = (None if r[k] is None else int(r[k]) for k in ("page_id", "refers_to"))
                 x = record(page, r["url"], r["payload"].encode(), r["payload_digest"], to, date)
                 frame.append((page, x))
                 size += len(x)
@@ -147,7 +154,8 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
                     yield close()
         yield close()
 
-    return stored(bounded_batches(with_revisits(pages, min_bytes)).mapInPandas(tidy(run), INDEX), "warc-index")
+    rows = bounded_batches(with_revisits(pages, min_bytes)).withColumns({c: id_text(c) for c in ("page_id", "refers_to")})
+    return stored(rows.mapInPandas(tidy(run), INDEX), "warc-index")
 
 
 def read_archives(index: DataFrame, payloads: bool = True) -> DataFrame:
@@ -169,8 +177,8 @@ def read_archives(index: DataFrame, payloads: bool = True) -> DataFrame:
                 start, packed, size = table[r.frame]
                 file.seek(start)
                 plain, at = zstandard.ZstdDecompressor().decompress(file.read(packed), max_output_size=size), r.frame
-            out.append(parse(plain[r.offset : r.offset + r.length]))
-        found = pd.DataFrame(out, columns=[x.split()[0] for x in RECORD.split(", ")]).astype({"page_id": "Int64", "refers_to": "Int64"})
+            out.append(tuple(parse(plain[r.offset : r.offset + r.length]).values()))
+        found = _frame(out, RECORD)
         return found if payloads else found.drop(columns="payload")
 
     def pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
