@@ -29,7 +29,7 @@ class PieceModel:
 
     def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int], surface: dict[int, bytes]):
         self.pieces, self.byte_ids, self.surface = pieces, byte_ids, surface
-        self.tails = {p[i:] for p in pieces for i in range(len(p))}
+        self.tails = dict.fromkeys(p[i:] for p in pieces for i in range(len(p))) | pieces  # None: only the end of a piece
         self.byte_score = min((s for _, s in pieces.values()), default=-10.0) - 10
 
     @classmethod
@@ -54,7 +54,7 @@ class PieceModel:
     def encode_words(self, words: list[str]) -> dict[str, list[int]]:
         """Best ids of each distinct word: sorted words are a depth-first walk of their trie, and what two neighbours
         share at the front keeps its forward scores and back pointers. Ties go to the longer last piece."""
-        out, tails, pieces, last = {}, self.tails, self.pieces, ""
+        out, tails, last = {}, self.tails, ""
         scores, back = [0.0], [(0, None)]
         for word in sorted(words):
             n = min(len(word), len(last))
@@ -65,10 +65,12 @@ class PieceModel:
             for end in range(same + 1, len(word) + 1):
                 best, via = -math.inf, None
                 for start in range(end - 1, -1, -1):
-                    piece = word[start:end]
-                    if piece not in tails:
+                    found = tails.get(word[start:end], 0)
+                    if found is None:
+                        continue
+                    if not found:  # nothing that ends here goes back this far
                         break
-                    if (found := pieces.get(piece)) is not None and (s := scores[start] + found[1]) >= best:
+                    if (s := scores[start] + found[1]) >= best:
                         best, via = s, (start, found[0])
                 if via is None:
                     best = scores[end - 1] + self.byte_score * len(word[end - 1].encode())

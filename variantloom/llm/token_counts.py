@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, text_chunks, tidy
+from .shared import bounded_batches, id_number, id_text, text_chunks, tidy
 
 VOCAB = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pre-token pattern published with this vocabulary.
@@ -30,7 +30,7 @@ class UnigramCounter:
     def __init__(self, ranks: dict[bytes, int]):
         norm = math.log(sum(1 / (r + 1) for r in ranks.values()))
         self.score = {t: -math.log(r + 1) - norm for t, r in ranks.items()}
-        self.tails = {t[i:] for t in ranks for i in range(len(t))}
+        self.tails = dict.fromkeys(t[i:] for t in ranks for i in range(len(t))) | self.score  # None: only the end of a token
         self.floor = min(self.score.values(), default=-10.0) - 5
 
     @classmethod
@@ -39,15 +39,16 @@ class UnigramCounter:
 
     def step(self, word: bytes, end: int, scores: list[float], counts: list[int]) -> tuple[float, int]:
         """Forward score and token count of word[:end], from those of its shorter prefixes."""
-        best, n = -math.inf, 0
+        best, n, tails = -math.inf, 0, self.tails
         for start in range(end - 1, -1, -1):
-            piece = word[start:end]
-            if piece not in self.tails:
+            s = tails.get(word[start:end], 1)
+            if s is None:
+                continue
+            if s == 1:  # no log-probability: nothing that ends here goes back this far
                 break
-            if (s := self.score.get(piece)) is not None:
-                total, m = scores[start] + s, counts[start] + 1
-                if total > best or (total == best and m < n):
-                    best, n = total, m
+            total = scores[start] + s
+            if total >= best and (total > best or counts[start] + 1 < n):
+                best, n = total, counts[start] + 1
         if n == 0:  # a byte that the vocabulary lacks is a token of its own
             best, n = scores[end - 1] + self.floor, counts[end - 1] + 1
         return best, n
@@ -113,5 +114,5 @@ def token_counts(docs: DataFrame, vocab_path: str = VOCAB, pattern: str = PATTER
                 "n_tokens": np.array([sum(map(get, x)) for x in tokens], np.int64),
             })
 
-    return bounded_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(
-        tidy(run), "doc_id long, n_pretokens long, n_tokens long")
+    return id_number(bounded_batches(docs).select(id_text(), F.col("text").cast("string")).mapInPandas(
+        tidy(run), "doc_id string, n_pretokens long, n_tokens long"))
