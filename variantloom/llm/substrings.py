@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import bounded_batches, mixed, stored, text_chunks, tidy
@@ -212,7 +212,7 @@ def anchors(data: bytes, width: int, gram: int = 32) -> tuple[np.ndarray, np.nda
     return first, np.r_[first[1:], n], place[first], h[place[first]]
 
 
-ROW = "doc_id long, key long, anchor long, ctx long, start int, stop int"
+ROW = "id long, key long, anchor long, ctx long, start int, stop int"
 
 
 def _anchor_rows(docs: DataFrame, width: int) -> DataFrame:
@@ -220,19 +220,17 @@ def _anchor_rows(docs: DataFrame, width: int) -> DataFrame:
         digest = xxhash.xxh3_64_intdigest
         for b in text_chunks(batches, 2_000_000):
             out: list[list] = [[] for _ in range(6)]
-            for doc_id, key, text in zip(b["doc_id"], b["key"], b["text"], strict=True):
+            for doc_id, key, text in zip(b["id"], b["key"], b["text"], strict=True):
                 data = text.encode()
                 first, last, place, h = anchors(data, width)
                 if not len(first):
                     continue
                 ends, off = (last + (width - 1)).tolist(), (place - first).tolist()
                 ctx = np.fromiter((digest(data[s:e], o) for s, e, o in zip(first.tolist(), ends, off)), np.uint64, len(first))
-                for x, y in zip(out, (np.full(len(first), np.nan if pd.isna(doc_id) else doc_id, object), np.full(len(first), key), h.view(np.int64), ctx.view(np.int64), first, last), strict=True):
+                for x, y in zip(out, (np.full(len(first), doc_id), np.full(len(first), key), h.view(np.int64), ctx.view(np.int64), first, last), strict=True):
                     x.append(y)
             if out[0]:
-                cols = {c.split()[0]: np.concatenate(x) for c, x in zip(ROW.split(", "), out, strict=True)}
-                cols["doc_id"] = pd.array(cols["doc_id"], "Int64")
-                yield pd.DataFrame(cols)
+                yield pd.DataFrame({c.split()[0]: np.concatenate(x) for c, x in zip(ROW.split(", "), out, strict=True)})
 
     return docs.mapInPandas(tidy(run), ROW)
 
@@ -248,7 +246,7 @@ def _ranges(flags: np.ndarray) -> list[int]:
     return edge.tolist()
 
 
-def remove_repeats(docs: DataFrame, width: int = 200, shard: int = 512, shard_bytes: int = 500_000, max_broadcast: int = 400_000,
+def remove_repeats(docs: DataFrame, width: int = 200, shard: int = 512, shard_bytes: int = 500_000, max_broadcast: int = 1 << 27,
                    carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
     """(doc_id, text) -> doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans, kept; one row per input row.
 
@@ -262,27 +260,32 @@ def remove_repeats(docs: DataFrame, width: int = 200, shard: int = 512, shard_by
     such an anchor all windows that belong to it are one context. If all its contexts are equal they repeat whole. Else
     one of each kind goes to the anchor's shard, where a suffix array and its common prefixes show the repeated
     windows. An anchor of more than `shard` kinds has several shards; the windows that are new to a shard are then
-    compared across its shards by hash, in slices. No group, task or message grows with the copies of a text.
+    compared across its shards by hash, in slices. No group, task or message grows with the copies of a text. The
+    tables of contexts and of spans are broadcast up to about `max_broadcast` bytes, else joined by shuffle.
     """
     if clash := {"doc_id", "text", *RESULT_NAMES}.intersection(carry):
         raise ValueError(f"columns to carry have names of results: {sorted(clash)}")
     rows = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                        F.struct(*carry).alias("carried") if carry else F.lit(None).cast("int").alias("carried"))
-    rows = rows.withColumn("key", F.xxhash64("text"))
-    found = stored(_anchor_rows(rows.where(F.octet_length("text") >= width).select("doc_id", "key", "text"), width), "anchors")
-    twice = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # a number and a hash of the text tell rows apart; any number will do for rows without doc_id
+    rows = rows.withColumns({"id": F.coalesce("doc_id", F.lit(-(1 << 62))), "key": F.xxhash64("text")})
+
+    def sent(df: DataFrame, name: str, entries: Column, entry_bytes: int) -> DataFrame:
+        df = stored(df, name)
+        n, total = df.agg(F.count("*"), F.coalesce(F.sum(entries), F.lit(0))).first()
+        return F.broadcast(df) if 64 * n + entry_bytes * total <= max_broadcast else df
+
+    found = stored(_anchor_rows(rows.where(F.octet_length("text") >= width).select("id", "key", "text"), width), "anchors")
+    # written, so that the joins with them have an exchange on either side and a frequent anchor can be split
+    twice = stored(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "twice")
     found = stored(found.join(twice, "anchor", "left_semi"), "repeats")
-    kinds = stored(found.groupBy("anchor", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "key", "start", "stop")).alias("rep")), "kinds")
-    per = kinds.groupBy("anchor").agg(F.expr("count(*)").alias("kinds"))
+    kinds = stored(found.groupBy("anchor", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("id", "key", "start", "stop")).alias("rep")), "kinds")
+    per = stored(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")), "per")
     kinds = stored(kinds.join(per, "anchor").withColumn("shards", F.expr(f"cast(ceil(kinds / {shard}) as int)")), "kinds")
     whole = kinds.where("kinds = 1").select("anchor", "ctx", F.expr("array(0, rep.stop - rep.start)").alias("windows"))
     mixed_kinds = kinds.where("kinds > 1").select("anchor", "ctx", "n", "shards", "rep.*")
-    per_doc = mixed_kinds.groupBy("doc_id", "key").agg(F.collect_list(F.struct("anchor", "ctx", "n", "shards", "start", "stop")).alias("wanted"))
-    per_doc = stored(per_doc, "wanted")
-    if per_doc.count() <= max_broadcast:
-        per_doc = F.broadcast(per_doc)
-    same = F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d.key") == F.col("p.key"))
-    mine = rows.alias("d").join(per_doc.alias("p"), same).select("d.text", "p.wanted")
+    per_doc = mixed_kinds.groupBy("id", "key").agg(F.collect_list(F.struct("anchor", "ctx", "n", "shards", "start", "stop")).alias("wanted"))
+    mine = rows.join(sent(per_doc, "wanted", F.size("wanted"), 48), ["id", "key"]).select("text", "wanted")
 
     def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in text_chunks(batches, 1_000_000):
@@ -352,12 +355,9 @@ def remove_repeats(docs: DataFrame, width: int = 200, shard: int = 512, shard_by
     cross = (solved.where("slice >= 0").select("anchor", "slice", "hashes").repartition("anchor", "slice").sortWithinPartitions("anchor", "slice")
              .mapInPandas(tidy(across), "anchor long, ctx long, windows array<int>"))
     cover = whole.unionByName(solved.where("slice < 0").select("anchor", "ctx", "windows")).unionByName(cross)
-    hits = found.join(cover, ["anchor", "ctx"]).select("doc_id", "key", F.transform("windows", lambda w: w + F.col("start")).alias("windows"))
-    spans = hits.groupBy("doc_id", "key").agg(F.flatten(F.collect_list("windows")).alias("windows"))
-    spans = stored(spans, "spans")
-    if spans.count() <= max_broadcast:
-        spans = F.broadcast(spans)
-    joined = rows.alias("d").join(spans.alias("p"), same, "left").select("d.doc_id", "d.text", "p.windows", "d.carried")
+    hits = found.join(cover, ["anchor", "ctx"]).select("id", "key", F.transform("windows", lambda w: w + F.col("start")).alias("windows"))
+    spans = hits.groupBy("id", "key").agg(F.flatten(F.collect_list("windows")).alias("windows"))
+    joined = rows.join(sent(spans, "spans", F.size("windows"), 4), ["id", "key"], "left").select("doc_id", "text", "windows", "carried")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
