@@ -158,10 +158,11 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
     return stored(rows.mapInPandas(tidy(run), INDEX), "warc-index")
 
 
-def read_archives(index: DataFrame, payloads: bool = True) -> DataFrame:
+def read_archives(index: DataFrame, payloads: bool = True, part_bytes: int = 1 << 25) -> DataFrame:
     """Index -> records by seeking: each frame that holds a wanted record is read and unpacked once per group.
 
-    The rows of a group are those of one frame, so groups are small whatever the number of records."""
+    The index is small beside what it points to, so it is dealt out by the plain bytes of the records, about part_bytes
+    for a task; within a task the records are read in chunks of bounded size."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         import zstandard
@@ -187,7 +188,8 @@ def read_archives(index: DataFrame, payloads: bool = True) -> DataFrame:
                 yield run(part)
 
     schema = RECORD if payloads else RECORD.rpartition(", ")[0]
-    return index.repartition("file", "frame").sortWithinPartitions("file", "frame", "offset").mapInPandas(tidy(pages), schema)
+    parts = 1 + (index.agg(F.sum("length")).first()[0] or 0) // part_bytes
+    return index.repartition(parts, "file", "frame").sortWithinPartitions("file", "frame", "offset").mapInPandas(tidy(pages), schema)
 
 
 WARC_SQL = """
