@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..functions import scoring
 from ..functions.tables import stored
 from ..operators import alleles, checks, cluster, evidence, filters, finemap, intervals, ld, output, report
-from .base import F, cis, packed, query, reg, rounded, sql, v2g, view, window
+from .base import F, cis, packed, query, rounded, sql, v2g, view, window
 
 TISSUES = ["AF", "NF", "NO", "RF", "AO", "RO"]
 
