@@ -27,7 +27,7 @@ VIEWS = {
         FROM {fx_snp} s CROSS JOIN {fx_sample} c) g""",
     "fx_gwas": f"""SELECT 'rs' || {_text('l_partkey')} AS rsid, CAST('1e-' || CAST(CAST(floor(l_quantity / 4) AS INT) AS VARCHAR(5)) AS DOUBLE) AS pvalue,
         l_returnflag || l_linestatus AS efo, CAST(l_suppkey * 100 AS BIGINT) AS sample_size, CAST(l_discount AS DOUBLE) - 0.05 AS beta,
-        CAST(l_orderkey AS BIGINT) AS study_id, CAST(l_linenumber AS INT) AS line FROM {{lineitem}} WHERE l_orderkey % 200 = 0""",
+        CAST(l_orderkey AS BIGINT) AS study_id, CAST(l_linenumber AS INT) AS line FROM {{lineitem}}""",
     "fx_gene": f"""SELECT {_gene_id('s_suppkey')} AS gene_id, s_name AS name, {CHROM.format('s_suppkey')} AS chrom,
         CAST({BASE.format('s_suppkey')} + CAST(floor(s_suppkey / 5) AS BIGINT) * 160000 AS BIGINT) AS tss,
         CASE WHEN s_nationkey % 5 = 0 THEN 'lincRNA' ELSE 'protein_coding' END AS biotype FROM {{supplier}}""",
