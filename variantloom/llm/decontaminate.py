@@ -35,8 +35,9 @@ def masks_for(lengths: set[int], masks: tuple[str, ...]) -> list[str]:
     return [*masks, *("1" * n for n in sorted(lengths) if 0 < n < span)]
 
 
-def overlap(doc: np.ndarray, item: np.ndarray, shift: int, penalty: float = 2.0) -> tuple[int, int, int, int]:
-    """Best gapless stretch of item against doc[shift:]: equal tokens count 1, others -penalty.
+def overlap(doc: np.ndarray, item: np.ndarray, shift: int, penalty: float = 2.0, min_tokens: int = 13, min_share: float = 0.8) -> tuple[int, int, int, int]:
+    """Best gapless stretch of item against doc[shift:]: equal tokens count 1, others -penalty. If that one is shorter
+    than min_tokens (and than the item) or has less than min_share equal, the longest stretch with that share.
 
     Returns tokens matched, length, start in doc, start in item."""
     lo, hi = max(0, -shift), min(len(item), len(doc) - shift)
@@ -45,15 +46,25 @@ def overlap(doc: np.ndarray, item: np.ndarray, shift: int, penalty: float = 2.0)
     low = np.minimum.accumulate(gain)
     end = int(np.argmax(gain - low))
     start = int(np.flatnonzero(gain[: end + 1] == low[end])[-1])
+    if not _enough(int(same[start:end].sum()), end - start, len(item), min_tokens, min_share):
+        over = np.r_[0.0, np.cumsum(same - min_share)]
+        later = np.maximum.accumulate(over[::-1])[::-1]
+        last = np.searchsorted(-later, 1e-9 - over, "right") - 1  # the last place with as much as each start, within rounding
+        start = int(np.argmax(last - np.arange(len(over))))
+        end = int(last[start])
     return int(same[start:end].sum()), end - start, lo + start + shift, lo + start
 
 
+def _enough(matched: int, length: int, n: int, min_tokens: int, min_share: float) -> bool:
+    return length >= min(min_tokens, n) and matched >= min_share * length - 1e-9
+
+
 def _verified(doc_id: int, doc: np.ndarray, pairs: set[tuple[int, int]], items: dict, min_tokens: int, min_share: float) -> list[tuple]:
     best: dict[int, tuple] = {}
     for item_id, shift in pairs:
         item = items[item_id]
-        matched, length, at, item_at = overlap(doc, item, shift)
-        if length >= min(min_tokens, len(item)) and matched >= min_share * length:
+        matched, length, at, item_at = overlap(doc, item, shift, min_tokens=min_tokens, min_share=min_share)
+        if _enough(matched, length, len(item), min_tokens, min_share):
             found = (matched, -length, -at, -item_at)
             best[item_id] = max(best.get(item_id, found), found)
     return [(doc_id, i, m, -n, -a, -b) for i, (m, n, a, b) in sorted(best.items())]
