@@ -5,7 +5,7 @@ from itertools import combinations
 
 import numpy as np
 
-from variantloom.llm.decontaminate import _verified, overlap
+from variantloom.llm.decontaminate import MASKS, _verified, contaminated, masks_for, overlap, seed_hashes
 
 
 def changed(n, places):
@@ -45,3 +45,32 @@ def test_verified_as_by_all_stretches():
             assert matched == int((doc[at : at + length] == item[item_at : item_at + length]).sum())
     assert seen == {True, False}
     assert overlap(np.zeros(0, np.uint64), np.ones(3, np.uint64), 0)[:2] == (0, 0)
+
+
+def test_every_placement_of_changes_has_a_seed():
+    """All changes of the shortest stretches that allow so many; any longer one of up to 25 tokens holds one of these."""
+    for n, k in [(n, n // 5) for n in range(1, 13)] + [(13, 2), (15, 3), (20, 4), (25, 5)]:
+        gone = np.array([sum(1 << i for i in c) for c in combinations(range(n), k)], np.int64)
+        hit = np.zeros(len(gone), bool)
+        for m in masks_for(n, MASKS):
+            bits = sum(1 << i for i, b in enumerate(m) if b == "1")
+            for at in range(n - len(m) + 1):
+                hit |= gone & (bits << at) == 0
+        assert hit.all(), (n, k, int((~hit).sum()))
+    a, b = changed(13, ()), changed(13, (4, 8))
+    assert any((seed_hashes(a, m) == seed_hashes(b, m)).any() for m in MASKS)
+
+
+def test_changed_copies_are_found(spark):
+    items = [(n, " ".join(f"w{n}x{i}" for i in range(n))) for n in (3, 5, 8, 11, 12, 13, 15, 20, 25)]
+    rng, docs = random.Random(5), []
+    for n, text in items:
+        for _ in range(12):
+            t = text.split()
+            for i in rng.sample(range(n), n // 5):
+                t[i] = "other"
+            docs.append((len(docs), "some words before " + " ".join(t) + " and after", n))
+    dd, ii = spark.createDataFrame(docs, "doc_id long, text string, n int"), spark.createDataFrame(items, "item_id long, text string")
+    want = {(d, n) for d, _, n in docs}
+    for most in (1_000_000, 0):
+        assert {(r.doc_id, r.item_id) for r in contaminated(dd, ii, max_broadcast_tokens=most).collect()} == want

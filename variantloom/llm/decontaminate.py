@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 
 from .shared import WordHash, bounded_batches, id_number, id_text, mixed, stored, text_chunks, tidy, words_of
 
-#: Seven of eleven tokens count; the zeros may differ.
-MASKS = ("11101100101", "10110111001", "11011000111")
+#: Six tokens count; those under zeros may differ. Any stretch of 13 tokens or more with 80 % equal has a hit: one of
+#: over 25 tokens has a half of that kind, and tests/llm/test_decontaminate.py tries all changes of the shorter ones.
+MASKS = ("11010111", "11100010011", "11001001101", "1111101")
+#: The masks of items of 5 to 12 tokens, which hit any placement of up to a fifth of changes; shorter items have none to spare.
+SHORT = {5: ("1111", "11101", "11011", "10111"), 6: ("1111", "11011"), 7: ("11011",), 8: ("1111",), 9: ("111011",),
+         10: ("11101", "1111"), 11: ("11101",), 12: ("111011", "11111")}
 HIT = "doc_id string, item_id long, matched int, length int, doc_start int, item_start int"
 
 
@@ -29,10 +33,9 @@ def seed_hashes(tokens: np.ndarray, mask: str) -> np.ndarray:
     return mixed(out)
 
 
-def masks_for(lengths: set[int], masks: tuple[str, ...]) -> list[str]:
-    """The masks, and for items shorter than a mask one that takes all of their tokens."""
-    span = max(map(len, masks))
-    return [*masks, *("1" * n for n in sorted(lengths) if 0 < n < span)]
+def masks_for(n: int, masks: tuple[str, ...]) -> tuple[str, ...]:
+    """The masks of an item of n tokens: those given, or shorter ones if it is shorter than 13 tokens."""
+    return masks if n > max(SHORT) else SHORT.get(n, ("1" * n,) if n else ())
 
 
 def overlap(doc: np.ndarray, item: np.ndarray, shift: int, penalty: float = 2.0, min_tokens: int = 13, min_share: float = 0.8) -> tuple[int, int, int, int]:
@@ -76,7 +79,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_tokens: int = 13, mi
     doc_id, item_id, matched, length, doc_start, item_start (tokens); documents without overlap have no row.
 
     A document holds an item if a gapless stretch of at least min_tokens tokens (or all tokens of a shorter item)
-    agrees in min_share of its tokens. Candidates share a masked hash. Benchmarks of at most max_broadcast_tokens
+    agrees in min_share of its tokens. Candidates share a masked hash; the default masks miss none of at least 13 tokens
+    (or a shorter item) with 80 % equal, while a lower min_tokens or min_share can lose some. Benchmarks of at most max_broadcast_tokens
     tokens are sent to every task as an array; larger ones are joined by hash. Null or empty texts and items have no
     overlap. Rows that repeat a doc_id give one row each; of items that repeat an item_id one row is used.
     """
@@ -92,15 +96,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_tokens: int = 13, mi
 def _by_array(spark, docs: DataFrame, items: DataFrame, min_tokens: int, min_share: float, masks: tuple[str, ...]) -> DataFrame:
     h = WordHash()
     tokens = {r["item_id"]: t for r in items.collect() if len(t := h.of(words_of(r["text"])))}
-    used = masks_for({len(t) for t in tokens.values()}, masks)
+    used = sorted({m for t in tokens.values() for m in masks_for(len(t), masks)})
     keys, who, where = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for item_id, t in sorted(tokens.items()):
-        for mask in used:
-            if len(mask) == len(t) or mask in masks:
-                s = seed_hashes(t, mask)
-                keys.append(s)
-                who.append(np.full(len(s), item_id))
-                where.append(np.arange(len(s)))
+        for mask in masks_for(len(t), masks):
+            s = seed_hashes(t, mask)
+            keys.append(s)
+            who.append(np.full(len(s), item_id))
+            where.append(np.arange(len(s)))
     keys, who, where = map(np.concatenate, (keys, who, where))
     order = np.argsort(keys, kind="stable")
     data = spark.sparkContext.broadcast((keys[order], who[order], where[order], tokens, used))
@@ -131,9 +134,9 @@ def _by_array(spark, docs: DataFrame, items: DataFrame, min_tokens: int, min_sha
 
 
 def _by_join(docs: DataFrame, items: DataFrame, min_tokens: int, min_share: float, masks: tuple[str, ...]) -> DataFrame:
-    span = max(map(len, masks))
-    short = {r[0] for r in items.select(F.least(F.regexp_count("text", F.lit(r"(?U)\w+")), F.lit(span)).alias("n")).distinct().collect()}
-    used = masks_for(short, masks)
+    most = max(SHORT) + 1
+    lengths = {r[0] for r in items.select(F.least(F.regexp_count("text", F.lit(r"(?U)\w+")), F.lit(most)).alias("n")).distinct().collect()}
+    used = sorted({m for n in lengths for m in masks_for(n, masks)})
 
     def seeds(key: str, whole: bool):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -142,10 +145,9 @@ def _by_join(docs: DataFrame, items: DataFrame, min_tokens: int, min_share: floa
                 out = []
                 for row, i, text in zip(b["row"], b[key], b["text"], strict=True):
                     t = h.of(words_of(text))
-                    for mask in used:
-                        if not whole or mask in masks or len(mask) == len(t):
-                            s = seed_hashes(t, mask).view(np.int64)
-                            out.append(pd.DataFrame({"row": row, key: i, "seed": s, key[:-3] + "_at": np.arange(len(s))}))
+                    for mask in masks_for(len(t), masks) if whole else used:
+                        s = seed_hashes(t, mask).view(np.int64)
+                        out.append(pd.DataFrame({"row": row, key: i, "seed": s, key[:-3] + "_at": np.arange(len(s))}))
                 if out:
                     yield pd.concat(out)
         return run
