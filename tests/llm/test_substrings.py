@@ -17,8 +17,7 @@ def test_suffix_array_and_common_prefixes(seed):
         text = np.tile(text[: max(1, n // 7)], 7)
     s = text.tolist()
     want = sorted(range(len(s)), key=lambda i: s[i:])
-    for wide in (1, 2048):
-        assert suffix_array(text, wide).tolist() == want
+    assert suffix_array(text).tolist() == want
     starts = np.array([0, len(s) // 2])
     got = common_prefixes(text.astype(np.uint16), np.array(want), starts, len(s))
     for a, b in zip(want, want[1:]):
@@ -84,3 +83,34 @@ def test_against_brute_force(spark, shard):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert remove_repeats(df).collect() == []
+
+
+def test_suffix_array_of_a_large_alphabet():
+    """Names of over a hundred thousand substrings are sorted by recursion, too."""
+    rng = np.random.default_rng(1)
+    text = rng.integers(0, 90_000, 60_000)
+    text = np.r_[text, text[100:40_000], 7, text[:50]]
+    order = suffix_array(text)
+    assert sorted(order.tolist()) == list(range(len(text)))
+    s = text.tolist()
+    assert all(s[a : a + 45_000] < s[b : b + 45_000] for a, b in zip(order[::997].tolist(), order[1::997].tolist()))
+    assert suffix_array(np.zeros(900, int)).tolist() == list(range(899, -1, -1))
+
+
+def test_many_copies_without_an_id(spark):
+    """The rows of a text that repeats grow with its length only, and each copy gets the same result."""
+    text = " ".join(f"w{i * i}" for i in range(150))
+    rows = [(None, text)] * 3000 + [(5, text)] * 10 + [(None, text + " more")] + [(6, "none of this twice " * 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in remove_repeats(df, 60).collect())
+    want = Counter((i, *w) for (i, _), w in zip(rows, brute([t for _, t in rows], 60)))
+    assert got == want
+
+
+def test_long_texts(spark):
+    rng = random.Random(9)
+    long = " ".join(f"u{rng.randrange(10**7)}" for _ in range(140_000))
+    rows = [(1, long), (2, long[500_000:500_900] + " tail"), (3, "z" * 1_200_000), (4, "é" * 700)]
+    got = {r.doc_id: r for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(long) > 1_000_000 and got[1].n_removed == got[2].n_removed == 900
+    assert got[3].n_removed == 1_200_000 and got[4].n_removed == 1400

@@ -17,81 +17,57 @@ from .shared import bounded_batches, mixed, stored, text_chunks, tidy
 # --- suffix arrays ---------------------------------------------------------------------------------------------------
 
 
-def _buckets(items: np.ndarray, chars: np.ndarray, into: dict[int, list]) -> None:
-    """Append items to the lists of their characters, in order."""
-    if not len(items):
-        return
-    order = np.argsort(chars, kind="stable")
-    chars, items = chars[order], items[order]
-    cut = np.flatnonzero(np.diff(chars)) + 1
-    for c, part in zip(chars[np.r_[0, cut]].tolist(), np.split(items, cut), strict=True):
-        into.setdefault(c, []).append(part)
-
-
-def _induce(text: np.ndarray, small: np.ndarray, lms: np.ndarray) -> np.ndarray:
-    """All suffixes in order, from the ordered leftmost-smaller ones: larger types by a scan upwards over the buckets of
-    first characters, then smaller types by a scan downwards. A bucket is one array step, and one more for each
-    repetition of its character."""
-    n, empty = len(text), np.zeros(0, np.int64)
-    chars = np.flatnonzero(np.bincount(text, minlength=1)).tolist()
-    seed: dict[int, list] = {}
-    _buckets(lms, text[lms], seed)
-    large: dict[int, list] = {int(text[-1]): [np.array([n - 1])]}
-    by_char = {}
-    for c in chars:
-        got, todo = [], np.concatenate(large.get(c, [empty]))
-        while len(todo):
-            got.append(todo)
-            before = todo[todo > 0] - 1
-            before = before[~small[before]]
-            same = text[before] == c
-            _buckets(before[~same], text[before[~same]], large)
-            todo = before[same]
-        by_char[c] = np.concatenate(got or [empty])
-        before = np.concatenate(seed.get(c, [empty])) - 1
-        _buckets(before, text[before], large)
-    little: dict[int, list] = {}
-    out = []
-    for c in reversed(chars):
-        got, todo = [], np.concatenate(little.get(c, [empty]))
-        while len(todo):
-            got.append(todo)
-            before = todo[todo > 0] - 1
-            before = before[small[before]]
-            same = text[before] == c
-            _buckets(before[~same], text[before[~same]], little)
-            todo = before[same]
-        before = by_char[c][::-1]
-        before = before[before > 0] - 1
-        before = before[small[before]]
-        _buckets(before, text[before], little)
-        out += [np.concatenate(got or [empty]), by_char[c][::-1]]
-    return np.concatenate(out)[::-1]
-
-
-def _by_doubling(names: np.ndarray) -> np.ndarray:
-    """Suffix order of a string over a large alphabet, by ranks of prefixes of doubled length."""
-    rank, step, n = names.astype(np.int64), 1, len(names)
-    while True:
-        second = np.zeros(n, np.int64)
-        second[: n - step] = rank[step:] + 1 if step < n else 0
-        key = rank * (n + 2) + second
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        new = np.empty(n, np.int64)
-        new[order] = np.cumsum(np.r_[0, key[1:] != key[:-1]])
-        rank, step = new, 2 * step
-        if rank[order[-1]] == n - 1 or step >= n:
-            return order
-
-
-def suffix_array(text: np.ndarray, wide: int = 2048) -> np.ndarray:
+def _in_order(keys: np.ndarray) -> np.ndarray:
+    """A stable order of non-negative integers."""
+    if not len(keys) or keys.max() < 1 << 16:
+        return np.argsort(keys.astype(np.uint16), kind="stable")
+    bits = len(keys).bit_length()
+    packed = np.sort(keys << bits | np.arange(len(keys)))  # sorting values is far faster than sorting places
+    return packed & (1 << bits) - 1
+
+
+def _runs_in_order(text: np.ndarray, at: np.ndarray, stop: np.ndarray, rank: np.ndarray, own: int) -> np.ndarray:
+    """The places `at`, all of one type, in the order of their suffixes. From each a run of that type leads to a suffix of
+    the other type, at `stop`, whose rank among its like is known. own: 0 for larger, 1 for smaller types, since of two
+    suffixes that start alike the larger type comes first.
+
+    All runs are scanned at once, from their far ends: a step sorts by one character the runs that reach so far."""
+    far = stop - at
+    by = _in_order(far)
+    at, stop, ends = at[by], stop[by], np.cumsum(np.bincount(far))
+    text = np.r_[text, -1]
+    runs, keys = at[:0], at[:0]
+    for k in range(len(ends) - 1, 0, -1):
+        low, high = ends[k - 1], ends[k]
+        fresh = at[low:high][_in_order(rank[stop[low:high]])]
+        keys = np.r_[2 * (text[runs + k] + 1) + own, 2 * (text[fresh + k] + 1) + 1 - own]
+        runs = np.r_[runs, fresh][_in_order(keys)]
+    return runs[_in_order(text[runs])]
+
+
+def _induce(text: np.ndarray, small: np.ndarray, lms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From the ordered leftmost-smaller suffixes: all suffixes of the larger type in order, then by these all of the
+    smaller type."""
+    n = len(text)
+    places, rank = np.arange(n), np.zeros(n + 1, np.int64)
+
+    def following(flags: np.ndarray) -> np.ndarray:
+        return np.minimum.accumulate(np.where(flags, places, n)[::-1])[::-1]
+
+    rank[lms] = np.arange(1, len(lms) + 1)
+    larger = np.flatnonzero(~small)
+    larger = _runs_in_order(text, larger, following(small)[larger], rank, 0)
+    rank[larger] = np.arange(len(larger))
+    smaller = np.flatnonzero(small)
+    return larger, _runs_in_order(text, smaller, following(~small)[smaller], rank, 1)
+
+
+def suffix_array(text: np.ndarray) -> np.ndarray:
     """Starts of the suffixes of a string of small non-negative integers, in order (a shorter prefix comes first).
 
     Induced sorting: suffixes are classified as smaller or larger than their successor; the substrings between
-    leftmost-smaller places are sorted by one induction and named; the string of names is sorted in the same way (by
-    doubling if it has more than `wide` names, where bucket steps would be too many), and a second induction from its
-    order gives all suffixes.
+    leftmost-smaller places are sorted by one induction and named; the string of names is sorted in the same way, at
+    every level, unless all names differ; a second induction from its order gives all suffixes.
     """
     n = len(text)
     if n < 2:
@@ -105,12 +81,20 @@ def suffix_array(text: np.ndarray, wide: int = 2048) -> np.ndarray:
     inner = stop < n - 1
     small[inner] = text[stop[inner]] < text[stop[inner] + 1]
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
-    if len(lms) < 2:
-        return _induce(text, small, lms)
-    rough = _induce(text, small, lms)
-    is_lms = np.zeros(n, bool)
-    is_lms[lms] = True
-    rough = rough[is_lms[rough]]
+    if len(lms) > 1:
+        lms = lms[_lms_order(text, small, lms)]
+    larger, smaller = _induce(text, small, lms)
+    both = np.r_[larger, smaller]
+    return both[_in_order(text[both])]
+
+
+def _lms_order(text: np.ndarray, small: np.ndarray, lms: np.ndarray) -> np.ndarray:
+    """The order of the leftmost-smaller suffixes, by names of the substrings between them and the order of the names."""
+    n = len(text)
+    which = np.full(n, -1)
+    which[lms] = np.arange(len(lms))
+    order = which[_induce(text, small, lms)[1]]
+    order = order[order >= 0]
     # equal substrings have equal hashes; each runs to the next leftmost-smaller place, that included
     with np.errstate(over="ignore"):
         power = np.cumprod(np.full(n, 0x9E3779B97F4A7C15 | 1, np.uint64))
@@ -119,17 +103,14 @@ def suffix_array(text: np.ndarray, wide: int = 2048) -> np.ndarray:
         inverse = np.uint64(pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64))
         down = np.cumprod(np.full(n, inverse, np.uint64))
         sums = (sums[last] - sums[lms]) * down[lms]
-    which = np.empty(n, np.int64)
-    which[lms] = np.arange(len(lms))
-    order = which[rough]
     length = last - lms
     same = (sums[order[1:]] == sums[order[:-1]]) & (length[order[1:]] == length[order[:-1]])
     same &= (last[order[1:]] != n) & (last[order[:-1]] != n)
+    if not same.any():
+        return order
     names = np.empty(len(lms), np.int64)
     names[order] = np.cumsum(np.r_[0, ~same])
-    if names.max() + 1 < len(lms):
-        order = suffix_array(names, wide) if names.max() < wide else _by_doubling(names)
-    return _induce(text, small, lms[order])
+    return suffix_array(names)
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, starts: np.ndarray, most: int) -> np.ndarray:
@@ -212,22 +193,22 @@ def anchors(data: bytes, width: int, gram: int = 32) -> tuple[np.ndarray, np.nda
     return first, np.r_[first[1:], n], place[first], h[place[first]]
 
 
-ROW = "id long, key long, anchor long, ctx long, start int, stop int"
+ROW = "id long, key long, copies long, anchor long, ctx long, start int, stop int"
 
 
 def _anchor_rows(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         digest = xxhash.xxh3_64_intdigest
         for b in text_chunks(batches, 2_000_000):
-            out: list[list] = [[] for _ in range(6)]
-            for doc_id, key, text in zip(b["id"], b["key"], b["text"], strict=True):
+            out: list[list] = [[] for _ in range(7)]
+            for doc_id, key, copies, text in zip(b["id"], b["key"], b["copies"], b["text"], strict=True):
                 data = text.encode()
                 first, last, place, h = anchors(data, width)
                 if not len(first):
                     continue
                 ends, off = (last + (width - 1)).tolist(), (place - first).tolist()
                 ctx = np.fromiter((digest(data[s:e], o) for s, e, o in zip(first.tolist(), ends, off)), np.uint64, len(first))
-                for x, y in zip(out, (np.full(len(first), doc_id), np.full(len(first), key), h.view(np.int64), ctx.view(np.int64), first, last), strict=True):
+                for x, y in zip(out, (np.full(len(first), doc_id), np.full(len(first), key), np.full(len(first), copies), h.view(np.int64), ctx.view(np.int64), first, last), strict=True):
                     x.append(y)
             if out[0]:
                 yield pd.DataFrame({c.split()[0]: np.concatenate(x) for c, x in zip(ROW.split(", "), out, strict=True)})
@@ -254,7 +235,8 @@ def remove_repeats(docs: DataFrame, width: int = 200, shard: int = 512, shard_by
     included; spans are the maximal removed runs as (start, end) bytes, kept the remaining bytes. A null text is empty.
     Columns named in `carry` are passed on; all others are dropped. With as_text, kept is a string, without what is
     left of characters that were cut.
-    Rows that share a doc_id are told apart by their text; repeated rows are copies of each other.
+    Rows that share a doc_id, or have none, are told apart by their text. Those that agree in both are counted and looked
+    at once, and all get the same result.
 
     Equal strings have equal anchors at equal places, so only texts around anchors that occur twice can repeat. Around
     such an anchor all windows that belong to it are one context. If all its contexts are equal they repeat whole. Else
@@ -275,17 +257,24 @@ def remove_repeats(docs: DataFrame, width: int = 200, shard: int = 512, shard_by
         n, total = df.agg(F.count("*"), F.coalesce(F.sum(entries), F.lit(0))).first()
         return F.broadcast(df) if 64 * n + entry_bytes * total <= max_broadcast else df
 
-    found = stored(_anchor_rows(rows.where(F.octet_length("text") >= width).select("id", "key", "text"), width), "anchors")
+    texts = rows.where(F.octet_length("text") >= width).select("id", "key", "text")
+    again = sent(texts.groupBy("id", "key").agg(F.count("*").alias("copies")).where("copies > 1"), "again", F.lit(0), 0)
+    alone = texts.withColumn("copies", F.lit(1).cast("long"))
+    if again.limit(1).count():
+        alone = alone.join(again.drop("copies"), ["id", "key"], "left_anti")
+        held = texts.join(again, ["id", "key"]).groupBy("id", "key").agg(F.first("text").alias("text"), F.first("copies").alias("copies"))
+        alone = stored(alone.unionByName(held), "texts")
+    found = stored(_anchor_rows(alone, width), "anchors")
     # written, so that the joins with them have an exchange on either side and a frequent anchor can be split
-    twice = stored(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "twice")
+    twice = stored(found.groupBy("anchor").agg(F.sum("copies").alias("n")).where("n > 1").select("anchor"), "twice")
     found = stored(found.join(twice, "anchor", "left_semi"), "repeats")
-    kinds = stored(found.groupBy("anchor", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("id", "key", "start", "stop")).alias("rep")), "kinds")
+    kinds = stored(found.groupBy("anchor", "ctx").agg(F.sum("copies").alias("n"), F.min(F.struct("id", "key", "start", "stop")).alias("rep")), "kinds")
     per = stored(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")), "per")
     kinds = stored(kinds.join(per, "anchor").withColumn("shards", F.expr(f"cast(ceil(kinds / {shard}) as int)")), "kinds")
     whole = kinds.where("kinds = 1").select("anchor", "ctx", F.expr("array(0, rep.stop - rep.start)").alias("windows"))
     mixed_kinds = kinds.where("kinds > 1").select("anchor", "ctx", "n", "shards", "rep.*")
     per_doc = mixed_kinds.groupBy("id", "key").agg(F.collect_list(F.struct("anchor", "ctx", "n", "shards", "start", "stop")).alias("wanted"))
-    mine = rows.join(sent(per_doc, "wanted", F.size("wanted"), 48), ["id", "key"]).select("text", "wanted")
+    mine = alone.join(sent(per_doc, "wanted", F.size("wanted"), 48), ["id", "key"]).select("text", "wanted")
 
     def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in text_chunks(batches, 1_000_000):
@@ -299,7 +288,6 @@ def remove_repeats(docs: DataFrame, width: int = 200, shard: int = 512, shard_by
 
     def arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def solve(group: list) -> pd.DataFrame:
-            group = list({(r.anchor, r.ctx): r for r in group}.values())  # rows that repeat a document
             flags, ids = repeated_windows([(r.piece, r.windows) for r in group], width)
             out, seen = [], set()
             slices: dict[tuple[int, int], list] = {}
