@@ -19,6 +19,8 @@ def held(doc, item, shift):
     same = [int(0 <= i + shift < len(doc) and item[i] == doc[i + shift]) for i in range(len(item))]
     inside = [i for i in range(len(item)) if 0 <= i + shift < len(doc)]
     least = min(13, len(item))
+    if 5 * sum(same) < 4 * least:
+        return False
     return any(5 * sum(same[i : j + 1]) >= 4 * (j + 1 - i) for i in inside for j in inside if j + 1 - i >= least)
 
 
@@ -74,3 +76,28 @@ def test_changed_copies_are_found(spark):
     want = {(d, n) for d, _, n in docs}
     for most in (1_000_000, 0):
         assert {(r.doc_id, r.item_id) for r in contaminated(dd, ii, max_broadcast_tokens=most).collect()} == want
+
+
+def test_both_ways_agree_on_odd_texts(spark):
+    """Combining marks, which parts of a word are tokens in one engine and not in another; null and repeated ids; ties."""
+    hindi = ["हिन्दी में एक छोटा वाक्य", "दूसरी पंक्ति भी यहाँ है"]
+    accents = "cafe\u0301 re\u0301sume\u0301 nai\u0308ve co\u0308operate e\u0301te\u0301"
+    items = [(1, hindi[0]), (2, hindi[1]), (3, accents), (4, "ab"), (5, " ".join(f"t{i}" for i in range(14))), (5, "zzz zzz"), (6, None), (None, "ab")]
+    docs = [(1, hindi[0] + " और"), (2, "पहले " + hindi[1]), (3, "x " + accents + " y"), (None, "see ab here"), (None, "see ab here"), (7, "ab"), (7, "ab ab"), (8, ""), (9, None), (10, "clean text of no item at all")]
+    dd = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, item_id int")
+    ii = spark.createDataFrame(items, "item_id long, text string")
+    one, joined, shuffled = (sorted(map(str, contaminated(dd, ii, **how).collect())) for how in ({}, {"max_broadcast_tokens": 0}, {"max_broadcast_tokens": 0, "max_broadcast_seeds": 0}))
+    assert one == joined == shuffled
+    found = sorted((str(r.doc_id), r.item_id) for r in contaminated(dd, ii).collect())
+    assert found == [("1", 1), ("2", 2), ("3", 3), ("7", 4), ("7", 4), ("None", 4), ("None", 4)]
+    first = [r for r in contaminated(dd, ii).collect() if r.doc_id == 7]
+    assert {r.doc_start for r in first} == {0}
+
+
+def test_a_very_long_text(spark):
+    item = " ".join(f"i{k}" for k in range(20))
+    long = "word soup " * 60_000 + item.replace("i7", "j7") + " and on " * 60_000
+    dd, ii = spark.createDataFrame([(1, long), (2, long[:500_000])], "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")
+    for most in (1_000_000, 0):
+        got = contaminated(dd, ii, max_broadcast_tokens=most).collect()
+        assert [(r.doc_id, r.matched, r.length, r.doc_start) for r in got] == [(1, 19, 20, 120_000)]

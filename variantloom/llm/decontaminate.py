@@ -74,15 +74,17 @@ def _verified(doc_id: int, doc: np.ndarray, pairs: set[tuple[int, int]], items:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_tokens: int = 13, min_share: float = 0.8,
-                 masks: tuple[str, ...] = MASKS, max_broadcast_tokens: int = 1_000_000) -> DataFrame:
+                 masks: tuple[str, ...] = MASKS, max_broadcast_tokens: int = 1_000_000, max_broadcast_seeds: int = 1_000_000) -> DataFrame:
     """(doc_id, text) and (item_id, text) -> the best overlap of each document and item that it holds, as
     doc_id, item_id, matched, length, doc_start, item_start (tokens); documents without overlap have no row.
 
     A document holds an item if a gapless stretch of at least min_tokens tokens (or all tokens of a shorter item)
     agrees in min_share of its tokens. Candidates share a masked hash; the default masks miss none of at least 13 tokens
     (or a shorter item) with 80 % equal, while a lower min_tokens or min_share can lose some. Benchmarks of at most max_broadcast_tokens
-    tokens are sent to every task as an array; larger ones are joined by hash. Null or empty texts and items have no
-    overlap. Rows that repeat a doc_id give one row each; of items that repeat an item_id one row is used.
+    tokens are sent to every task as an array; larger ones are joined by hash, with the same results. Null or empty texts
+    and items have no overlap. Rows that repeat a doc_id give one row each, rows without doc_id rows without it; of items
+    that repeat an item_id one row is used. Of several overlaps of a document and an item that with the most equal tokens
+    is taken, then the shortest, then the first in the document. Other columns are ignored.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id is not null and text is not null").groupBy("item_id").agg(F.min("text").alias("text"))
@@ -90,7 +92,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_tokens: int = 13, mi
     size = items.agg(F.sum(F.length("text")), F.count("*")).first()
     if (size[0] or 0) <= 2 * max_broadcast_tokens:  # a token and what parts it take two characters at least
         return id_number(_by_array(spark, docs, items, min_tokens, min_share, masks))
-    return id_number(_by_join(docs, items, min_tokens, min_share, masks))
+    return id_number(_by_join(docs, items, min_tokens, min_share, masks, max_broadcast_seeds))
 
 
 def _by_array(spark, docs: DataFrame, items: DataFrame, min_tokens: int, min_share: float, masks: tuple[str, ...]) -> DataFrame:
@@ -133,9 +135,12 @@ def _by_array(spark, docs: DataFrame, items: DataFrame, min_tokens: int, min_sha
     return docs.mapInPandas(tidy(run), HIT)
 
 
-def _by_join(docs: DataFrame, items: DataFrame, min_tokens: int, min_share: float, masks: tuple[str, ...]) -> DataFrame:
-    most = max(SHORT) + 1
-    lengths = {r[0] for r in items.select(F.least(F.regexp_count("text", F.lit(r"(?U)\w+")), F.lit(most)).alias("n")).distinct().collect()}
+def _by_join(docs: DataFrame, items: DataFrame, min_tokens: int, min_share: float, masks: tuple[str, ...], max_broadcast_seeds: int) -> DataFrame:
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in text_chunks(batches):
+            yield pd.DataFrame({"n": sorted({min(len(words_of(t)), max(SHORT) + 1) for t in b["text"]})})
+
+    lengths = [r["n"] for r in items.mapInPandas(tidy(counted), "n int").distinct().collect()]  # as many as SHORT has, and one
     used = sorted({m for n in lengths for m in masks_for(n, masks)})
 
     def seeds(key: str, whole: bool):
@@ -155,7 +160,9 @@ def _by_join(docs: DataFrame, items: DataFrame, min_tokens: int, min_share: floa
     docs = stored(docs.withColumn("row", F.monotonically_increasing_id()), "docs")
     items = items.withColumn("row", F.lit(0).cast("long"))
     left = docs.mapInPandas(tidy(seeds("doc_id", False)), "row long, doc_id string, seed long, doc_at long")
-    right = items.mapInPandas(tidy(seeds("item_id", True)), "row long, item_id long, seed long, item_at long").drop("row")
+    right = stored(items.mapInPandas(tidy(seeds("item_id", True)), "row long, item_id long, seed long, item_at long").drop("row"), "seeds")
+    if right.count() <= max_broadcast_seeds:  # some 100 bytes each; then no seed of a document is shuffled
+        right = F.broadcast(right)
     hits = left.join(right, "seed").select("row", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct()
     pairs = hits.join(docs, "row").join(items.select("item_id", F.col("text").alias("item")), "item_id")
 
