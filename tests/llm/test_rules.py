@@ -62,19 +62,41 @@ def test_oracles(spark, name):
     assert got == want and got
 
 
+def rendered(turns):
+    esc = lambda x: x.replace("\\", "\\\\").replace("<|", "<\\|").replace("|>", "|\\>")
+    return "".join(f"<|{esc(r)}|>\n{esc(t)}<|end|>\n" for r, t in turns)
+
+
 def test_preferences(spark):
     turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "good day"), (1, 2, "user", "bye"), (1, 3, "assistant", "so long"), (2, 0, "user", "hi"), (2, 1, "assistant", "no"), (3, 0, "user", "what"), (3, 1, "assistant", None),
-             (4, 0, "user", "alone"), (None, 0, "user", "x"), (5000, 0, "assistant", "far"), (2, 1, "assistant", "no")]
-    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
-    pairs = preference_pairs(conversations(df))
-    rows = {r.pair_id: r for r in format_preferences(pairs).collect()}
-    assert set(rows) == {1, 2, 3}
+             (4, 0, "user", "alone"), (None, 0, "user", "x"), (5000, 0, "assistant", "far"), (9, 0, "user", "hi"), (9, 1, "assistant", "no"),
+             (10, 0, "system", "s"), (10, 1, "user", "a <|end|> \\ b"), (10, 2, "assistant", "x<|y|>"), (10, 3, "user", "c"), (10, 4, "assistant", "z"), (11, 0, "assistant", ""), (12, 0, "user", "q " * 600_000), (12, None, "assistant", "r"), (12, 1, "assistant", "r")]
+    df = spark.createDataFrame([(*t, "x", 0) for t in turns], "conv_id long, turn long, role string, text string, chosen string, n_shared int")
+    pairs = preference_pairs(conversations(df).withColumn("spare", __import__("pyspark").sql.functions.lit(1)))
+    raw, rows = {r.pair_id: r for r in pairs.collect()}, {r.pair_id: r for r in format_preferences(pairs).collect()}
+    assert set(rows) == {1, 2, 3, 10, 12, 5000}  # 9 repeats 2, 4 and 11 have nothing to prefer
     r = rows[1]
-    assert r.n_shared == 1 and r.prompt == "<|user|>\nhi<|end|>\n"
+    assert r.n_shared == 1 and r.prompt == "<|user|>\nhi<|end|>\n" and r.rejected == rendered([("assistant", "no")])
     assert [r.chosen[s.start : s.end] for s in r.chosen_spans] == ["good day", "so long"]
-    assert [r.rejected[s.start : s.end] for s in r.rejected_spans] == ["no", "no"]
+    assert raw[2].rejected == raw[1].chosen and raw[3].rejected[-1] == ("assistant", "what") and raw[5000].rejected == [("assistant", "")]
     assert rows[3].chosen_spans[0].start == rows[3].chosen_spans[0].end
-    assert format_preferences(pairs.limit(0)).collect() == []
+    r = rows[10]  # it leaves at its first assistant turn, as 10 is even
+    assert r.n_shared == 2 and r.rejected == rendered([("assistant", "z")]) and "a <\\|end|\\> \\\\ b" in r.prompt
+    assert rows[12].n_shared == 0 and rows[12].rejected == rendered([("assistant", "")])
+    for k, r in rows.items():
+        both = [list(map(tuple, x)) for x in (raw[k].chosen, raw[k].rejected)]
+        n = next((i for i, (a, b) in enumerate(zip(*both)) if a != b), min(map(len, both)))
+        assert (r.n_shared, r.prompt, r.chosen, r.rejected) == (n, *map(rendered, (both[0][:n], both[0][n:], both[1][n:])))
+        for text, spans, whole in ((r.chosen, r.chosen_spans, both[0]), (r.rejected, r.rejected_spans, both[1])):
+            assert [text[s.start : s.end] for s in spans] == [rendered([("", t)])[5:-8] for x, t in whole[n:] if x == "assistant"]
+    assert format_preferences(pairs.limit(0)).collect() == [] and preference_pairs(conversations(df.limit(0))).collect() == []
+
+
+def test_crowded_openings_lose_no_conversation(spark):
+    turns = [(i, t, "user" if t == 0 else "assistant", "hi" if t == 0 else f"answer {i * 7919 % 400}") for i in range(500) for t in (0, 1)]
+    df = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")
+    rows = preference_pairs(conversations(df), group=50).collect()
+    assert sorted(r.pair_id for r in rows) == list(range(400)) and all(r.chosen[0] == r.rejected[0] and r.chosen != r.rejected for r in rows)
 
 
 def test_masks_ignore_substitutions():

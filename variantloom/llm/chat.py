@@ -5,61 +5,82 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import stored
+
 START, MIDDLE, END = "<|", "|>\n", "<|end|>\n"
+TURN = "struct<role: string, text: string>"
 
 
 def conversations(turns: DataFrame) -> DataFrame:
     """(conv_id, turn, role, text) -> conv_id, turns: array of (role, text) in the order of turn, then role and text.
 
-    Null roles and texts count as empty; rows without conv_id are dropped, those without turn come first."""
+    Null roles and texts count as empty; rows without conv_id are dropped, those without turn come first. Rows that
+    repeat stay as turns; other columns are ignored."""
     rows = turns.where("conv_id is not null").select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return rows.groupBy("conv_id").agg(F.expr("transform(sort_array(collect_list(struct(turn, role, text))), x -> struct(x.role, x.text))").alias("turns"))
 
 
-def preference_pairs(convs: DataFrame, block: int = 1000) -> DataFrame:
+def _escaped(x: str) -> str:
+    """SQL: x with a backslash before each backslash and within each mark, so that no text can pass for a mark."""
+    slash = "chr(92)"
+    return f"replace(replace(replace({x}, {slash}, {slash} || {slash}), '<|', '<' || {slash} || '|'), '|>', '|' || {slash} || '>')"
+
+
+def _render(turns: str) -> str:
+    return f"array_join(transform({turns}, t -> concat('{START}', {_escaped('t.role')}, '{MIDDLE}', {_escaped('t.text')}, '{END}')), '')"
+
+
+def preference_pairs(convs: DataFrame, group: int = 1000, max_broadcast: int = 100_000) -> DataFrame:
     """Conversations -> pair_id (that of the chosen one), chosen, rejected.
 
-    In each block of `block` neighbouring ids, conversations with an assistant turn are ordered by opening (the turns
-    before the first assistant turn), most assistant text first, and each is chosen over the next one (the last over
-    the first). With the same opening the next one is rejected as it is; otherwise the rejected conversation is the
-    chosen one with its last assistant text replaced by the other's, an answer to something else. A block without a
-    second conversation gives no pair, and neither do equal conversations.
+    Conversations with the same opening (the turns before the first assistant turn) are alternatives, unless there is
+    no turn before it. Equal ones count once, under the least id. They are ordered by assistant text, most first, and
+    each is chosen over the next, the last over the first; an opening of over `group` conversations is dealt into parts
+    of about that many by a hash of the conversation. A conversation without an alternative is chosen over one that leaves it at one of its assistant turns
+    (each in turn by conv_id) and ends with an answer to something else: its own next assistant text, or if all are
+    equal the turn before, or nothing. Conversations without an assistant turn, or with a single empty one and nothing
+    before it, give no pair.
     """
+    first = "array_position(transform(turns, t -> t.role), 'assistant')"
     talk = convs.where("exists(turns, t -> t.role = 'assistant')").select(
-        "conv_id", "turns", F.expr(f"floor(conv_id / {block})").alias("block"),
-        F.expr("slice(turns, 1, array_position(transform(turns, t -> t.role), 'assistant') - 1)").alias("opening"),
-        F.expr("aggregate(turns, 0L, (a, t) -> a + if(t.role = 'assistant', length(t.text), 0))").alias("said"),
-        F.expr("size(turns) - array_position(reverse(transform(turns, t -> t.role)), 'assistant') + 1").cast("int").alias("last"))
-    w = Window.partitionBy("block").orderBy("opening", F.desc("said"), "conv_id")
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    other = F.struct("opening", "turns", "last")
-    both = talk.withColumn("other", F.coalesce(F.lead(other).over(w), F.first(other).over(whole)))
-    swapped = "transform(turns, (t, i) -> if(i = last - 1, struct(t.role as role, other.turns[other.last - 1].text as text), t))"
-    return both.select(
-        F.col("conv_id").alias("pair_id"), F.col("turns").alias("chosen"),
-        F.expr(f"if(opening = other.opening, other.turns, {swapped})").alias("rejected")).where("chosen != rejected")
-
-
-def _render(turns: str) -> str:
-    return f"array_join(transform({turns}, t -> concat('{START}', t.role, '{MIDDLE}', t.text, '{END}')), '')"
+        "conv_id", "turns", F.expr(f"md5({_render('turns')})").alias("whole"),
+        F.expr(f"md5({_render(f'if({first} = 1, turns, slice(turns, 1, {first} - 1))')})").alias("opening"),
+        F.expr("aggregate(turns, 0L, (a, t) -> a + if(t.role = 'assistant', length(t.text), 0))").alias("said"))
+    once = stored(talk.groupBy("opening", "whole").agg(F.min("conv_id").alias("conv_id"), F.first("turns").alias("turns"), F.first("said").alias("said")), "talk")
+    crowds = stored(once.groupBy("opening").agg(F.count("*").alias("n")).where(F.col("n") > group), "crowds")
+    parts = once.join(F.broadcast(crowds) if crowds.count() <= max_broadcast else crowds, "opening", "left").withColumn(
+        "part", F.expr(f"if(n is null, 0, pmod(cast(conv(substr(whole, 1, 8), 16, 10) as bigint), cast(ceil(n / {group}) as bigint)))"))
+    w = Window.partitionBy("opening", "part").orderBy(F.desc("said"), "whole")
+    all_ = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    other = F.coalesce(F.lead("turns").over(w), F.first("turns").over(all_))
+    both = parts.withColumns({"other": other, "alone": F.count("*").over(Window.partitionBy("opening", "part")) == 1})
+    places = "filter(sequence(0, size(turns) - 1), i -> turns[i].role = 'assistant')"
+    left = both.withColumn("places", F.expr(places)).withColumn("k", F.expr("cast(pmod(conv_id, size(places)) as int)")).withColumn("at", F.expr("places[k]"))
+    texts = ("concat(transform(slice(places, k + 2, size(places)), i -> turns[i].text), transform(slice(places, 1, k), i -> turns[i].text), "
+             "if(at > 0, array(turns[at - 1].text), cast(array() as array<string>)), array(''))")
+    answer = f"get(filter({texts}, x -> x != turns[at].text), 0)"
+    made = f"concat(slice(turns, 1, at), array(cast(struct('assistant', {answer}) as {TURN})))"
+    out = left.select(F.col("conv_id").alias("pair_id"), F.col("turns").alias("chosen"), F.expr(f"if(alone, if({answer} is null, null, {made}), other)").alias("rejected"))
+    return out.where("rejected is not null")
 
 
 def _spans(turns: str) -> str:
     """Character spans (start, end) of assistant texts in the rendered turns: what the loss counts; all else is masked."""
     head = len(START) + len(MIDDLE)
-    grown = (f"aggregate({turns}, struct(0 as at, array() as spans), (a, t) -> struct("
-             f"a.at + length(t.role) + length(t.text) + {head + len(END)} as at, if(t.role = 'assistant', "
-             f"array_append(a.spans, struct(a.at + length(t.role) + {head} as start, a.at + length(t.role) + {head} + length(t.text) as end)), a.spans) as spans))")
-    return grown.replace("array() as spans", "cast(array() as array<struct<start: int, end: int>>) as spans") + ".spans"
+    role, text = f"length({_escaped('t.role')})", f"length({_escaped('t.text')})"
+    return (f"aggregate({turns}, struct(0 as at, cast(array() as array<struct<start: int, end: int>>) as spans), (a, t) -> struct("
+            f"a.at + {role} + {text} + {head + len(END)} as at, if(t.role = 'assistant', "
+            f"array_append(a.spans, struct(a.at + {role} + {head} as start, a.at + {role} + {head} + {text} as end)), a.spans) as spans)).spans")
 
 
 def format_preferences(pairs: DataFrame) -> DataFrame:
     """(pair_id, chosen, rejected: arrays of (role, text)) -> pair_id, n_shared, prompt, chosen, rejected, chosen_spans, rejected_spans.
 
     The longest common turn prefix is rendered once, as prompt; the rest of either conversation is its completion,
-    with the spans of assistant text that the loss counts. A pair with equal conversations has two empty completions.
+    with the spans of assistant text that the loss counts. Marks within roles and texts are escaped by backslashes.
+    A pair with equal conversations has two empty completions; other columns are ignored.
     """
     n = "coalesce(nullif(array_position(zip_with(chosen, rejected, (a, b) -> a <=> b), false), 0) - 1, size(chosen))"
     cut = pairs.select("pair_id", "chosen", "rejected", F.expr(n).cast("int").alias("n_shared"))
@@ -71,24 +92,39 @@ def format_preferences(pairs: DataFrame) -> DataFrame:
         F.expr(_spans("c")).alias("chosen_spans"), F.expr(_spans("r")).alias("rejected_spans"))
 
 
+def spans_text(name: str) -> str:
+    """SQL: spans as text, such as 12-40,61-80."""
+    return f"array_join(transform({name}, s -> concat(s.start, '-', s.end)), ',')"
+
+
+def _sql_turns(turns: str) -> str:
+    return (f"array_to_string(list_transform({turns}, lambda x: '{START}' || {_escaped('x.role')} || '|>' || chr(10) || {_escaped('x.text')} || '<|end|>' || chr(10)), '')")
+
+
+def _sql_spans(turns: str) -> str:
+    size = f"list_transform({turns}, lambda x: 13 + length({_escaped('x.role')}) + length({_escaped('x.text')}))"
+    start = f"coalesce(list_sum(({size})[1:i - 1]), 0) + 5 + length({_escaped(f'({turns})[i].role')})"
+    one = f"CASE WHEN ({turns})[i].role = 'assistant' THEN CAST(CAST({start} AS BIGINT) AS VARCHAR) || '-' || CAST(CAST({start} + length({_escaped(f'({turns})[i].text')}) AS BIGINT) AS VARCHAR) END"
+    return f"coalesce(array_to_string(list_filter(list_transform(range(1, len({turns}) + 1), lambda i: {one}), lambda s: s IS NOT NULL), ','), '')"
+
+
 CHAT_SQL = f"""
 WITH t AS (SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
-k AS (SELECT *, floor(conv_id / 1000) AS block, list_transform(turns, lambda x: x.role) AS roles FROM t),
-a AS (SELECT conv_id, block, turns, turns[1:list_position(roles, 'assistant') - 1] AS opening,
+k AS (SELECT *, list_transform(turns, lambda x: x.role) AS roles FROM t),
+a AS (SELECT conv_id, turns, md5({_sql_turns('turns')}) AS whole, md5({_sql_turns("CASE WHEN roles[1] = 'assistant' THEN turns ELSE turns[1:list_position(roles, 'assistant') - 1] END")}) AS opening,
         list_sum(list_transform(turns, lambda x: CASE WHEN x.role = 'assistant' THEN length(x.text) ELSE 0 END)) AS said,
-        len(roles) - list_position(list_reverse(roles), 'assistant') + 1 AS last FROM k WHERE list_contains(roles, 'assistant')),
-o AS (SELECT *, coalesce(lead({{'opening': opening, 'turns': turns, 'last': last}}) OVER (w), first_value({{'opening': opening, 'turns': turns, 'last': last}}) OVER (w)) AS other
-      FROM a WINDOW w AS (PARTITION BY block ORDER BY opening, said DESC, conv_id)),
-p AS (SELECT conv_id AS pair_id, turns AS chosen, CASE WHEN opening = other.opening THEN other.turns
-        ELSE list_transform(turns, lambda x, i: CASE WHEN i = last THEN {{'role': x.role, 'text': other.turns[other.last].text}} ELSE x END) END AS rejected FROM o),
-q AS (SELECT *, coalesce(list_position(list_transform(range(1, greatest(len(chosen), len(rejected)) + 1), lambda i: chosen[i] IS NOT DISTINCT FROM rejected[i]), false) - 1, len(chosen)) AS n_shared
-      FROM p WHERE chosen <> rejected)
-SELECT pair_id, CAST(n_shared AS INT) AS n_shared,
-  array_to_string(list_transform(chosen[1:n_shared], lambda x: '{START}' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)), '') AS prompt,
-  array_to_string(list_transform(chosen[n_shared + 1:], lambda x: '{START}' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)), '') AS chosen,
-  array_to_string(list_transform(rejected[n_shared + 1:], lambda x: '{START}' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)), '') AS rejected,
-  CAST(list_sum(list_transform(chosen[n_shared + 1:], lambda x: CASE WHEN x.role = 'assistant' THEN length(x.text) ELSE 0 END)) AS BIGINT) AS chosen_chars,
-  CAST(list_sum(list_transform(rejected[n_shared + 1:], lambda x: CASE WHEN x.role = 'assistant' THEN length(x.text) ELSE 0 END)) AS BIGINT) AS rejected_chars
-FROM q
+        list_filter(range(1, len(turns) + 1), lambda i: roles[i] = 'assistant') AS places FROM k WHERE list_contains(roles, 'assistant')),
+u AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY opening, whole ORDER BY conv_id) = 1),
+b AS (SELECT *, CASE WHEN n > 1000 THEN CAST('0x' || substr(whole, 1, 8) AS BIGINT) % CAST(ceil(n / 1000) AS BIGINT) ELSE 0 END AS part
+      FROM (SELECT *, count(*) OVER (PARTITION BY opening) AS n FROM u)),
+o AS (SELECT *, places[conv_id % len(places) + 1] AS spot, conv_id % len(places) AS k, count(*) OVER (PARTITION BY opening, part) AS mates,
+        coalesce(lead(turns) OVER (w), first_value(turns) OVER (w)) AS other FROM b WINDOW w AS (PARTITION BY opening, part ORDER BY said DESC, whole)),
+s AS (SELECT *, list_filter(list_transform(places[k + 2:], lambda i: turns[i].text) || list_transform(places[1:k], lambda i: turns[i].text)
+        || CASE WHEN spot > 1 THEN [turns[spot - 1].text] ELSE CAST([] AS VARCHAR[]) END || [''], lambda x: x <> turns[spot].text)[1] AS answer FROM o),
+p AS (SELECT conv_id AS pair_id, turns AS chosen, CASE WHEN mates > 1 THEN other ELSE turns[1:spot - 1] || [{{'role': 'assistant', 'text': answer}}] END AS rejected FROM s WHERE mates > 1 OR answer IS NOT NULL),
+q AS (SELECT *, coalesce(list_position(list_transform(range(1, least(len(chosen), len(rejected)) + 1), lambda i: chosen[i] = rejected[i]), false) - 1, least(len(chosen), len(rejected))) AS n_shared FROM p),
+r AS (SELECT *, chosen[1:n_shared] AS pre, chosen[n_shared + 1:] AS c, rejected[n_shared + 1:] AS d FROM q)
+SELECT pair_id, CAST(n_shared AS INT) AS n_shared, {_sql_turns('pre')} AS prompt, {_sql_turns('c')} AS chosen, {_sql_turns('d')} AS rejected,
+  {_sql_spans('c')} AS chosen_spans, {_sql_spans('d')} AS rejected_spans FROM r
 """
