@@ -34,7 +34,8 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality(table(spark, sf_dir, "documents"))
+    found = quality.quality(table(spark, sf_dir, "documents"))
+    return found.withColumn("cleaned_sha1", F.sha1(F.encode("cleaned", "utf-8"))).drop("cleaned")
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
