@@ -6,7 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, decontaminate, language, neardup, pieces, quality, substrings, token_counts, toxicity, warc
-from .shared import table
+from .shared import spread
+from .shared import table as whole
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread(whole(spark, sf_dir, name))
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.tables import shared_dir, stored
 from ..operators.graph import components
 
-__all__ = ["WORD", "WordHash", "bounded_batches", "components", "id_number", "id_text", "mixed", "shared_dir", "shingles", "stored", "table", "text_chunks", "tidy", "words_of"]
+__all__ = ["WORD", "WordHash", "bounded_batches", "components", "id_number", "id_text", "mixed", "shared_dir", "shingles", "spread", "stored", "table", "text_chunks", "tidy", "words_of"]
 
 WORD = re.compile(r"\w+")
 
@@ -27,6 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df, dealt out over all cores where its files come in fewer partitions than that (a small table in one file)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def bounded_batches(df: DataFrame, rows: int = 512) -> DataFrame:
     """df, after the session has been told to send at most `rows` rows at a time to Python: texts can be long, and a
     batch is held several times over by the executor and its workers. The setting stays, as plans are made later."""
