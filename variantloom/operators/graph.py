@@ -18,13 +18,11 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
     cur, assign = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), name), None
     while cur.limit(1).count():
         hook = stored(cur.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root")), name)
-        while True:
+        while hook.join(hook.select(F.col("node").alias("root")), "root", "left_semi").limit(1).count():
             up = hook.select(F.col("node").alias("root"), F.col("root").alias("above"))
-            jump = hook.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root"), F.col("above").isNotNull().alias("moved"))
-            jump = stored(jump, name)
-            hook = jump.select("node", "root")
-            if not jump.where("moved").limit(1).count():
-                break
+            for _ in range(2):
+                hook = hook.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
+            hook = stored(hook, name)
         ha = hook.select(F.col("node").alias("a"), F.col("root").alias("ra"))
         hb = hook.select(F.col("node").alias("b"), F.col("root").alias("rb"))
         roots = cur.join(ha, "a", "left").join(hb, "b", "left").select(F.coalesce("ra", "a").alias("x"), F.coalesce("rb", "b").alias("y"))
@@ -41,19 +39,17 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
     return out.unionByName(out.select(F.col("label").alias("node"), "label")).distinct()
 
 
-def descendants(edges: DataFrame, roots: DataFrame, most: int = 100) -> DataFrame:
+def descendants(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """Edges (child, parent) and roots (node) -> rows (root, node) for all descendants at any depth.
 
-    One join a level, until a level adds nothing or `most` levels are done (cycles end as nothing new is found)."""
-    children = edges.select(F.col("parent").alias("node"), "child").distinct()
+    One join a level, until a level adds nothing; cycles end, too, as nothing new is found in them."""
+    children = stored(edges.select(F.col("parent").alias("node"), "child").distinct(), "children")
     level = stored(roots.select(F.col("node").alias("root"), "node").distinct().join(children, "node").select("root", F.col("child").alias("node")).distinct(), "desc")
     found = level
-    for _ in range(most):
+    while level.limit(1).count():
         level = level.join(children, "node").select("root", F.col("child").alias("node")).distinct()
         level = stored(level.join(found, ["root", "node"], "left_anti"), "desc")
-        if not level.limit(1).count():
-            break
-        found = found.unionByName(level)
+        found = stored(found.unionByName(level), "found")
     return found
 
 
