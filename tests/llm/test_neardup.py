@@ -37,6 +37,7 @@ def test_units_count_copies():
 
 
 def labels_by_brute_force(rows, threshold):
+    """(doc_id, class_id) of each row: all pairs are compared, classes are named after their least id, nulls coming last."""
     bags = [bag(t) for _, t in rows]
     parent = list(range(len(rows)))
 
@@ -47,12 +48,13 @@ def labels_by_brute_force(rows, threshold):
 
     for i in range(len(rows)):
         for j in range(i):
-            if bags[i] and (rows[i][0] == rows[j][0] or similarity(bags[i], bags[j]) >= threshold):
+            if bags[i] and similarity(bags[i], bags[j]) >= threshold:
                 parent[find(i)] = find(j)
     least = {}
     for i, (d, _) in enumerate(rows):
-        least[find(i)] = min(least.get(find(i), d), d)
-    return sorted((d, least[find(i)] if bags[i] else d) for i, (d, _) in enumerate(rows))
+        if d is not None:
+            least[find(i)] = min(least.get(find(i), d), d)
+    return sorted(((d, least.get(find(i)) if bags[i] else d) for i, (d, _) in enumerate(rows)), key=str)
 
 
 @pytest.mark.parametrize("block", [1024, 7])
@@ -71,17 +73,55 @@ def test_against_brute_force(spark, block):
     rows = list(enumerate(texts))
     rng.shuffle(rows)
     df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, label int").repartition(4)
-    got = near_duplicates(df, block=block)
-    assert got.columns == ["doc_id", "class_id"]
-    assert sorted(map(tuple, got.collect())) == labels_by_brute_force(rows, 0.8)
+    got = near_duplicates(df, block=block, max_broadcast=0 if block == 7 else 500_000)
+    assert got.columns == ["doc_id", "class_id", "text_key", "class_key", "linked_id", "similarity"]
+    found = got.collect()
+    assert sorted([(r.doc_id, r.class_id) for r in found], key=str) == labels_by_brute_force(rows, 0.8)
+    text = dict(rows)
+    for r in found:  # every row but the first of a class has a link of its own, with the right similarity
+        assert (r.linked_id is None) == (r.similarity is None) == (r.class_id == r.doc_id)
+        if r.linked_id is not None:
+            assert r.similarity >= 0.8 and abs(r.similarity - similarity(bag(text[r.doc_id]), bag(text[r.linked_id]))) < 1e-9
 
 
 def test_rows_without_id_and_empty_table(spark):
-    df = spark.createDataFrame([(None, "a b c d e f"), (3, "a b c d e f"), (4, "A b c, d e f"), (2**60 + 1, "q"), (2**60 + 3, "q")], "doc_id long, text string")
-    assert sorted(map(str, near_duplicates(df).collect())) == sorted(map(str, [("Row(doc_id=None, class_id=None)"), "Row(doc_id=3, class_id=3)", "Row(doc_id=4, class_id=3)", *(f"Row(doc_id={2**60 + i}, class_id={2**60 + 1})" for i in (1, 3))]))
+    rows = [(None, "a b c d e f"), (3, "a b c d e f"), (4, "A b c, d e f"), (4, "something else altogether"), (4, "something else altogether"), (2**60 + 1, "q"), (2**60 + 3, "q"),
+            (None, "no id has this"), (None, "no, id has this"), (None, None), (5, None), (6, "Something else, altogether")]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, node int")
+    got = near_duplicates(df).collect()
+    assert sorted([(r.doc_id, r.class_id) for r in got], key=str) == labels_by_brute_force(rows, 0.8)
+    assert sum(r.text_key == r.class_key and r.doc_id == r.class_id for r in got) == 7  # one of them twice, as the row is
     assert near_duplicates(df.limit(0)).collect() == []
 
 
+def test_links_beside_the_least_text_of_a_band(spark):
+    """Chains and families whose members are near each other but not the least one."""
+    rng = random.Random(11)
+    base = [f"c{i}" for i in range(120)]
+    rows = []
+    for i in range(60):  # neighbours in the chain are at about 0.85, ends far apart
+        rows.append((i, " ".join(base)))
+        base = base[4:] + [f"n{i}x{k}" for k in range(4)]
+    family = [f"f{i}" for i in range(200)]
+    for i in range(100, 160):
+        t = list(family)
+        for _ in range(rng.choice([2, 7])):
+            t[rng.randrange(200)] = f"r{rng.random()}"
+        rows.append((i, " ".join(t)))
+    for block in (1024, 10):
+        got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), block=block).collect()
+        assert sorted([(r.doc_id, r.class_id) for r in got], key=str) == labels_by_brute_force(rows, 0.8)
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(12)
+    words = [f"w{rng.randrange(50_000)}" for _ in range(200_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:190_000])), (3, " ".join(words[:100_000])), (4, "x")]
+    assert len(rows[1][1]) > 1_000_000
+    got = {r.doc_id: (r.class_id, r.linked_id) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (1, None), 2: (1, 1), 3: (3, None), 4: (4, None)}
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (9, 8), (8, 7), (7, 6), (6, 5), (20, 20), (30, 31), (31, 32), (32, 33), (33, 34), (34, 30), (None, 4)]
     got = sorted(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import WordHash, bounded_batches, components, id_number, id_text, mixed, shingles, stored, text_chunks, tidy, words_of
+from .shared import WordHash, bounded_batches, components, mixed, shingles, stored, text_chunks, tidy, words_of
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -65,7 +65,7 @@ def band_keys(sig: np.ndarray, bands: int) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, text) -> doc_id, h1, h2 (hash of the word sequence), bands (none for a text without words)."""
+    """(id, key, text) -> id, key, h1, h2 (hash of the word sequence), bands (none for a text without words)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         h = WordHash()
@@ -75,10 +75,10 @@ def sketch(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
             bags = [np.unique(shingles(h.of(w), width), return_counts=True) for w in words]
             keys = band_keys(bag_min_hash(bags, bands * rows), bands).view(np.int64)
             yield pd.DataFrame({
-                "doc_id": b["doc_id"].to_numpy(), "h1": np.array([s[0] for s in seq], np.uint64).view(np.int64), "h2": np.array([s[1] for s in seq], np.uint64).view(np.int64),
+                "id": b["id"].to_numpy(), "key": b["key"].to_numpy(), "h1": np.array([s[0] for s in seq], np.uint64).view(np.int64), "h2": np.array([s[1] for s in seq], np.uint64).view(np.int64),
                 "bands": [k if len(bag[0]) else k[:0] for k, bag in zip(keys, bags, strict=True)]})
 
-    return id_number(docs.select(id_text(), "text").mapInPandas(tidy(run), "doc_id string, h1 long, h2 long, bands array<long>"))
+    return docs.select("id", "key", "text").mapInPandas(tidy(run), "id long, key long, h1 long, h2 long, bands array<long>")
 
 
 def bag_units(hashes: np.ndarray) -> np.ndarray:
@@ -89,10 +89,9 @@ def bag_units(hashes: np.ndarray) -> np.ndarray:
     return np.sort(mixed(hashes + (np.arange(len(hashes)) - start).astype(np.uint64) * GOLDEN))
 
 
-def overlap_edges(nodes: list[int], sets: list[np.ndarray], side: np.ndarray, threshold: float) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs with multiset Jaccard >= threshold; side: 0 and 1, or all 0 for pairs within.
-
-    Overlaps are counted by the posting lists of the hashes, all pairs that share one being covered."""
+def overlap_edges(nodes: list, sets: list[np.ndarray], side: np.ndarray, threshold: float) -> list[tuple]:
+    """A spanning forest of the pairs with multiset Jaccard >= threshold, as (node, node, similarity); side: 0 and 1, or
+    all 0 for pairs within. Overlaps are counted by the posting lists of the hashes, all pairs that share one being covered."""
     n, size = len(sets), np.array([len(s) for s in sets])
     if n < 2:
         return []
@@ -123,57 +122,107 @@ def overlap_edges(nodes: list[int], sets: list[np.ndarray], side: np.ndarray, th
             a, b = find(i), find(j)
             if a != b:
                 parent[a] = b
-                out.append((nodes[i], nodes[j]))
+                out.append((nodes[i], nodes[j], float(shared[j] / (size[i] + size[j] - shared[j]))))
     return out
 
 
+def _similar(pairs: DataFrame, sets: DataFrame, heap: int) -> DataFrame:
+    """Distinct pairs (a, b) of nodes -> a, b, similarity by their sets (node, units). A node that is a in over `heap`
+    pairs has its set sent to several parts of about so many pairs each."""
+    crowds = pairs.groupBy("a").agg(F.expr(f"cast(ceil(count(*) / {heap}) as int)").alias("parts")).where("parts > 1")
+    dealt = pairs.join(crowds, "a", "left").select("a", "b", F.expr("if(parts is null, 0, cast(pmod(xxhash64(b), parts) as int))").alias("part"))
+    left = sets.select(F.col("node").alias("a"), F.col("units").alias("ua")).join(crowds, "a", "left")
+    left = left.select("a", "ua", F.explode(F.expr("sequence(0, coalesce(parts, 1) - 1)")).alias("part"))
+    both = dealt.join(sets.select(F.col("node").alias("b"), F.col("units").alias("ub")), "b").join(left, ["a", "part"])
+    shared = F.size(F.array_intersect("ua", "ub"))
+    return both.select("a", "b", (shared / (F.size("ua") + F.size("ub") - shared)).alias("similarity"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, bands: int = 36, rows: int = 7, block: int = 1024,
                     max_broadcast: int = 500_000) -> DataFrame:
-    """(doc_id, text) -> doc_id, class_id (the least doc_id of its class), one row per input row.
-
-    Texts are bags of `width`-word shingles of their lower-cased words. Links are pairs of documents with weighted
-    Jaccard similarity of at least `threshold`; classes are the connected components. Equal word sequences are one
-    class from the start. One row of each sequence goes on: texts that agree in a band (at 0.8 a pair agrees in none
-    of 36 with probability 0.0002) are candidates, their components are blocks of work, and within a component all
-    overlaps are counted exactly. A component beyond `block` texts is cut in blocks, and each pair of blocks is a task
-    of its own, so that no task grows with a component. Texts without words (null, empty) are classes of their own;
-    so are rows without doc_id, with a null class. Rows that share a doc_id share a class. Other columns are ignored.
+    """(doc_id, text) -> doc_id, class_id (the least doc_id of its class), text_key and class_key (xxhash64 of the text of
+    the row, and of the row of class_id), linked_id (the doc_id of the text it was verified with; null if it is the
+    first of its class) and similarity to that text; one row per input row.
+
+    Texts are bags of `width`-word shingles of their lower-cased words. Links are pairs of texts with weighted Jaccard
+    similarity of at least `threshold`; classes are the connected components. Equal word sequences are one class from
+    the start. One row of each sequence goes on, as a set of shingles written once: texts that agree in a band (at 0.8 a
+    pair agrees in none of 36 with probability 0.0002) are candidates. Each is first compared with the least text of each
+    of its bands: copies, however many, are linked by one comparison each. Bands that still hold texts of several groups
+    give blocks of work, components of what they hold, and within a component all overlaps are counted exactly: beyond
+    `block` texts each pair of blocks is a task of its own. No link between texts of a band is left out.
+
+    Texts without words (null, empty) are classes of their own. Rows are told apart by doc_id and text: those that share
+    a doc_id are in the classes of their texts, those without doc_id have the class_id of their class, null if none of
+    it has one, and come last in it. Other columns are ignored.
     """
+    last = (1 << 63) - 1  # stands for a missing id
     docs = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.select(F.coalesce("doc_id", F.lit(last)).alias("id"), F.xxhash64("text").alias("key"), "text")
     sk = stored(sketch(docs, width, bands, rows), "sketch")
-    full = sk.where("size(bands) > 0 and doc_id is not null")
-    reps = stored(full.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "reps")
-    keyed = reps.select("rep", F.explode("bands").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).where("n > 1").select("key", "lead")
-    cand = components(keyed.join(buckets, "key").select(F.col("lead").alias("a"), F.col("rep").alias("b")), "cand")
+    full = sk.where("size(bands) > 0")
+    # h1, a 64-bit hash, is the node of a word sequence; rep is the row that stands for it
+    reps = stored(full.groupBy("h1", "h2").agg(F.min(F.struct("id", "key")).alias("rep"), F.first("bands").alias("bands")).withColumn("node", F.col("h1")), "reps")
+    keyed = reps.select("node", F.explode("bands").alias("band"))
+    buckets = stored(keyed.groupBy("band").agg(F.min("node").alias("lead"), F.count("*").alias("n")).where("n > 1").select("band", "lead"), "buckets")
+    held = stored(keyed.join(buckets, "band").select("band", "lead", "node"), "held")
+    nodes = stored(held.select("node").distinct().join(reps, "node").select("node", "rep.id", "rep.key"), "nodes")
+    wanted = docs.join(F.broadcast(nodes) if nodes.count() <= max_broadcast else nodes, ["id", "key"])
+
+    def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        h = WordHash()
+        for b in text_chunks(batches, 1_000_000):
+            yield pd.DataFrame({"node": b["node"], "units": [bag_units(shingles(h.of(words_of(t)), width)).view(np.int64) for t in b["text"]]})
+
+    sets = wanted.select("node", "text").mapInPandas(tidy(bags), "node long, units array<long>")
+    sets = stored(sets.groupBy("node").agg(F.first("units").alias("units")), "sets")  # a row may be there twice
+    stars = held.where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    found = stored(_similar(stars, sets, block).where(F.col("similarity") >= threshold - 1e-9), "stars")
+    groups = components(found, "stars")
+    mine = stored(held.join(groups, "node", "left").select("band", "node", F.coalesce("label", "node").alias("group")), "mine")
+    mixed_bands = mine.groupBy("band").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.min("node").alias("lead")).where("low != high").select("band", "lead")
+    cand = components(mine.join(mixed_bands, "band").select(F.col("lead").alias("a"), F.col("node").alias("b")), "cand")
     sizes = cand.groupBy("label").agg(F.expr(f"cast(ceil(count(*) / {block}) as int)").alias("blocks"))
-    units = stored(
-        cand.join(sizes, "label").withColumn("own", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
-        .select("node", "label", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
-        .select(F.col("node").alias("doc_id"), "label", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")), "units")
-    small = units.count() <= max_broadcast
-    work = docs.join(F.broadcast(units) if small else units, "doc_id")
+    units = (cand.join(sizes, "label").withColumn("own", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
+             .select("node", "label", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
+             .select("node", "label", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")))
+    work = units.join(sets, "node")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        h, key, nodes, sets, side = WordHash(), None, [], [], []
+        part, nodes, sets, side = None, [], [], []
 
         def done() -> pd.DataFrame:
-            return pd.DataFrame(overlap_edges(nodes, sets, np.array(side), threshold), columns=["a", "b"])
+            return pd.DataFrame(overlap_edges(nodes, sets, np.array(side), threshold), columns=["a", "b", "similarity"])
 
         for b in batches:
             for r in b.itertuples(index=False):
-                if (r.label, r.lo, r.hi) != key:
+                if (r.label, r.lo, r.hi) != part:
                     if len(nodes) > 1:
                         yield done()
-                    key, nodes, sets, side = (r.label, r.lo, r.hi), [], [], []
-                nodes.append(r.doc_id)
-                sets.append(bag_units(shingles(h.of(words_of(r.text)), width)))
+                    part, nodes, sets, side = (r.label, r.lo, r.hi), [], [], []
+                nodes.append(r.node)
+                sets.append(r.units.view(np.uint64))
                 side.append(int(r.own != r.lo))
         if len(nodes) > 1:
             yield done()
 
-    edges = work.repartition("label", "lo", "hi").sortWithinPartitions("label", "lo", "hi").mapInPandas(tidy(verify), "a long, b long")
-    labels = components(edges, "links")
-    by_rep = reps.select("h1", "h2", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", F.coalesce("label", "rep").alias("class_id"))
-    found = sk.select("doc_id", "h1", "h2", F.expr("if(size(bands) > 0 and doc_id is not null, 1, 0)").alias("full"))
-    return found.join(by_rep.withColumn("full", F.lit(1)), ["h1", "h2", "full"], "left").select("doc_id", F.expr("if(doc_id is null, null, coalesce(class_id, doc_id))").alias("class_id"))
+    more = work.repartition("label", "lo", "hi").sortWithinPartitions("label", "lo", "hi", "node").mapInPandas(tidy(verify), "a long, b long, similarity double")
+    more = stored(more, "more")
+    ga, gb = groups.select(F.col("node").alias("a"), F.col("label").alias("la")), groups.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    merged = components(more.join(ga, "a", "left").join(gb, "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")), "links")
+    merged = merged.select(F.col("node").alias("group"), F.col("label").alias("whole"))
+    labels = mine.select("node", "group").distinct().join(merged, "group", "left").select("node", F.coalesce("whole", "group").alias("label"))
+    rep = reps.select("node", "rep")
+    labels = stored(labels.join(rep, "node"), "labels")
+    classes = labels.join(labels.groupBy("label").agg(F.min("rep").alias("first")), "label").select("node", "first")
+    edges = found.unionByName(more)
+    ends = edges.select(F.col("a").alias("node"), F.col("b").alias("other"), "similarity").unionByName(edges.select(F.col("b").alias("node"), F.col("a").alias("other"), "similarity"))
+    ends = ends.join(labels.select(F.col("node").alias("other"), F.col("rep").alias("to")), "other")
+    link = ends.groupBy("node").agg(F.max(F.struct("similarity", (-F.col("to.id")).alias("i"))).alias("link"))
+    by_text = reps.join(classes, "node", "left").join(link, "node", "left").select("h1", "h2", "rep", F.coalesce("first", "rep").alias("first"), "link", F.lit(1).alias("full"))
+    out = sk.select("id", "key", "h1", "h2", F.expr("if(size(bands) > 0, 1, 0)").alias("full")).join(by_text, ["h1", "h2", "full"], "left")
+    state = "case when rep is null or (id = first.id and key = first.key) then 0 when id = rep.id and key = rep.key then 1 else 2 end"
+    number = lambda c: F.expr(f"nullif({c}, {last}L)")
+    return out.withColumn("state", F.expr(state)).select(
+        number("id").alias("doc_id"), number("coalesce(first.id, id)").alias("class_id"), F.col("key").alias("text_key"), F.expr("coalesce(first.key, key)").alias("class_key"),
+        number("case state when 1 then -link.i when 2 then rep.id end").alias("linked_id"), F.expr("case state when 1 then link.similarity when 2 then 1.0D end").alias("similarity"))
