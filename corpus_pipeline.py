@@ -5,20 +5,34 @@ Each stage takes (spark, docs, sf_dir) and returns rows with the columns of docu
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from variantloom.llm import decontaminate, language, neardup, pieces, substrings
 from variantloom.llm.shared import stored, table
 
-#: Ids up to this number are sent to all tasks to drop rows by; more are joined by shuffle.
+#: Row keys up to this number are sent to all tasks to drop rows by; more are joined by shuffle.
 MAX_BROADCAST = 1_000_000
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs without the rows of these doc_ids; rows without doc_id stay."""
-    ids = stored(ids.distinct(), "drop")
-    return docs.join(F.broadcast(ids) if ids.count() <= MAX_BROADCAST else ids, "doc_id", "left_anti").select(docs.columns)
+def _key(text_key: str = "xxhash64(text)") -> Column:
+    """What tells rows apart: a hash of doc_id and text; doc_ids can be missing or given twice."""
+    return F.expr(f"xxhash64(coalesce(cast(doc_id as string), ''), {text_key})")
+
+
+def _unused(docs: DataFrame, name: str) -> str:
+    """name, or a longer one that no column of docs has."""
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return name
+
+
+def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """docs without the rows of these keys."""
+    keys, key = stored(keys.distinct(), "drop"), _unused(docs, "row_key")
+    keys = keys.toDF(key)
+    small = F.broadcast(keys) if keys.count() <= MAX_BROADCAST else keys
+    return docs.withColumn(key, _key()).join(small, key, "left_anti").select(docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,26 +41,32 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps, of each class of near duplicates, the document with the least doc_id; of rows that share one, one row."""
-    classes = neardup.near_duplicates(docs)
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    """Keeps one row of each class of near duplicates: that with the least doc_id (rows without one come last), then by a
+    hash of the text. Of rows equal in doc_id and text the first by the other columns stays."""
+    classes = stored(neardup.near_duplicates(docs).select("doc_id", "text_key", "class_id", "class_key"), "classes")
+    repeated = classes.groupBy("doc_id", "text_key").count().where("count > 1")
     if repeated.limit(1).count():
-        first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", *(c for c in docs.columns if c not in ("doc_id", "text"))))
-        docs = docs.withColumn("_first", first).where("_first = 1 or doc_id is null").drop("_first")
-    return _without(docs, classes.where("class_id != doc_id").select("doc_id"))
+        key, row = _unused(docs, "row_key"), _unused(docs, "row")
+        again = stored(repeated.select(_key("text_key").alias(key)), "again")
+        keyed, own = docs.withColumn(key, _key()), F.struct(*docs.columns)
+        held = keyed.join(again, key, "left_semi").groupBy(key).agg(F.min_by(own, F.to_json(own)).alias(row)).select(f"{row}.*")
+        docs = keyed.join(again, key, "left_anti").select(docs.columns).unionByName(held)
+    return _without(docs, classes.where("not (doc_id <=> class_id and text_key = class_key)").select(_key("text_key")))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts repeated 200-byte strings out of the texts (and what is left of a character); drops texts cut to nothing."""
-    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    cut = substrings.remove_repeats(docs.select("doc_id", "text", *(F.col(c).alias(f"_{c}") for c in rest)), carry=tuple(f"_{c}" for c in rest), as_text=True)
+    rest = {c: f"own_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    cut = substrings.remove_repeats(docs.select("doc_id", "text", *(F.col(f"`{c}`").alias(n) for c, n in rest.items())), carry=tuple(rest.values()), as_text=True)
     kept = cut.where("n_removed = 0 or n_removed < n_bytes")
-    return kept.select(*(F.col("kept").alias("text") if c == "text" else F.length("kept").cast("long").alias(c) if c == "n_chars" else F.col(c) if c == "doc_id" else F.col(f"_{c}").alias(c) for c in docs.columns))
+    made = {"doc_id": F.col("doc_id"), "text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return kept.select(*(made.get(c, F.col(rest[c]) if c in rest else None).alias(c) for c in docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark passage."""
-    return _without(docs, decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id"))
+    keyed = docs.select(_key().alias("doc_id"), "text")
+    return _without(docs, decontaminate.contaminated(keyed, table(spark, sf_dir, "benchmark")).select("doc_id"))
 
 
 def sentence_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
