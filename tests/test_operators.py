@@ -141,7 +141,7 @@ def test_pair_bayes_factor_equals_matrix_form(spark):
     df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, z1 double, z2 double, r double, b1 double, b2 double")
     got = {r.i: r.x for r in df.select("i", scoring.log_bf_pair(F.col("z1"), F.col("z2"), F.col("r"), F.lit(700.0), F.col("b1"), F.col("b2")).alias("x")).collect()}
     for i, (z1, z2, r, b1, b2) in enumerate(cases):
-        want = finemap.set_log_bf(np.array([z1, z2]), np.array([b1, b2]), np.array([[1, r], [r, 1]]), 700, 0.0025)
+        want = finemap.set_log_bfs(np.array([[z1, z2]]), np.array([[b1, b2]]), np.array([[[1, r], [r, 1]]]), 700, 0.0025)[0]
         assert got[i] == pytest.approx(want, abs=1e-8)
 
 
@@ -157,7 +157,7 @@ def test_fine_mapping_sums_to_one(spark):
     for r in c.where("size = 3").collect():
         i = [int(s[1:]) for s in r.snps]
         cov = np.array([[1 if a == b else (0.1 * (a + b)) % 1 for b in i] for a in i])
-        assert r.log_bf == pytest.approx(finemap.set_log_bf(np.array(i) - 2.0, 0.01 * np.array(i), cov, 1000, 0.0025))
+        assert r.log_bf == pytest.approx(finemap.set_log_bfs(np.array([i]) - 2.0, 0.01 * np.array([i]), cov[None], 1000, 0.0025)[0])
     left = m.withColumn("z", F.expr("if(rsid in ('s1', 's3'), null, z)")).withColumn("beta", F.expr("if(rsid in ('s1', 's3'), null, beta)"))
     got = {r.rsid: r for r in finemap.impute_z(left, pairs).collect() if r.cluster_id == "k"}
     s = 0.9 * np.array([[1 if a == b else (0.1 * (a + b)) % 1 for b in range(6)] for a in range(6)]) + 0.1 * np.eye(6)

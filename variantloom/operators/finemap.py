@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scoring
+from ..functions.tables import stored
 
 EQTL_SAMPLES = 500
 
@@ -27,103 +26,144 @@ def _keyed(ld: DataFrame):
     return ld.select(F.col("cluster_id").alias("_cluster"), "rsid_a", "rsid_b", "r").groupBy("_cluster")
 
 
-def _nothing(**kinds) -> pd.DataFrame:
-    return pd.DataFrame({c: pd.Series([], dtype=k) for c, k in kinds.items()})
+def _correlations(names: list[str], pairs: pd.DataFrame) -> np.ndarray:
+    """The matrix of these SNPs from pairs in either order; 0 where a pair or its r is missing, 1 on the diagonal."""
+    at = {s: i for i, s in enumerate(names)}
+    a, b = (pairs[c].map(at).to_numpy(float, na_value=np.nan) for c in ("rsid_a", "rsid_b"))
+    r, out = np.nan_to_num(pairs["r"].to_numpy(float)), np.eye(len(names))
+    ok = ~(np.isnan(a) | np.isnan(b))
+    i, j = a[ok].astype(int), b[ok].astype(int)
+    out[i, j] = out[j, i] = np.where(i == j, 1.0, r[ok])
+    return out
+
+
+def impute_values(cov: np.ndarray, known: np.ndarray, values: np.ndarray, shrink: float = 0.1, rcond: float = 1e-4, chunk: int = 4_000_000) -> np.ndarray:
+    """values (series, SNPs, quantities), known (series, SNPs) -> values with the unknown filled by S_mk pinv(S_kk) of
+    the known, S being the correlations shrunk towards the identity. Series with equally many known are solved together."""
+    m = len(cov)
+    s, out = (1 - shrink) * cov + shrink * np.eye(m), np.where(known[:, :, None], values, 0.0)
+    count = known.sum(axis=1)
+    for k in np.unique(count[(count > 0) & (count < m)]).tolist():
+        rows = np.flatnonzero(count == k)
+        step = max(1, chunk // (m * k))
+        for part in np.split(rows, range(step, len(rows), step)):
+            at = np.nonzero(known[part])[1].reshape(-1, k)
+            inverse = np.linalg.pinv(s[at[:, :, None], at[:, None, :]], rcond)
+            full = np.swapaxes(s[:, at], 0, 1) @ inverse @ np.take_along_axis(values[part], at[:, :, None], 1)
+            out[part] = np.where(known[part][:, :, None], values[part], full)
+    return out
 
 
-def impute_z(members: DataFrame, ld: DataFrame, shrink: float = 0.1, rcond: float = 1e-4, most: int = 5_000) -> DataFrame:
+def impute_z(members: DataFrame, ld: DataFrame, *keys: str, shrink: float = 0.1, rcond: float = 1e-4) -> DataFrame:
     """Members (cluster_id, rsid, z, beta; null where unknown) and ld (cluster_id, rsid_a, rsid_b, r) -> all with z and beta.
 
     The unknown ones are the LD-weighted combination S_mk pinv(S_kk) of the known, with S shrunk towards the identity.
-    One task holds one cluster's matrix; a cluster of over `most` members is an error. Clusters without a known SNP
-    give no rows.
+    With keys (gene_id and tissue, say) members hold the known rows of each key, and each key of a cluster gets all SNPs
+    that the cluster has under any key, or in LD. A task holds one cluster's matrix: the square of its members. Clusters
+    (and keys) without a known SNP give no rows.
     """
-    known = members.groupBy("cluster_id").agg(F.count("z").alias("known"), F.count("*").alias("m")).where("known > 0")
-    left = members.join(known, "cluster_id").select("cluster_id", "rsid", "z", "beta")
+    kinds = dict(members.dtypes)
+    known = members.where("z is not null").select("cluster_id").distinct()
+    left = members.join(known, "cluster_id", "left_semi").select("cluster_id", "rsid", "z", "beta", *keys)
 
     def fill(own: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
-        own = own.sort_values("rsid").reset_index(drop=True)
-        if len(own) > most:
-            raise ValueError(f"cluster {own['cluster_id'].iloc[0]} has {len(own)} members, over {most}")
-        at = {s: i for i, s in enumerate(own["rsid"])}
-        s = np.eye(len(own))
-        for a, b, r in zip(pairs["rsid_a"], pairs["rsid_b"], pairs["r"], strict=True):
-            if a in at and b in at:
-                s[at[a], at[b]] = s[at[b], at[a]] = r
-        k = own["z"].notna().to_numpy()
-        s = (1 - shrink) * np.nan_to_num(s) + shrink * np.eye(len(own))
-        weights = s[np.ix_(~k, k)] @ np.linalg.pinv(s[np.ix_(k, k)], rcond)
-        out = {c: own[c].to_numpy(object) for c in ("cluster_id", "rsid")}
-        for c in ("z", "beta"):
-            x = own[c].fillna(0.0).to_numpy(float)
-            x[~k] = weights @ x[k]
-            out[c] = x
-        return pd.DataFrame(out | {"imputed": ~k})
-
+        names = sorted(set(own["rsid"]) | (set(pairs["rsid_a"]) | set(pairs["rsid_b"]) if keys else set()))
+        at = own["rsid"].map({s: i for i, s in enumerate(names)}).to_numpy()
+        group = own.groupby(list(keys), sort=True, dropna=False).ngroup().to_numpy() if keys else np.zeros(len(own), int)
+        n = group.max() + 1
+        values, seen = np.zeros((n, len(names), 2)), np.zeros((n, len(names)), bool)
+        got = own["z"].notna().to_numpy()
+        values[group[got], at[got]] = own.loc[got, ["z", "beta"]].fillna(0.0).to_numpy(float)
+        seen[group[got], at[got]] = True
+        some = np.flatnonzero(seen.any(axis=1))
+        values = impute_values(_correlations(names, pairs), seen[some], values[some], shrink, rcond)
+        first = own.iloc[np.unique(group, return_index=True)[1][some]]
+        out = {c: np.repeat(first[c].to_numpy(object), len(names)) for c in ("cluster_id", *keys)}
+        return pd.DataFrame(out | {"rsid": names * len(some), "z": values[:, :, 0].ravel(), "beta": values[:, :, 1].ravel(), "imputed": ~seen[some].ravel()})
+
+    cols = {"cluster_id": kinds["cluster_id"], **{k: kinds[k] for k in keys}, "rsid": "string", "z": "double", "beta": "double", "imputed": "boolean"}
     return left.groupBy("cluster_id").cogroup(_keyed(ld)).applyInPandas(
-        lambda a, b: fill(a, b) if len(a) else _nothing(cluster_id=object, rsid=object, z=float, beta=float, imputed=bool),
-        f"cluster_id {dict(members.dtypes)['cluster_id']}, rsid string, z double, beta double, imputed boolean")
+        lambda a, b: fill(a, b) if len(a) else pd.DataFrame({c: pd.Series([], dtype=object) for c in cols}), ", ".join(f"{c} {k}" for c, k in cols.items()))
 
 
-def configurations(members: DataFrame, ld: DataFrame | None = None, n: int = 1000, kmax: int = 1, most: int = 2_000, v: float = scoring.PRIOR_VARIANCE) -> DataFrame:
+def member_pairs(members: DataFrame, *keys: str, block: int = 512) -> DataFrame:
+    """All pairs of members (rsid, z, beta) of a cluster (or key), as rsid_a < rsid_b, z1, b1, z2, b2.
+
+    Each key's members are dealt into blocks of about `block`, and each pair of blocks meets under a key of its own, so
+    that a dense locus is many tasks."""
+    keys = list(keys or ("cluster_id",))
+    sizes = members.groupBy(*keys).agg(F.expr(f"cast(ceil(count(*) / {block}) as int)").alias("_blocks"))
+    own = members.join(sizes, keys).withColumn("_own", F.expr("cast(pmod(xxhash64(rsid), _blocks) as int)"))
+    every = F.explode(F.expr("sequence(0, _blocks - 1)"))
+    a = own.select(*keys, F.col("_own").alias("_a"), every.alias("_b"), F.col("rsid").alias("rsid_a"), F.col("z").alias("z1"), F.col("beta").alias("b1"))
+    b = own.select(*keys, F.col("_own").alias("_b"), every.alias("_a"), F.col("rsid").alias("rsid_b"), F.col("z").alias("z2"), F.col("beta").alias("b2"))
+    return a.join(b, [*keys, "_a", "_b"]).where("rsid_a < rsid_b").drop("_a", "_b")
+
+
+def configurations(members: DataFrame, ld: DataFrame | None = None, n: int = 1000, kmax: int = 1, *keys: str, v: float = scoring.PRIOR_VARIANCE) -> DataFrame:
     """Members (cluster_id, rsid, z, beta) -> cluster_id, snps (sorted), size, m (members), log_bf, log_prior (binomial),
-    for all sets of 1 .. kmax members. Pairs need ld (cluster_id, rsid_a < rsid_b, r).
+    for all sets of 1 .. kmax members, in each cluster or each of the given keys (cluster_id among them). Sets of two and
+    more need ld (cluster_id, rsid_a < rsid_b, r); a pair that ld lacks has r 0.
 
-    Singles and pairs are joins and column expressions. Sets of three and more are enumerated by a task per cluster, and
-    there, as for pairs, a cluster of over `most` members is an error.
+    Sets grow by a join: two sets that differ in their last member make one that is larger by one. Those of three and
+    more are scored in batches of matrices; no task holds a cluster.
     """
-    size = members.groupBy("cluster_id").agg(F.count("*").alias("m"))
-    base = members.select("cluster_id", "rsid", "z", "beta").join(size, "cluster_id")
-    nn = F.lit(float(n))
+    keys = list(keys or ("cluster_id",))
+    size = members.groupBy(*keys).agg(F.count("*").alias("m"))
+    nn, c = F.lit(float(n)), F.col
     prior = lambda k: scoring.log_prior_binomial(F.lit(float(k)), kmax, F.col("m").cast("double"))
-    out = base.select("cluster_id", F.array("rsid").alias("snps"), F.lit(1).alias("size"), "m", scoring.log_bf_single(F.col("z"), nn, v).alias("log_bf"), prior(1).alias("log_prior"))
+    scored = lambda df, k, bf: df.join(size, keys).select(*keys, "snps", F.lit(k).alias("size"), "m", bf.alias("log_bf"), prior(k).alias("log_prior"))
+    base = members.select(*keys, "rsid", "z", "beta")
+    out = scored(base.withColumn("snps", F.array("rsid")), 1, scoring.log_bf_single(c("z"), nn, v))
     if kmax == 1:
         return out
-    base = base.withColumn("_ok", F.when(F.col("m") > most, F.raise_error(F.lit(f"a cluster has over {most} members"))).otherwise(F.lit(True))).where("_ok").drop("_ok")
-    a = base.select("cluster_id", "m", F.col("rsid").alias("rsid_a"), F.col("z").alias("z1"), F.col("beta").alias("b1"))
-    b = base.select("cluster_id", F.col("rsid").alias("rsid_b"), F.col("z").alias("z2"), F.col("beta").alias("b2"))
-    pairs = a.join(b, "cluster_id").where("rsid_a < rsid_b").join(ld.select("cluster_id", "rsid_a", "rsid_b", "r"), ["cluster_id", "rsid_a", "rsid_b"])
-    c = F.col
-    bf = scoring.log_bf_pair(c("z1"), c("z2"), F.coalesce("r", F.lit(0.0)), nn, c("b1"), c("b2"), v)
-    out = out.unionByName(pairs.select("cluster_id", F.array("rsid_a", "rsid_b").alias("snps"), F.lit(2).alias("size"), "m", bf.alias("log_bf"), prior(2).alias("log_prior")))
+    r = ld.where("rsid_a < rsid_b").select("cluster_id", "rsid_a", "rsid_b", "r")
+    pairs = member_pairs(base, *keys).join(r, ["cluster_id", "rsid_a", "rsid_b"], "left").withColumn("r", F.coalesce("r", F.lit(0.0)))
     if kmax > 2:
-        out = out.unionByName(_large_sets(base, ld, n, kmax, v).select("cluster_id", "snps", "size", "m", "log_bf", scoring.log_prior_binomial(F.col("size").cast("double"), kmax, F.col("m").cast("double")).alias("log_prior")))
+        pairs = stored(pairs, "pairs")
+    bf = scoring.log_bf_pair(c("z1"), c("z2"), c("r"), nn, c("b1"), c("b2"), v)
+    out = out.unionByName(scored(pairs.withColumn("snps", F.array("rsid_a", "rsid_b")), 2, bf))
+    sets = pairs.select(*keys, F.array("rsid_a", "rsid_b").alias("snps"), F.array("z1", "z2").alias("z"), F.array("b1", "b2").alias("beta"), F.array("r").alias("rs"))
+    for k in range(3, kmax + 1):
+        head, last = F.slice("snps", 1, k - 2), F.element_at("snps", -1)
+        x = sets.select(*keys, head.alias("_head"), "snps", "z", "beta", "rs", last.alias("rsid_a"))
+        y = sets.select(*keys, head.alias("_head"), last.alias("rsid_b"), F.element_at("z", -1).alias("z2"), F.element_at("beta", -1).alias("b2"), F.slice("rs", -(k - 2), k - 2).alias("rs2"))
+        both = x.join(y, [*keys, "_head"]).where("rsid_a < rsid_b").join(pairs.select(*keys, "rsid_a", "rsid_b", "r"), [*keys, "rsid_a", "rsid_b"])
+        sets = stored(both.select(*keys, F.expr("array_append(snps, rsid_b)").alias("snps"), F.expr("array_append(z, z2)").alias("z"), F.expr("array_append(beta, b2)").alias("beta"),
+                                  F.concat("rs", "rs2", F.array("r")).alias("rs")), "sets")
+        out = out.unionByName(scored(_set_scores(sets, k, n, v), k, c("bf")))
     return out
 
 
-def set_log_bf(z: np.ndarray, beta: np.ndarray, cov: np.ndarray, n: float, v: float, most_r: float = 0.9, eigen: float = 0.1) -> float:
-    """Log Bayes factor of a set of SNPs of any size; 0 for sets too correlated or not positive definite with the trait."""
-    m = len(z)
-    if m > 1 and np.abs(np.tril(cov, -1)).max() > most_r:
-        return 0.0
-    full = np.eye(m + 1)
-    full[1:, 1:] = cov
-    full[0, 1:] = full[1:, 0] = beta * np.sqrt(0.5)
-    if m > 1 and np.linalg.eigvalsh(full).min() <= eigen:
-        return 0.0
+def set_log_bfs(z: np.ndarray, beta: np.ndarray, cov: np.ndarray, n: float, v: float, most_r: float = 0.9, eigen: float = 0.1) -> np.ndarray:
+    """Log Bayes factors of sets (number, size) with correlations (number, size, size); 0 for sets too correlated or not
+    positive definite with the trait."""
+    m = z.shape[1]
+    full = np.tile(np.eye(m + 1), (len(z), 1, 1))
+    full[:, 1:, 1:] = cov
+    full[:, 0, 1:] = full[:, 1:, 0] = beta * np.sqrt(0.5)
+    out = np.abs(np.tril(cov, -1)).max(axis=(1, 2)) > most_r
+    out |= np.linalg.eigvalsh(full).min(axis=1) <= eigen
     _, det = np.linalg.slogdet(np.eye(m) + n * v * cov)
-    return float(-0.5 * det + 0.5 * z @ np.linalg.pinv(np.eye(m) / (n * v) + cov, 1e-4) @ z)
-
-
-def _large_sets(base: DataFrame, ld: DataFrame, n: int, kmax: int, v: float) -> DataFrame:
-    def sets(own: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
-        own = own.sort_values("rsid").reset_index(drop=True)
-        at = {s: i for i, s in enumerate(own["rsid"])}
-        cov = np.eye(len(own))
-        for a, b, r in zip(pairs["rsid_a"], pairs["rsid_b"], pairs["r"], strict=True):
-            if a in at and b in at:
-                cov[at[a], at[b]] = cov[at[b], at[a]] = 0.0 if r is None or np.isnan(r) else r
-        z, beta, names = own["z"].to_numpy(float), own["beta"].to_numpy(float), own["rsid"].to_numpy()
-        rows = []
-        for k in range(3, kmax + 1):
-            for s in combinations(range(len(own)), k):
-                i = list(s)
-                rows.append((own["cluster_id"].iloc[0], names[i].tolist(), k, len(own), set_log_bf(z[i], beta[i], cov[np.ix_(i, i)], n, v)))
-        return pd.DataFrame(rows, columns=["cluster_id", "snps", "size", "m", "log_bf"])
-
-    return base.groupBy("cluster_id").cogroup(_keyed(ld)).applyInPandas(
-        lambda a, b: sets(a, b) if len(a) else _nothing(cluster_id=object, snps=object, size="int32", m="int64", log_bf=float),
-        f"cluster_id {dict(base.dtypes)['cluster_id']}, snps array<string>, size int, m long, log_bf double")
+    inverse = np.linalg.pinv(np.eye(m) / (n * v) + cov, 1e-4)
+    return np.where(out, 0.0, -0.5 * det + 0.5 * np.einsum("ni,nij,nj->n", z, inverse, z))
+
+
+def _set_scores(sets: DataFrame, k: int, n: int, v: float) -> DataFrame:
+    """Sets of k SNPs with z, beta and rs (for each SNP its r to those before it) -> adds bf."""
+    low = np.tril_indices(k, -1)
+
+    def score(batches):
+        for b in batches:
+            if not len(b):
+                continue
+            cov = np.tile(np.eye(k), (len(b), 1, 1))
+            cov[:, low[0], low[1]] = cov[:, low[1], low[0]] = np.stack(b["rs"].to_numpy())
+            bf = set_log_bfs(np.stack(b["z"].to_numpy()).astype(float), np.stack(b["beta"].to_numpy()).astype(float), cov, n, v)
+            yield b.drop(columns=["z", "beta", "rs"]).assign(bf=bf)
+
+    kept = [f for f in sets.schema.fields if f.name not in ("z", "beta", "rs")]
+    return sets.mapInPandas(score, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", bf double")
 
 
 def log_prior_annotation(configs: DataFrame, annotations: DataFrame, weights: dict[str, float], members: DataFrame) -> DataFrame:
@@ -148,12 +188,15 @@ def log_prior_annotation(configs: DataFrame, annotations: DataFrame, weights: di
 def posterior(configs: DataFrame, *keys: str) -> DataFrame:
     """Adds posterior: softmax of log_bf + log_prior (clipped at 700) within the keys (cluster_id by default).
 
-    The largest value and the sum come from aggregates that are joined back, so no task holds a cluster's sets."""
+    The sum of the exponentials is kept by whole hundreds of the exponent, so that it neither overflows nor vanishes, is
+    combined before the shuffle and joined back once; no task holds a cluster's sets."""
     keys = list(keys or ("cluster_id",))
     x = configs.withColumn("_x", F.least(F.lit(700.0), F.col("log_bf") + F.col("log_prior")))
-    top = x.groupBy(*keys).agg(F.max("_x").alias("_top"))
-    x = x.join(top, keys).withColumn("_e", F.exp(F.col("_x") - F.col("_top")))
-    return x.join(x.groupBy(*keys).agg(F.sum("_e").alias("_sum")), keys).withColumn("posterior", F.col("_e") / F.col("_sum")).drop("_x", "_e", "_top", "_sum")
+    level = F.ceil(F.col("_x") / 100)
+    parts = x.where("_x is not null").groupBy(*keys, level.alias("_level")).agg(F.sum(F.exp(F.col("_x") - level * 100)).alias("_s"))
+    top = parts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_level", "_s")), asc=False).alias("_p"))
+    total = F.expr("_p[0]._level * 100 + ln(aggregate(_p, 0.0D, (a, p) -> a + p._s * exp((p._level - _p[0]._level) * 100)))")
+    return x.join(top.select(*keys, total.alias("_total")), keys).withColumn("posterior", F.exp(F.col("_x") - F.col("_total"))).drop("_x", "_total")
 
 
 def inclusion_probability(configs: DataFrame, *keys: str) -> DataFrame:
@@ -162,16 +205,21 @@ def inclusion_probability(configs: DataFrame, *keys: str) -> DataFrame:
     return configs.select(*keys, F.explode("snps").alias("rsid"), "posterior").groupBy(*keys, "rsid").agg(F.sum("posterior").alias("probability"))
 
 
-def eqtl_configurations(members: DataFrame, index: DataFrame, n: int = EQTL_SAMPLES) -> DataFrame:
-    """Members (cluster_id, rsid) and eQTLs (gene_id, tissue, rsid, z, beta) -> posteriors of single-SNP sets for each
-    cluster, gene and tissue with at least one member among the eQTLs; members without one have z 0."""
-    hit = index.join(members.select("cluster_id", "rsid"), "rsid")
-    sets = hit.select("cluster_id", "gene_id", "tissue").distinct().join(members.select("cluster_id", "rsid"), "cluster_id")
-    full = sets.join(hit.select("cluster_id", "gene_id", "tissue", "rsid", "z"), ["cluster_id", "gene_id", "tissue", "rsid"], "left").withColumn("z", F.coalesce("z", F.lit(0.0)))
-    size = members.groupBy("cluster_id").agg(F.count("*").alias("m"))
-    c = full.join(size, "cluster_id").select("cluster_id", "gene_id", "tissue", F.array("rsid").alias("snps"), F.lit(1).alias("size"), "m",
-                                             scoring.log_bf_single(F.col("z"), F.lit(float(n))).alias("log_bf"), scoring.log_prior_binomial(F.lit(1.0), 1, F.col("m").cast("double")).alias("log_prior"))
-    return posterior(c, "cluster_id", "gene_id", "tissue")
+def eqtl_configurations(members: DataFrame, index: DataFrame, n: int = EQTL_SAMPLES, ld: DataFrame | None = None, kmax: int = 1) -> DataFrame:
+    """Members (cluster_id, rsid) and eQTLs (gene_id, tissue, rsid, z, beta) -> posteriors of the sets of up to kmax SNPs
+    for each cluster, gene and tissue with at least one member among the eQTLs.
+
+    With ld (cluster_id, rsid_a, rsid_b, r) members without an eQTL have z and beta imputed from the others, without it 0."""
+    keys = ["cluster_id", "gene_id", "tissue"]
+    own = members.select("cluster_id", "rsid")
+    hit = index.join(own, "rsid").select(*keys, "rsid", "z", *(["beta"] if "beta" in index.columns else [F.lit(0.0).alias("beta")]))
+    everyone = hit.select(*keys).distinct().join(own, "cluster_id")
+    if ld is None:
+        full = everyone.join(hit, [*keys, "rsid"], "left").withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("z", "beta")})
+    else:
+        all_pairs = ld.select("cluster_id", "rsid_a", "rsid_b", "r").unionByName(own.select("cluster_id", F.col("rsid").alias("rsid_a"), F.col("rsid").alias("rsid_b"), F.lit(1.0).alias("r")))
+        full = everyone.join(impute_z(hit, all_pairs, "gene_id", "tissue"), [*keys, "rsid"])
+    return posterior(configurations(full, ld, n, kmax, *keys), *keys)
 
 
 def shared_configurations(gwas: DataFrame, eqtl: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .filters import MAIN_CHROMS, main_assembly_only
@@ -24,13 +24,14 @@ def overlap(snps: DataFrame, bed: DataFrame, width: int = 5_000) -> DataFrame:
 def nearest(snps: DataFrame, tss: DataFrame, most: int = 100_000) -> DataFrame:
     """Each SNP with its closest TSS (all on ties) at less than `most` bases, and the distance.
 
-    TSS are repeated for the bins on either side. Ties are found by a minimum per SNP that the aggregate combines before
-    the shuffle, and a window over one SNP's candidates."""
-    s = snps.withColumn("_bin", _bin(F.col("pos"), most))
-    t = tss.withColumn("_own", _bin(F.col("tss"), most)).withColumn("_bin", F.explode(F.sequence(F.col("_own") - 1, F.col("_own") + 1))).drop("_own")
-    pairs = s.join(t, ["chrom", "_bin"]).drop("_bin").withColumn("distance", F.abs(F.col("pos") - F.col("tss"))).where(F.col("distance") < most)
-    best = F.rank().over(Window.partitionBy("chrom", "pos", "rsid").orderBy("distance"))
-    return pairs.withColumn("_rank", best).where("_rank = 1").drop("_rank")
+    TSS are gathered by the bins on either side of theirs, as one sorted list of places a bin: a SNP meets its bin's list
+    once, finds the least distance in it, and only then joins the TSS at that distance, so no candidate pair is shuffled."""
+    t = tss.withColumn("_tss_bin", F.explode(F.sequence(_bin(F.col("tss"), most) - 1, _bin(F.col("tss"), most) + 1)))
+    places = t.groupBy("chrom", "_tss_bin").agg(F.collect_set("tss").alias("_places"))
+    s = snps.withColumn("_tss_bin", _bin(F.col("pos"), most)).join(places, ["chrom", "_tss_bin"])
+    s = s.withColumn("distance", F.expr("array_min(transform(_places, x -> abs(x - pos)))")).where(F.col("distance") < most).drop("_places", "_tss_bin")
+    at = s.withColumn("tss", F.explode(F.expr("if(distance = 0, array(pos), array(pos - distance, pos + distance))")))
+    return at.join(tss, ["chrom", "tss"])
 
 
 def locate_snps(rsids: DataFrame, snp_ref: DataFrame) -> DataFrame:

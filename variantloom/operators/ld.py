@@ -87,11 +87,17 @@ def ld_window(leads: DataFrame, packed: DataFrame, window: int = 500_000, r2: fl
     return near.unionByName(own)
 
 
-def pairwise_ld(members: DataFrame, packed: DataFrame) -> DataFrame:
-    """cluster_id, rsid_a, rsid_b (a < b, or equal with r = r2 = 1), r2, d_prime, r; members off the panel are left out."""
-    site = members.select("cluster_id", "rsid").distinct().join(packed, "rsid").select("cluster_id", _site("x"))
-    a, b = site.withColumnRenamed("x", "a"), site.withColumnRenamed("x", "b")
-    stats = ld_stats(genotype_pair_counts(a.join(b, "cluster_id").where("a.rsid < b.rsid")))
+def pairwise_ld(members: DataFrame, packed: DataFrame, block: int = 256) -> DataFrame:
+    """cluster_id, rsid_a, rsid_b (a < b, or equal with r = r2 = 1), r2, d_prime, r; members off the panel are left out.
+
+    A cluster's members are dealt into blocks of about `block`, and each pair of blocks meets under a key of its own."""
+    own = members.select("cluster_id", "rsid").distinct()
+    sizes = own.groupBy("cluster_id").agg(F.expr(f"cast(ceil(count(*) / {block}) as int)").alias("_blocks"))
+    site = own.join(sizes, "cluster_id").join(packed, "rsid").select("cluster_id", "_blocks", F.expr("cast(pmod(xxhash64(rsid), _blocks) as int)").alias("_own"), _site("x"))
+    every = F.explode(F.expr("sequence(0, _blocks - 1)"))
+    a = site.select("cluster_id", F.col("_own").alias("_a"), every.alias("_b"), F.col("x").alias("a"))
+    b = site.select("cluster_id", F.col("_own").alias("_b"), every.alias("_a"), F.col("x").alias("b"))
+    stats = ld_stats(genotype_pair_counts(a.join(b, ["cluster_id", "_a", "_b"]).where("a.rsid < b.rsid")))
     cols = ["cluster_id", F.col("a.rsid").alias("rsid_a"), F.col("b.rsid").alias("rsid_b"), "r2", "d_prime", "r"]
     one = F.lit(1.0)
     same = site.select("cluster_id", F.col("x.rsid").alias("rsid_a"), F.col("x.rsid").alias("rsid_b"), one.alias("r2"), one.alias("d_prime"), one.alias("r"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scoring
+from ..functions.tables import stored
 from . import evidence as ev
 from .filters import clean_pmid, efo_short_form, ld_filter, main_assembly_only
 
@@ -65,33 +66,70 @@ def sort_by_score(genes: DataFrame) -> DataFrame:
 POPULATIONS = ["afr", "amr", "eas", "eur", "sas", "gnomad", "gnomad_sas", "gnomad_oth", "gnomad_asj", "gnomad_nfe", "gnomad_afr", "gnomad_amr", "gnomad_fin", "gnomad_eas"]
 
 
+def _placed(rows: DataFrame, genes: DataFrame, snp38: DataFrame, gene38: DataFrame) -> DataFrame:
+    """Rows (rsid, chrom, pos, gene_id, ..) with their gene and the second assembly's places; only main chromosomes stay."""
+    g = genes.select("gene_id", F.col("name").alias("gene_symbol"), F.col("chrom").alias("gene_chrom"), F.col("tss").alias("gene_tss"))
+    out = main_assembly_only(rows).join(g, "gene_id")
+    out = out.join(snp38.select("rsid", F.col("chrom").alias("GRCh38_chrom"), F.col("pos").alias("GRCh38_pos")), "rsid").join(
+        gene38.select("gene_id", F.col("chrom").alias("GRCh38_gene_chrom"), F.col("tss").alias("GRCh38_gene_pos")), "gene_id")
+    return main_assembly_only(main_assembly_only(out, "GRCh38_chrom"), "GRCh38_gene_chrom")
+
+
+def _noted(rows: DataFrame, eqtl: DataFrame, mafs: DataFrame, terms: DataFrame, vep: DataFrame, tissues: list[str]) -> DataFrame:
+    """Rows with what may be missing: VEP terms and scores, a GTEx_ column per tissue, population frequencies. The eQTLs
+    are cut down to the SNPs and genes at hand before they become columns."""
+    pairs = rows.select("rsid", "gene_id").distinct()
+    rows = rows.join(terms, ["rsid", "gene_id"], "left").join(vep.select("rsid", "gene_id", "VEP_sum", "VEP_mean"), ["rsid", "gene_id"], "left")
+    wide = ev.tissue_columns(eqtl.join(pairs, ["rsid", "gene_id"], "left_semi"), tissues).select("gene_id", "rsid", *[F.col(f"`{t}`").alias(f"GTEx_{t}") for t in tissues])
+    rows = rows.join(wide, ["gene_id", "rsid"], "left").join(mafs.select("rsid", "mafs"), "rsid", "left")
+    zero = {f"GTEx_{t}": F.coalesce(F.col(f"`GTEx_{t}`"), F.lit(0.0)) for t in tissues}
+    return rows.withColumns({p: F.try_element_at("mafs", F.lit(p)) for p in POPULATIONS} | zero | {
+        "vep_terms": F.coalesce("vep_terms", F.lit("N/A")), "vep_sum": F.coalesce("VEP_sum", F.lit(0.0)), "vep_mean": F.coalesce("VEP_mean", F.lit(0.0))})
+
+
+PLACE = ["chrom", "pos", "GRCh38_chrom", "GRCh38_pos"]
+GENE = ["gene_symbol", "gene_id", "gene_chrom", "gene_tss", "GRCh38_gene_chrom", "GRCh38_gene_pos"]
+VEP = ["vep_terms", "vep_sum", "vep_mean"]
+
+
+def snp_output(snps: DataFrame, scores: DataFrame, genes: DataFrame, eqtl: DataFrame, mafs: DataFrame, terms: DataFrame, vep: DataFrame,
+               snp38: DataFrame, gene38: DataFrame, tissues: list[str] | None = None) -> DataFrame:
+    """The table of single SNPs (rsid, chrom, pos): a row for each gene that a SNP has a score for, without clusters."""
+    tissues = ev.TISSUES if tissues is None else tissues
+    rows = stored(_placed(snps.select("rsid", "chrom", "pos").distinct().join(scores, "rsid"), genes, snp38, gene38), "rows")
+    out = _noted(rows, eqtl, mafs, terms, vep, tissues)
+    return out.select(F.col("rsid").alias("snp_rsID"), *PLACE, *POPULATIONS, *GENE, "score", *VEP, *[f"`GTEx_{t}`" for t in tissues], *ev.CIS_SOURCES, *ev.REG_SOURCES)
+
+
 def assemble_output(assoc: DataFrame, members: DataFrame, scores: DataFrame, genes: DataFrame, ld: DataFrame, eqtl: DataFrame, mafs: DataFrame, terms: DataFrame,
-                    vep: DataFrame, snp38: DataFrame, gene38: DataFrame, tissues: list[str] | None = None, r2: float = 0.7) -> DataFrame:
+                    vep: DataFrame, snp38: DataFrame, gene38: DataFrame, tissues: list[str] | None = None, r2: float = 0.7, clpp: DataFrame | None = None) -> DataFrame:
     """The wide table: a row for each association of a cluster's GWAS SNP, LD SNP and gene.
 
     assoc: cluster_id, rsid (GWAS SNP), pvalue, efo, disease, reported_trait, source, publication, study, sample_size,
-    odds_ratio, beta; members: cluster_id, rsid, chrom, pos; scores: as v2g_scores; ld: rsid_a, rsid_b, r2; eqtl: as
-    eqtl_index; mafs: rsid, mafs map; terms and vep: as vep_terms and vep_stats. Rows need a publication, both places on
-    main chromosomes and r2 to the GWAS SNP. A left join adds what may be missing.
+    odds_ratio, beta, and if known pvalue_description, ci_start, ci_end; members: cluster_id, rsid, chrom, pos; scores: as
+    v2g_scores; ld: rsid_a, rsid_b, r2; eqtl: as eqtl_index; mafs: rsid, mafs map; terms and vep: as vep_terms and
+    vep_stats. Rows need a publication, both places on main chromosomes and r2 to the GWAS SNP. A left join adds what may
+    be missing. With clpp (gene_id, cluster_id, rsid, tissue, clpp_snp) there is a <tissue>_CLPP column per tissue, 0
+    where the SNP has none. LD SNPs meet the GWAS SNPs of their cluster first and those in LD the associations then.
     """
-    a = assoc.withColumn("gwas_pmid", clean_pmid("publication")).where("gwas_pmid is not null")
+    optional = {"pvalue_description": "string", "ci_start": "double", "ci_end": "double"}
+    a = assoc.withColumns({c: F.lit(None).cast(k) for c, k in optional.items() if c not in assoc.columns})
+    a = a.withColumn("gwas_pmid", clean_pmid("publication")).where("gwas_pmid is not null")
     a = a.select("cluster_id", F.col("rsid").alias("gwas_rsid"), F.col("pvalue").alias("gwas_pvalue"), F.col("disease").alias("disease_name"), efo_short_form("efo").alias("disease_efo_id"),
-                 F.col("source").alias("gwas_source"), F.col("odds_ratio").alias("gwas_odds_ratio"), F.col("beta").alias("gwas_beta"), F.col("sample_size").alias("gwas_size"), "gwas_pmid",
-                 F.col("study").alias("gwas_study"), F.col("reported_trait").alias("gwas_reported_trait"))
-    g = genes.select("gene_id", F.col("name").alias("gene_symbol"), F.col("chrom").alias("gene_chrom"), F.col("tss").alias("gene_tss"))
-    base = main_assembly_only(members.select("cluster_id", "rsid", "chrom", "pos")).join(gene_rank(scores), "rsid").join(g, "gene_id")
-    base = base.join(snp38.select("rsid", F.col("chrom").alias("GRCh38_chrom"), F.col("pos").alias("GRCh38_pos")), "rsid").join(
-        gene38.select("gene_id", F.col("chrom").alias("GRCh38_gene_chrom"), F.col("tss").alias("GRCh38_gene_pos")), "gene_id")
-    base = main_assembly_only(main_assembly_only(base, "GRCh38_chrom"), "GRCh38_gene_chrom")
-    rows = ld_filter(base.join(a, "cluster_id"), ld, r2)
-    rows = rows.join(terms, ["rsid", "gene_id"], "left").join(vep.select("rsid", "gene_id", "VEP_sum", "VEP_mean"), ["rsid", "gene_id"], "left")
+                 F.col("source").alias("gwas_source"), F.col("pvalue_description").alias("gwas_pvalue_description"), F.col("odds_ratio").alias("gwas_odds_ratio"),
+                 F.col("ci_start").alias("gwas_odds_ratio_ci_start"), F.col("ci_end").alias("gwas_odds_ratio_ci_end"), F.col("beta").alias("gwas_beta"), F.col("sample_size").alias("gwas_size"),
+                 "gwas_pmid", F.col("study").alias("gwas_study"), F.col("reported_trait").alias("gwas_reported_trait"))
     tissues = ev.TISSUES if tissues is None else tissues
-    wide = ev.tissue_columns(eqtl, tissues).select("gene_id", "rsid", *[F.col(f"`{t}`").alias(f"GTEx_{t}") for t in tissues])
-    rows = rows.join(wide, ["gene_id", "rsid"], "left").join(mafs.select("rsid", "mafs"), "rsid", "left")
-    return rows.select(
-        F.col("rsid").alias("ld_snp_rsID"), "chrom", "pos", "GRCh38_chrom", "GRCh38_pos", *[F.try_element_at("mafs", F.lit(p)).alias(p) for p in POPULATIONS],
-        "gene_symbol", "gene_id", "gene_chrom", "gene_tss", "GRCh38_gene_chrom", "GRCh38_gene_pos", "disease_name", "disease_efo_id", "score", "rank", "r2", "cluster_id", "gwas_source",
-        F.col("gwas_rsid").alias("gwas_snp"), "gwas_pvalue", "gwas_odds_ratio", "gwas_beta", "gwas_size", "gwas_pmid", "gwas_study", "gwas_reported_trait",
-        (F.col("rsid") == F.col("gwas_rsid")).cast("int").alias("ld_snp_is_gwas_snp"), F.coalesce("vep_terms", F.lit("N/A")).alias("vep_terms"),
-        F.coalesce("VEP_sum", F.lit(0.0)).alias("vep_sum"), F.coalesce("VEP_mean", F.lit(0.0)).alias("vep_mean"),
-        *[F.coalesce(F.col(f"`GTEx_{t}`"), F.lit(0.0)).alias(f"GTEx_{t}") for t in tissues], *ev.CIS_SOURCES, *ev.REG_SOURCES)
+    leads = a.select("cluster_id", "gwas_rsid").distinct()
+    near = ld_filter(main_assembly_only(members.select("cluster_id", "rsid", "chrom", "pos")).join(leads, "cluster_id"), ld, r2)
+    rows = stored(_placed(near.join(gene_rank(scores), "rsid"), genes, snp38, gene38).join(a, ["cluster_id", "gwas_rsid"]), "rows")
+    out = _noted(rows, eqtl, mafs, terms, vep, tissues)
+    posterior = []
+    if clpp is not None:
+        by_tissue = clpp.groupBy("cluster_id", "gene_id", "rsid").pivot("tissue", tissues).agg(F.max("clpp_snp"))
+        out = out.join(by_tissue.select("cluster_id", "gene_id", "rsid", *[F.col(f"`{t}`").alias(f"{t}_CLPP") for t in tissues]), ["cluster_id", "gene_id", "rsid"], "left")
+        posterior = [F.coalesce(F.col(f"`{t}_CLPP`"), F.lit(0.0)).alias(f"{t}_CLPP") for t in tissues]
+    return out.select(
+        F.col("rsid").alias("ld_snp_rsID"), *PLACE, *POPULATIONS, *GENE, "disease_name", "disease_efo_id", "score", "rank", "r2", "cluster_id", "gwas_source", F.col("gwas_rsid").alias("gwas_snp"),
+        "gwas_pvalue", "gwas_pvalue_description", "gwas_odds_ratio", "gwas_odds_ratio_ci_start", "gwas_odds_ratio_ci_end", "gwas_beta", "gwas_size", "gwas_pmid", "gwas_study", "gwas_reported_trait",
+        (F.col("rsid") == F.col("gwas_rsid")).cast("int").alias("ld_snp_is_gwas_snp"), *VEP, *[f"`GTEx_{t}`" for t in tissues], *ev.CIS_SOURCES, *ev.REG_SOURCES, *posterior)

@@ -1,6 +1,6 @@
 """Registered queries and their oracles."""
 
-from . import loci, results, sources  # noqa: F401  they register themselves
+from . import lifecycle, loci, results, sources  # noqa: F401  they register themselves
 from .base import ORACLES, QUERIES
 from .results import significant_snp_genes
 

@@ -33,6 +33,7 @@ def rounded(df: DataFrame, *cols: str, places: int = 6) -> DataFrame:
 
 VIEWS |= {
     "fx_lead": "SELECT s.rsid, s.chrom, s.pos, g.pvalue FROM {fx_snp} s JOIN (SELECT rsid, min(pvalue) AS pvalue FROM {fx_gwas} WHERE pvalue > 0 AND sample_size > 0 GROUP BY rsid) g ON s.rsid = g.rsid WHERE g.pvalue < 5e-8",
+    "fx_block": "SELECT chrom || ':' || CAST(CAST(floor(idx / 16) AS BIGINT) AS VARCHAR(9)) AS cluster_id, rsid, chrom, pos, idx, k, CAST(k % 13 AS DOUBLE) / 3 - 2 AS z, CAST(k % 7 AS DOUBLE) / 100 - 0.03 AS beta FROM {fx_snp}",
     "fx_regulome": "SELECT chrom, bstart, bend, CASE feature_id % 5 WHEN 0 THEN '1a' WHEN 1 THEN '2b' ELSE '3a' END AS category FROM {fx_bed}",
     "fx_vep": "SELECT s.rsid, g.gene_id, CASE s.k % 4 WHEN 0 THEN 'HIGH' WHEN 1 THEN 'MODERATE' WHEN 2 THEN 'LOW' ELSE 'MODIFIER' END AS impact, CASE s.k % 3 WHEN 0 THEN 'stop_gained' WHEN 1 THEN 'missense_variant' ELSE 'intron_variant' END AS term "
               "FROM {fx_snp} s JOIN {fx_gene} g ON g.chrom = s.chrom AND abs(g.tss - s.pos) < 50000",
@@ -59,7 +60,8 @@ VIEWS |= {
 
 
 def packed(s: SparkSession, d: str) -> DataFrame:
-    return ld.pack_genotypes(view(s, d, "fx_geno"), 60)
+    n = view(s, d, "fx_sample").agg(F.max("sample_id")).first()[0]
+    return ld.pack_genotypes(view(s, d, "fx_geno"), 1 + (n or 0))
 
 
 def window(s: SparkSession, d: str) -> DataFrame:
@@ -67,21 +69,25 @@ def window(s: SparkSession, d: str) -> DataFrame:
     return stored(ld.ld_window(view(s, d, "fx_lead"), packed(s, d)), "sets")
 
 
-def cis(s: SparkSession, d: str) -> DataFrame:
-    snps, genes = view(s, d, "fx_snp"), view(s, d, "fx_gene")
+def cis(s: SparkSession, d: str, snps: DataFrame | None = None) -> DataFrame:
+    """Evidence of the given SNPs (rsid, chrom, pos), of all by default."""
+    eqtl, genes = view(s, d, "fx_eqtl"), view(s, d, "fx_gene")
+    if snps is not None:
+        eqtl = eqtl.join(snps.select("rsid"), "rsid", "left_semi")
+    snps = view(s, d, "fx_snp") if snps is None else snps
     rows = evidence.pchic_evidence(snps, view(s, d, "fx_bed"))
     rows = rows.unionByName(intervals.nearest(snps, genes.select("chrom", "tss", "gene_id")).select("rsid", "gene_id", F.lit(1.0).alias("score"), F.lit("Nearest").alias("source")))
-    gtex = view(s, d, "fx_eqtl").where("pvalue < 0.05").select("rsid", "gene_id", (1 - F.col("pvalue")).alias("score"), F.lit("GTEx").alias("source"))
+    gtex = eqtl.where("pvalue < 0.05").select("rsid", "gene_id", (1 - F.col("pvalue")).alias("score"), F.lit("GTEx").alias("source"))
     coding = genes.where(CODING).select("gene_id")
     return rows.unionByName(gtex).join(coding, "gene_id", "left_semi").select("rsid", "gene_id", "source", "score")
 
 
-def reg(s: SparkSession, d: str) -> DataFrame:
-    return evidence.regulome_evidence(view(s, d, "fx_snp"), view(s, d, "fx_regulome"))
+def reg(s: SparkSession, d: str, snps: DataFrame | None = None) -> DataFrame:
+    return evidence.regulome_evidence(view(s, d, "fx_snp") if snps is None else snps, view(s, d, "fx_regulome"))
 
 
-def v2g(s: SparkSession, d: str) -> DataFrame:
-    return evidence.v2g_scores(cis(s, d), reg(s, d))
+def v2g(s: SparkSession, d: str, snps: DataFrame | None = None) -> DataFrame:
+    return evidence.v2g_scores(cis(s, d, snps), reg(s, d, snps))
 
 
 __all__ = ["CODING", "F", "ORACLES", "QUERIES", "VIEWS", "cis", "oracle", "packed", "query", "reg", "rounded", "sql", "v2g", "view", "window"]

@@ -21,7 +21,7 @@ def _gene_id(x: str) -> str:
 VIEWS = {
     "fx_snp": f"""SELECT 'rs' || {_text('p_partkey')} AS rsid, CAST(p_partkey AS BIGINT) AS k, CAST(floor(p_partkey / 5) AS BIGINT) AS idx,
         {CHROM.format('p_partkey')} AS chrom, CAST({BASE.format('p_partkey')} + CAST(floor(p_partkey / 5) AS BIGINT) * 8000 AS BIGINT) AS pos FROM {{part}}""",
-    "fx_sample": "SELECT CAST(c_custkey AS BIGINT) AS sample_id, CASE c_custkey % 5 WHEN 0 THEN 'EUR' WHEN 1 THEN 'AFR' WHEN 2 THEN 'EAS' WHEN 3 THEN 'SAS' ELSE 'AMR' END AS super_pop FROM {customer} WHERE c_custkey < 60",
+    "fx_sample": "SELECT CAST(s_suppkey AS BIGINT) AS sample_id, CASE s_suppkey % 5 WHEN 0 THEN 'EUR' WHEN 1 THEN 'AFR' WHEN 2 THEN 'EAS' WHEN 3 THEN 'SAS' ELSE 'AMR' END AS super_pop FROM {supplier}",
     "fx_geno": """SELECT rsid, chrom, pos, sample_id, CASE WHEN (idx * 31 + sample_id * 17) % 23 = 0 THEN (d + 1) % 3 ELSE d END AS dosage FROM (
         SELECT s.rsid, s.chrom, s.pos, s.idx, c.sample_id, CAST((c.sample_id * 7 + CAST(floor(s.idx / 16) AS BIGINT) * 5 + CAST(floor(c.sample_id / 5) AS BIGINT)) % 3 AS INT) AS d
         FROM {fx_snp} s CROSS JOIN {fx_sample} c) g""",
@@ -42,15 +42,15 @@ VIEWS = {
     "fx_grasp_lines": f"""SELECT repeat('x' || chr(9), 4) || {_text('l_partkey')} || chr(9) || repeat('y' || chr(9), 2) || 'PMID' || {_text('l_orderkey')} || chr(9) || repeat('z' || chr(9), 2)
         || CASE WHEN l_linenumber = 7 THEN 'NR' ELSE '1e-' || CAST(CAST(floor(l_quantity / 4) AS INT) AS VARCHAR(5)) END || chr(9) || 'w' || chr(9) || 'trait ' || CASE l_linenumber % 3 WHEN 0 THEN 'AIR' WHEN 1 THEN 'RAIL' ELSE 'SHIP' END || chr(9)
         || repeat('v' || chr(9), 11) || {_text('l_suppkey')} || chr(9) || repeat('u' || chr(9), 45) || 'http://www.ebi.ac.uk/efo/EFO_' || l_returnflag || ',http://www.ebi.ac.uk/efo/EFO_' || l_linestatus AS value
-        FROM {{lineitem}} WHERE l_orderkey % 20 = 0""",
+        FROM {{lineitem}}""",
     "fx_phewas_lines": f"""SELECT 'chr1' || chr(9) || 'rs' || {_text('l_partkey')} || chr(9) || 'trait ' || CASE l_linenumber % 3 WHEN 0 THEN 'AIR' WHEN 1 THEN 'RAIL' ELSE 'SHIP' END || chr(9) || {_text('l_suppkey')} || chr(9)
         || CASE WHEN l_linenumber = 7 THEN 'NR' ELSE '1e-' || CAST(CAST(floor(l_quantity / 4) AS INT) AS VARCHAR(5)) END || chr(9) || CAST(CAST(l_quantity AS INT) AS VARCHAR(9)) || chr(9) || 'g' || chr(9) || 'c' || chr(9) || 'a' || chr(9)
-        || CASE WHEN l_linenumber = 2 THEN 'N/A' ELSE 'http://www.ebi.ac.uk/efo/EFO_' || l_returnflag || ',http://www.ebi.ac.uk/efo/EFO_' || l_linestatus END AS value FROM {{lineitem}} WHERE l_orderkey % 20 = 0""",
+        || CASE WHEN l_linenumber = 2 THEN 'N/A' ELSE 'http://www.ebi.ac.uk/efo/EFO_' || l_returnflag || ',http://www.ebi.ac.uk/efo/EFO_' || l_linestatus END AS value FROM {{lineitem}}""",
     "fx_gwasdb_lines": f"""SELECT '1' || chr(9) || '100' || chr(9) || 'rs' || {_text('l_partkey')} || chr(9)
         || CASE WHEN l_linenumber = 7 THEN 'NR' ELSE '1e-' || CAST(CAST(floor(l_quantity / 4) AS INT) AS VARCHAR(5)) END || chr(9) || {_text('l_orderkey')} || chr(9) || 'trait ' || CASE l_linenumber % 3 WHEN 0 THEN 'AIR' WHEN 1 THEN 'RAIL' ELSE 'SHIP' END || chr(9)
-        || 'http://www.ebi.ac.uk/efo/EFO_' || l_returnflag || CASE WHEN l_linenumber = 3 THEN '' ELSE chr(9) || 'extra' END AS value FROM {{lineitem}} WHERE l_orderkey % 20 = 0""",
+        || 'http://www.ebi.ac.uk/efo/EFO_' || l_returnflag || CASE WHEN l_linenumber = 3 THEN '' ELSE chr(9) || 'extra' END AS value FROM {{lineitem}}""",
     "fx_ukb_lines": f"""SELECT 'rs' || {_text('l_partkey')} || chr(9) || 'of ' || l_returnflag || chr(9) || 'trait ' || CASE l_linenumber % 3 WHEN 0 THEN 'AIR' WHEN 1 THEN 'RAIL' ELSE 'SHIP' END || chr(9) || '1e-' || CAST(CAST(floor(l_quantity / 4) AS INT) AS VARCHAR(5)) || chr(9)
-        || {_text('l_suppkey')} || chr(9) || 'UKB' || chr(9) || 'S' || chr(9) || '1' || chr(9) || '-2' || CASE WHEN l_linenumber = 7 THEN '' ELSE chr(9) || 'decrease' END AS value FROM {{lineitem}} WHERE l_orderkey % 20 = 0""",
+        || {_text('l_suppkey')} || chr(9) || 'UKB' || chr(9) || 'S' || chr(9) || '1' || chr(9) || '-2' || CASE WHEN l_linenumber = 7 THEN '' ELSE chr(9) || 'decrease' END AS value FROM {{lineitem}}""",
 }
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 

@@ -167,7 +167,7 @@ def _window(s, d):
     return rounded(window(s, d), "r2")
 
 
-BLOCKS = "SELECT chrom || ':' || CAST(CAST(floor(idx / 16) AS BIGINT) AS VARCHAR(9)) AS cluster_id, rsid, chrom, pos FROM {fx_snp}"
+BLOCKS = "SELECT cluster_id, rsid, chrom, pos FROM {fx_block}"
 
 
 @query("pairwise_ld", f"WITH c AS ({BLOCKS}) SELECT x.cluster_id, x.rsid AS rsid_a, y.rsid AS rsid_b, CASE WHEN x.rsid = y.rsid THEN 1 ELSE round(corr(a.dosage, b.dosage), 6) END AS r FROM c x JOIN c y ON x.cluster_id = y.cluster_id AND x.rsid <= y.rsid JOIN {{fx_geno}} a ON a.rsid = x.rsid JOIN {{fx_geno}} b ON b.rsid = y.rsid AND a.sample_id = b.sample_id GROUP BY x.cluster_id, x.rsid, y.rsid")
@@ -215,14 +215,36 @@ def _remove(s, d):
     return cluster.remove_overlaps(_ranges(s, d)[2])
 
 
-@query("merge_tied_overlaps")
+def clusters_sql(win: str, lead: str) -> str:
+    """WITH RECURSIVE ..: clusters from LD sets and leads, up to ids (cluster_id, merged_id), as plain set operations."""
+    return f"""WITH RECURSIVE bad AS (SELECT DISTINCT lead FROM {win} WHERE (chrom = '6' AND pos >= 28477797 AND pos < 33448354) OR (chrom = '17' AND pos >= 44165260 AND pos < 44784489)),
+  win AS (SELECT * FROM {win} WHERE lead NOT IN (SELECT lead FROM bad)), top AS (SELECT * FROM {lead} WHERE rsid NOT IN (SELECT lead FROM bad)),
+  edge AS (SELECT DISTINCT w.rsid AS a, w.lead AS b FROM win w JOIN top a ON a.rsid = w.rsid JOIN top b ON b.rsid = w.lead WHERE a.chrom = b.chrom AND (a.pvalue < b.pvalue OR (a.pvalue = b.pvalue AND a.rsid < b.rsid)) AND b.pvalue * 1e-3 <= a.pvalue),
+  e AS (SELECT a, b FROM edge UNION SELECT b, a FROM edge), r AS (SELECT rsid AS root, rsid AS node FROM top UNION SELECT r.root, e.b FROM r JOIN e ON r.node = e.a),
+  lab AS (SELECT root AS rsid, min(node) AS cluster_id FROM r GROUP BY root), {MERGED}"""
+
+
+MERGED = """mem AS (SELECT DISTINCT lab.cluster_id, w.rsid, w.chrom, w.pos FROM win w JOIN lab ON lab.rsid = w.lead),
+  rng AS (SELECT m.cluster_id, m.chrom, min(m.pos) AS first, max(m.pos) AS last, p.pvalue FROM mem m JOIN (SELECT cluster_id, min(pvalue) AS pvalue FROM lab JOIN top USING (rsid) GROUP BY cluster_id) p USING (cluster_id) GROUP BY m.cluster_id, m.chrom, p.pvalue),
+  stay AS (SELECT * FROM rng a WHERE NOT EXISTS (SELECT 1 FROM rng b WHERE a.chrom = b.chrom AND a.cluster_id <> b.cluster_id AND a.first <= b.last AND b.first <= a.last AND b.pvalue < a.pvalue)),
+  tied AS (SELECT row_number() OVER (ORDER BY pvalue, a, b) AS n, a, b FROM (SELECT DISTINCT x.pvalue, x.cluster_id AS a, y.cluster_id AS b FROM stay x JOIN stay y ON x.chrom = y.chrom AND x.first <= y.last AND y.first <= x.last AND x.pvalue = y.pvalue AND x.cluster_id < y.cluster_id
+    WHERE EXISTS (SELECT 1 FROM mem m JOIN mem o ON m.rsid = o.rsid WHERE m.cluster_id = x.cluster_id AND o.cluster_id = y.cluster_id))),
+  greedy AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS used, CAST(NULL AS VARCHAR) AS a, CAST(NULL AS VARCHAR) AS b UNION ALL
+    SELECT g.i + 1, CASE WHEN list_contains(g.used, t.a) OR list_contains(g.used, t.b) THEN g.used ELSE g.used || [t.a, t.b] END, CASE WHEN list_contains(g.used, t.a) OR list_contains(g.used, t.b) THEN NULL ELSE t.a END, t.b FROM greedy g JOIN tied t ON t.n = g.i + 1),
+  ids AS (SELECT s.cluster_id, coalesce(g.a, s.cluster_id) AS merged_id FROM (SELECT DISTINCT cluster_id FROM stay) s LEFT JOIN (SELECT a, b FROM greedy WHERE a IS NOT NULL) g ON g.b = s.cluster_id),
+  mm AS (SELECT DISTINCT ids.merged_id AS cluster_id, mem.rsid, mem.chrom, mem.pos FROM mem JOIN ids ON ids.cluster_id = mem.cluster_id),
+  big AS (SELECT * FROM mm WHERE cluster_id IN (SELECT cluster_id FROM mm GROUP BY cluster_id HAVING count(*) >= 10)),
+  final AS (SELECT t.rsid, t.chrom, t.pos, t.pvalue, ids.merged_id AS cluster_id FROM top t JOIN lab USING (rsid) JOIN ids ON ids.cluster_id = lab.cluster_id WHERE ids.merged_id IN (SELECT cluster_id FROM big))"""
+
+
+@query("merge_tied_overlaps", REACH + ", win AS (SELECT * FROM {or_window}), top AS (SELECT * FROM {fx_lead}), " + MERGED + " SELECT cluster_id, merged_id FROM ids")
 def _tied(s, d):
     _, m, r = _ranges(s, d)
     kept = stored(cluster.remove_overlaps(r), "ranges")
     return cluster.merge_tied_overlaps(kept, stored(m, "members"))
 
 
-@query("cluster_gwas_snps")
+@query("cluster_gwas_snps", clusters_sql("{or_window}", "{fx_lead}") + " SELECT f.cluster_id, f.rsid, f.pvalue, n.n_members FROM final f JOIN (SELECT cluster_id, count(*) AS n_members FROM big GROUP BY cluster_id) n USING (cluster_id)")
 def _clusters(s, d):
     lab, m = cluster.cluster_gwas_snps(view(s, d, "fx_lead"), packed(s, d))
     return lab.select("cluster_id", "rsid", "pvalue").join(m.groupBy("cluster_id").agg(F.count("*").alias("n_members")), "cluster_id")

@@ -10,10 +10,11 @@ from .base import F, cis, packed, query, rounded, sql, v2g, view, window
 TISSUES = ["AF", "NF", "NO", "RF", "AO", "RO"]
 
 
-@query("cis_evidence", "SELECT rsid, gene_id, count(*) AS n, string_agg(DISTINCT source, ',' ORDER BY source) AS sources FROM {or_cis} GROUP BY rsid, gene_id")
+@query("cis_evidence", "SELECT rsid, gene_id, count(*) AS n, string_agg(DISTINCT source, ',' ORDER BY source) AS sources, round(sum(score), 6) AS total FROM {or_cis} GROUP BY rsid, gene_id")
 def _cis(s, d):
     e = evidence.cis_evidence(cis(s, d), view(s, d, "fx_gene"))
-    return e.select("rsid", "gene_id", F.size("evidence").cast("bigint").alias("n"), F.array_join(F.array_distinct(F.transform("evidence", lambda x: x["source"])), ",").alias("sources"))
+    return e.select("rsid", "gene_id", F.size("evidence").cast("bigint").alias("n"), F.array_join(F.array_distinct(F.transform("evidence", lambda x: x["source"])), ",").alias("sources"),
+                    F.expr("round(aggregate(evidence, 0.0D, (a, x) -> a + x.score), 6)").alias("total"))
 
 
 @query("v2g_scores", "SELECT rsid, gene_id, round(GTEx, 6) AS GTEx, round(PCHiC, 6) AS PCHiC, Nearest, Regulome, round(score, 6) AS score FROM {or_v2g}")
@@ -63,9 +64,9 @@ def _matrix(s, d):
     return evidence.annotation_matrix(cis(s, d), ["GTEx", "PCHiC", "Nearest"])
 
 
-@query("drop_gtex", "SELECT rsid, gene_id, source, count(*) AS n FROM (SELECT rsid, gene_id, source FROM {or_cis} WHERE source <> 'GTEx' UNION ALL SELECT rsid, gene_id, 'none' FROM {or_cis} GROUP BY rsid, gene_id HAVING bool_and(source = 'GTEx')) x GROUP BY rsid, gene_id, source")
+@query("drop_gtex", "SELECT rsid, gene_id, source, count(*) AS n, round(sum(score), 6) AS total FROM (SELECT rsid, gene_id, source, score FROM {or_cis} WHERE source <> 'GTEx' UNION ALL SELECT rsid, gene_id, 'none', 0 FROM {or_cis} GROUP BY rsid, gene_id HAVING bool_and(source = 'GTEx')) x GROUP BY rsid, gene_id, source")
 def _drop(s, d):
-    return evidence.drop_gtex(cis(s, d)).groupBy("rsid", "gene_id", "source").agg(F.count("*").alias("n"))
+    return evidence.drop_gtex(cis(s, d)).groupBy("rsid", "gene_id", "source").agg(F.count("*").alias("n"), F.round(F.sum("score"), 6).alias("total"))
 
 
 RANKED = "SELECT rsid, gene_id, round(score, 6) AS score, CAST(count(*) OVER (PARTITION BY rsid ORDER BY round(score, 6) DESC RANGE UNBOUNDED PRECEDING) AS INT) AS rank FROM {or_v2g}"
@@ -86,10 +87,12 @@ def significant_snp_genes(s, d):
     return snps.join(ranked, "rsid").select("rsid", "chrom", "pos", "pvalue", "gene_id", "score", "rank")
 
 
-# --- clusters by chromosome arm of one megabase: members with z scores -------------------------------------------------
+# --- clusters by block of sixteen neighbouring SNPs: members with z scores ---------------------------------------------
 
-HITS = "SELECT l.rsid AS cluster_id, l.rsid, l.chrom, l.pos, l.pvalue FROM {fx_lead} l"
-NEAR = "SELECT l.rsid AS cluster_id, s.rsid, s.chrom, s.pos, CAST(s.k % 13 AS DOUBLE) / 3 - 2 AS z, CAST(s.k % 7 AS DOUBLE) / 100 - 0.03 AS beta FROM {fx_lead} l JOIN {fx_snp} s ON l.chrom = s.chrom AND abs(l.pos - s.pos) <= 60000"
+NEAR = "SELECT cluster_id, rsid, chrom, pos, z, beta FROM {fx_block}"
+#: Quantiles of the normal distribution at 1 - p / 2, for p of 1, 0.1, 0.01, ...
+QUANTILES = (0.0, 1.644853627, 2.575829304, 3.290526731, 3.890591886, 4.417173413, 4.891638476, 5.326723886, 5.730728868, 6.109410205, 6.466951087, 6.806502491, 7.130506848)
+Z_SQL = "CASE CAST(round(-log10(g.pvalue)) AS INT) " + " ".join(f"WHEN {i} THEN {q}e0" for i, q in enumerate(QUANTILES)) + " END * sign(g.beta)"
 
 
 @query("top_gwas_hit", "SELECT cluster_id, rsid, pvalue FROM (SELECT chrom AS cluster_id, rsid, pvalue, row_number() OVER (PARTITION BY chrom ORDER BY pvalue, rsid) AS n FROM {fx_lead}) x WHERE n = 1")
@@ -147,10 +150,9 @@ def _sorted(s, d):
     return rounded(output.sort_by_score(_cluster_genes(s, d)).select("cluster_id", "rsid", "gene_id", "score"), "score")
 
 
-@query("z_from_p")
+@query("z_from_p", f"SELECT rsid, line, study_id, pvalue, round({Z_SQL}, 6) + 0.0 AS z FROM {{fx_gwas}} g")
 def _z(s, d):
-    g = sql(s, d, "SELECT rsid, line, study_id, pvalue, beta FROM {fx_gwas}")
-    return g.withColumn("z", scoring.z_from_p(F.col("pvalue"), F.col("beta")))
+    return view(s, d, "fx_gwas").select("rsid", "line", "study_id", "pvalue", (F.round(scoring.z_from_p(F.col("pvalue"), F.col("beta")), 6) + F.lit(0.0)).alias("z"))
 
 
 MEMBERS = f"SELECT *, count(*) OVER (PARTITION BY cluster_id) AS m FROM ({NEAR}) n"
@@ -185,9 +187,22 @@ def _bf2(s, d):
     return _configs(s, d).where("size = 2").select("cluster_id", F.array_join("snps", ",").alias("snps"), F.round("log_bf", 6).alias("log_bf"))
 
 
-@query("log_bf_gprior", f"SELECT cluster_id, rsid, round(-0.5 * ln(1 + 1000.0) + 0.5 * 1000.0 / 1001.0 * z * z, 6) AS log_bf FROM ({NEAR}) x")
+PRIORS = {"BRIC": (1000.0, 1000.0), "BIC": (1000.0, 1000.0), "RIC": (1.0, 2.0)}
+
+
+@query("log_bf_gprior", " UNION ALL ".join(
+    f"SELECT cluster_id, rsid AS snps, '{g}' AS g, round(-0.5 * ln(1 + {one}) + 0.5 * {one} / ({one} + 1) * z * z, 6) AS log_bf FROM ({NEAR}) x UNION ALL "
+    f"SELECT cluster_id, rsid_a || ',' || rsid_b, '{g}', round(-ln(1 + {two}) + 0.5 * {two} / ({two} + 1) * (z1 * z1 + z2 * z2 - 2 * r * z1 * z2) / (1 - r * r), 6) FROM ({PAIRED}) y" for g, (one, two) in PRIORS.items()))
 def _gprior(s, d):
-    return _members(s, d).select("cluster_id", "rsid", F.round(scoring.log_bf_gprior([F.col("z")], F.lit(1000.0)), 6).alias("log_bf"))
+    m, n = _members(s, d), F.lit(1000.0)
+    pairs = finemap.member_pairs(m.select("cluster_id", "rsid", "z", "beta")).join(_fake_ld(s, d), ["cluster_id", "rsid_a", "rsid_b"])
+    out = None
+    for g in PRIORS:
+        one = m.select("cluster_id", F.col("rsid").alias("snps"), F.lit(g).alias("g"), F.round(scoring.log_bf_gprior([F.col("z")], n, g=g), 6).alias("log_bf"))
+        two = pairs.select("cluster_id", F.concat_ws(",", "rsid_a", "rsid_b").alias("snps"), F.lit(g).alias("g"), F.round(scoring.log_bf_gprior([F.col("z1"), F.col("z2")], n, F.col("r"), g), 6).alias("log_bf"))
+        both = one.unionByName(two)
+        out = both if out is None else out.unionByName(both)
+    return out
 
 
 @query("log_prior_binomial", f"SELECT cluster_id, rsid, round({PRIOR} - ln(exp({PRIOR}) + exp(2 * ln(1.0 / m) + (m - 1) * ln(1 - 1.0 / m))), 6) AS log_prior FROM ({MEMBERS}) x WHERE m > 1")
@@ -215,15 +230,35 @@ def _abf(s, d):
     return x.select("rsid", F.round(scoring.log_abf(F.col("z"), F.col("maf"), F.lit(1000.0)), 6).alias("log_abf"))
 
 
-@query("configurations", f"SELECT cluster_id, rsid AS snps, 1 AS size FROM ({NEAR}) x UNION ALL SELECT cluster_id, rsid_a || ',' || rsid_b, 2 FROM ({PAIRED}) y")
+BOTH_SIZES = "ln(exp(ln(1.0 / m) + (m - 1) * ln(1 - 1.0 / m)) + exp(2 * ln(1.0 / m) + (m - 1) * ln(1 - 1.0 / m)))"
+
+
+@query("configurations", f"SELECT cluster_id, rsid AS snps, 1 AS size, round({BF1}, 6) AS log_bf, round({PRIOR} - {BOTH_SIZES}, 6) AS log_prior FROM ({MEMBERS}) x UNION ALL "
+       f"SELECT cluster_id, rsid_a || ',' || rsid_b, 2, round({BF2}, 6), round(2 * ln(1.0 / m) + (m - 2) * ln(1 - 1.0 / m) - {BOTH_SIZES}, 6) FROM ({PAIRED}) y")
 def _sets(s, d):
-    return _configs(s, d).select("cluster_id", F.array_join("snps", ",").alias("snps"), "size")
+    return rounded(_configs(s, d).select("cluster_id", F.array_join("snps", ",").alias("snps"), "size", "log_bf", "log_prior"), "log_bf", "log_prior")
+
+
+def _det3(d, a, b, c):
+    return f"({d} * {d} * {d} + 2 * {a} * {b} * {c} - {d} * ({a} * {a} + {b} * {b} + {c} * {c}))"
+
 
+def _adj3(d, a, b, c, x, y, w):
+    """x'adj(M)x of the symmetric matrix with d on its diagonal and a, b, c as (1, 2), (1, 3), (2, 3)."""
+    return (f"(({d} * {d} - {c} * {c}) * {x} * {x} + ({d} * {d} - {b} * {b}) * {y} * {y} + ({d} * {d} - {a} * {a}) * {w} * {w} + 2 * ({b} * {c} - {a} * {d}) * {x} * {y} "
+            f"+ 2 * ({a} * {c} - {b} * {d}) * {x} * {w} + 2 * ({a} * {b} - {c} * {d}) * {y} * {w})")
 
-@query("configurations_of_three")
+
+R_OF = "CAST(({0}.pos + {1}.pos) / 8000 % 19 AS INT) / 20.0"
+TRIPLES = (f"SELECT a.cluster_id, a.rsid || ',' || b.rsid || ',' || c.rsid AS snps, a.z AS z1, b.z AS z2, c.z AS z3, a.beta * sqrt(0.5) AS c1, b.beta * sqrt(0.5) AS c2, c.beta * sqrt(0.5) AS c3, {R_OF.format('a', 'b')} AS x, {R_OF.format('a', 'c')} AS y, {R_OF.format('b', 'c')} AS w "
+           f"FROM ({NEAR}) a JOIN ({NEAR}) b ON a.cluster_id = b.cluster_id AND a.rsid < b.rsid JOIN ({NEAR}) c ON c.cluster_id = b.cluster_id AND b.rsid < c.rsid")
+BF3 = (f"CASE WHEN greatest(x, y, w) > 0.9 OR NOT (0.81 - x * x > 0 AND {_det3(0.9, 'x', 'y', 'w')} > 0 AND 0.9 * {_det3(0.9, 'x', 'y', 'w')} - {_adj3(0.9, 'x', 'y', 'w', 'c1', 'c2', 'c3')} > 0) THEN 0 "
+       f"ELSE -0.5 * ln({_det3(3.5, '2.5 * x', '2.5 * y', '2.5 * w')}) + 0.5 * {_adj3(1.4, 'x', 'y', 'w', 'z1', 'z2', 'z3')} / {_det3(1.4, 'x', 'y', 'w')} END")
+
+
+@query("configurations_of_three", f"SELECT cluster_id, snps, round({BF3}, 6) AS log_bf FROM ({TRIPLES}) t")
 def _sets3(s, d):
-    few = _members(s, d).where("pos % 3 = 0")
-    return finemap.configurations(few, _fake_ld(s, d), 1000, 3)
+    return _configs(s, d, 3).where("size = 3").select("cluster_id", F.array_join("snps", ",").alias("snps"), F.round("log_bf", 6).alias("log_bf"))
 
 
 POST = f"SELECT cluster_id, rsid, e / sum(e) OVER (PARTITION BY cluster_id) AS posterior FROM (SELECT cluster_id, rsid, exp({BF1}) AS e FROM ({MEMBERS}) x) y"
@@ -247,10 +282,10 @@ def _inclusion(s, d):
     return rounded(finemap.inclusion_probability(finemap.posterior(_configs(s, d).where("m > 1"))), "probability")
 
 
-EQ = "SELECT gene_id, tissue, rsid, CASE WHEN beta > 0 THEN 1 WHEN beta < 0 THEN -1 ELSE 0 END * (1 - pvalue) * 4 AS z FROM (SELECT gene_id, tissue, rsid, min(pvalue) AS pvalue, min(beta) AS beta FROM {fx_eqtl} WHERE pvalue < 0.2 GROUP BY gene_id, tissue, rsid) e0"
+EQ = "SELECT gene_id, tissue, rsid, CASE WHEN beta > 0 THEN 1 WHEN beta < 0 THEN -1 ELSE 0 END * (1 - pvalue) * 4 AS z FROM (SELECT gene_id, tissue, rsid, min(pvalue) AS pvalue, min(beta) AS beta FROM {fx_eqtl} GROUP BY gene_id, tissue, rsid) e0"
 COLOC = f"""WITH c AS (SELECT * FROM ({MEMBERS}) x WHERE m > 1), h AS (SELECT c.cluster_id, e.gene_id, e.tissue, e.rsid, e.z FROM ({EQ}) e JOIN c ON c.rsid = e.rsid), g AS (SELECT DISTINCT cluster_id, gene_id, tissue FROM h),
   f AS (SELECT g.cluster_id, g.gene_id, g.tissue, c.rsid, exp(-0.5 * ln(1 + 1.25) + 0.5 * pow(coalesce(h.z, 0), 2) / (1 / 1.25 + 1)) AS e FROM g JOIN c ON c.cluster_id = g.cluster_id LEFT JOIN h ON h.cluster_id = g.cluster_id AND h.gene_id = g.gene_id AND h.tissue = g.tissue AND h.rsid = c.rsid),
-  j AS (SELECT f.cluster_id, f.gene_id, f.tissue, f.rsid, f.e / sum(f.e) OVER (PARTITION BY f.cluster_id, f.gene_id, f.tissue) * p.posterior AS joint FROM f JOIN ({POST}) p ON p.cluster_id = f.cluster_id AND p.rsid = f.rsid)"""
+  j AS (SELECT f.cluster_id, f.gene_id, f.tissue, f.rsid, f.e / sum(f.e) OVER (PARTITION BY f.cluster_id, f.gene_id, f.tissue) AS p2, p.posterior AS p1, p2 * p.posterior AS joint FROM f JOIN ({POST}) p ON p.cluster_id = f.cluster_id AND p.rsid = f.rsid)"""
 
 
 def _two_traits(s, d):
@@ -264,9 +299,9 @@ def _coloc(s, d):
     return finemap.colocalise(*_two_traits(s, d))
 
 
-@query("shared_configurations", COLOC + " SELECT cluster_id, gene_id, tissue, rsid AS snps FROM j")
+@query("shared_configurations", COLOC + " SELECT cluster_id, gene_id, tissue, rsid AS snps, round(p1, 6) AS p1, round(p2, 6) AS p2 FROM j")
 def _shared(s, d):
-    return finemap.shared_configurations(*_two_traits(s, d)).select("cluster_id", "gene_id", "tissue", F.array_join("snps", ",").alias("snps"))
+    return rounded(finemap.shared_configurations(*_two_traits(s, d)).select("cluster_id", "gene_id", "tissue", F.array_join("snps", ",").alias("snps"), "p1", "p2"), "p1", "p2")
 
 
 @query("colocalise", COLOC + " SELECT cluster_id, gene_id, tissue, rsid AS snps, round(joint, 6) AS joint, round(sum(joint) OVER (PARTITION BY cluster_id, gene_id, tissue), 6) AS clpp FROM j")
@@ -274,11 +309,20 @@ def _colocalise(s, d):
     return rounded(_coloc(s, d).select("cluster_id", "gene_id", "tissue", F.array_join("snps", ",").alias("snps"), "joint", "clpp"), "joint", "clpp")
 
 
+@query("colocalise_sets")
+def _coloc_sets(s, d):
+    """Sets of one and two SNPs, with the z scores that eQTL tables lack imputed by LD; summed for each cluster, gene and tissue."""
+    m, r = stored(_members(s, d), "members"), stored(ld.pairwise_ld(_members(s, d), packed(s, d)), "pairs")
+    eqtl = sql(s, d, f"SELECT e.gene_id, e.tissue, e.rsid, e.z, e.z / 100 AS beta FROM ({EQ}) e")
+    both = finemap.colocalise(finemap.posterior(finemap.configurations(m, r, 1000, 2)), finemap.eqtl_configurations(m, stored(eqtl, "eqtl"), ld=r, kmax=2))
+    return rounded(both.groupBy("cluster_id", "gene_id", "tissue").agg(F.count("*").alias("n_sets"), F.max("clpp").alias("clpp")), "clpp")
+
+
 CLPP = COLOC + ", t AS (SELECT gene_id, 'L_' || cluster_id AS cluster, rsid, joint AS clpp_snp, tissue, sum(joint) OVER (PARTITION BY cluster_id, gene_id, tissue) AS clpp_cluster FROM j)"
 
 
 def _clpp(s, d):
-    return finemap.clpp_table(_coloc(s, d), sql(s, d, "SELECT rsid AS cluster_id, 'L_' || rsid AS label FROM {fx_lead}"))
+    return finemap.clpp_table(_coloc(s, d), sql(s, d, "SELECT DISTINCT cluster_id, 'L_' || cluster_id AS label FROM {fx_block}"))
 
 
 @query("clpp_table", CLPP + " SELECT gene_id, cluster, rsid, round(clpp_snp, 6) AS clpp_snp, tissue, round(clpp_cluster, 6) AS clpp_cluster FROM t")
@@ -286,22 +330,30 @@ def _clpps(s, d):
     return rounded(_clpp(s, d), "clpp_snp", "clpp_cluster")
 
 
-@query("config_summary", f"SELECT cluster_id, snps, place, e AS \"end\" FROM (SELECT cluster_id, rsid AS snps, CAST(row_number() OVER (PARTITION BY cluster_id ORDER BY round(z * z, 6) DESC, rsid) AS INT) AS place, 'best' AS e, 5 AS most FROM ({MEMBERS}) x WHERE m > 1 UNION ALL SELECT cluster_id, rsid, CAST(row_number() OVER (PARTITION BY cluster_id ORDER BY round(z * z, 6), rsid) AS INT), 'worst', 2 FROM ({MEMBERS}) x WHERE m > 1) y WHERE place <= most")
+@query("config_summary", f"SELECT cluster_id, snps, place, e AS \"end\", round({BF1}, 6) AS log_bf FROM (SELECT cluster_id, z, rsid AS snps, CAST(row_number() OVER (PARTITION BY cluster_id ORDER BY round(z * z, 6) DESC, rsid) AS INT) AS place, 'best' AS e, 5 AS most FROM ({MEMBERS}) x WHERE m > 1 UNION ALL SELECT cluster_id, z, rsid, CAST(row_number() OVER (PARTITION BY cluster_id ORDER BY round(z * z, 6), rsid) AS INT), 'worst', 2 FROM ({MEMBERS}) x WHERE m > 1) y WHERE place <= most")
 def _summary(s, d):
     c = rounded(_posterior(s, d), "log_bf")
-    return finemap.config_summary(c).select("cluster_id", F.array_join("snps", ",").alias("snps"), "place", "end")
+    return finemap.config_summary(c).select("cluster_id", F.array_join("snps", ",").alias("snps"), "place", "end", "log_bf")
+
+
+KNOWN = "SELECT cluster_id, rsid, z, beta, idx % 16 AS place FROM {fx_block}"
 
 
-@query("impute_z")
+@query("impute_z", f"""WITH m AS ({KNOWN}), g AS (SELECT m.cluster_id, f.rsid, f.sample_id, f.dosage, m.place FROM {{fx_geno}} f JOIN m ON m.rsid = f.rsid),
+  r AS (SELECT a.cluster_id, a.rsid, b.place, coalesce(corr(a.dosage, b.dosage), 0) AS r FROM g a JOIN g b ON a.cluster_id = b.cluster_id AND a.sample_id = b.sample_id WHERE b.place IN (0, 8) GROUP BY a.cluster_id, a.rsid, b.place),
+  w AS (SELECT u.*, p.z AS z1, p.beta AS b1, coalesce(q.z, 0) AS z2, coalesce(q.beta, 0) AS b2, 0.9 * r1.r AS s1, 0.9 * coalesce(r2.r, 0) AS s2, 0.9 * coalesce(r12.r, 0) AS t FROM m u JOIN m p ON p.cluster_id = u.cluster_id AND p.place = 0 LEFT JOIN m q ON q.cluster_id = u.cluster_id AND q.place = 8
+    JOIN r r1 ON r1.rsid = u.rsid AND r1.place = 0 LEFT JOIN r r2 ON r2.rsid = u.rsid AND r2.place = 8 LEFT JOIN r r12 ON r12.rsid = q.rsid AND r12.place = 0)
+  SELECT cluster_id, rsid, round(CASE WHEN place IN (0, 8) THEN z ELSE (s1 * (z1 - t * z2) + s2 * (z2 - t * z1)) / (1 - t * t) END, 6) + 0.0 AS z, round(CASE WHEN place IN (0, 8) THEN beta ELSE (s1 * (b1 - t * b2) + s2 * (b2 - t * b1)) / (1 - t * t) END, 6) + 0.0 AS beta, place NOT IN (0, 8) AS imputed FROM w""")
 def _impute(s, d):
-    m = _members(s, d).withColumn("z", F.expr("if(pos % 3 = 0, null, z)")).withColumn("beta", F.expr("if(pos % 3 = 0, null, beta)"))
-    return finemap.impute_z(m.select("cluster_id", "rsid", "z", "beta"), ld.pairwise_ld(m, packed(s, d)))
+    known = sql(s, d, "SELECT cluster_id, rsid, if(idx % 16 IN (0, 8), z, null) AS z, if(idx % 16 IN (0, 8), beta, null) AS beta FROM {fx_block}")
+    out = finemap.impute_z(known, ld.pairwise_ld(known, packed(s, d)))
+    return out.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in ("z", "beta")})
 
 
-@query("attach_summary_stats", f"SELECT n.cluster_id, n.rsid, g.pvalue, round(g.beta, 6) AS beta FROM ({NEAR}) n JOIN (SELECT rsid, min(pvalue) AS pvalue, min(beta) AS beta FROM {{fx_gwas}} GROUP BY rsid) g ON n.rsid = g.rsid")
+@query("attach_summary_stats", f"SELECT n.cluster_id, n.rsid, g.pvalue, round(g.beta, 6) AS beta, round({Z_SQL}, 6) + 0.0 AS z FROM ({NEAR}) n JOIN (SELECT rsid, min(pvalue) AS pvalue, min(beta) AS beta FROM {{fx_gwas}} GROUP BY rsid) g ON n.rsid = g.rsid")
 def _attach(s, d):
     stats = sql(s, d, "SELECT rsid, min(pvalue) AS pvalue, min(beta) AS beta FROM {fx_gwas} GROUP BY rsid")
-    return rounded(finemap.attach_summary_stats(sql(s, d, NEAR).select("cluster_id", "rsid"), stats).select("cluster_id", "rsid", "pvalue", "beta"), "beta")
+    return rounded(finemap.attach_summary_stats(sql(s, d, NEAR).select("cluster_id", "rsid"), stats).select("cluster_id", "rsid", "pvalue", "beta", (F.round("z", 6) + F.lit(0.0)).alias("z")), "beta")
 
 
 # --- the wide table and what reads it -------------------------------------------------------------------------------

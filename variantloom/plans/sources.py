@@ -22,23 +22,23 @@ FIELDS = f"'rs' || CAST(l_partkey AS VARCHAR) AS snp, CAST('1e-' || CAST(CAST(fl
 IRIS = "'http://www.ebi.ac.uk/efo/EFO_' || l_returnflag || ',http://www.ebi.ac.uk/efo/EFO_' || l_linestatus"
 
 
-@query("read_grasp", f"SELECT {FIELDS}, {IRIS} AS iris, 'PMID' || CAST(l_orderkey AS VARCHAR) AS publication, CAST(l_suppkey AS BIGINT) AS sample_size FROM {{lineitem}} WHERE l_orderkey % 20 = 0 AND l_linenumber <> 7")
+@query("read_grasp", f"SELECT {FIELDS}, {IRIS} AS iris, 'PMID' || CAST(l_orderkey AS VARCHAR) AS publication, CAST(l_suppkey AS BIGINT) AS sample_size FROM {{lineitem}} WHERE l_linenumber <> 7")
 def _grasp(s, d):
     return readers.parse_grasp(view(s, d, "fx_grasp_lines")).select("snp", "pvalue", "reported_trait", F.array_join("iris", ",").alias("iris"), "publication", "sample_size")
 
 
-@query("read_phewas", f"SELECT {FIELDS}, CASE WHEN l_linenumber = 2 THEN 'N/A' ELSE {IRIS} END AS iris, CAST(l_suppkey AS BIGINT) AS sample_size, CAST(CAST(l_quantity AS INT) AS DOUBLE) AS odds_ratio, 'PMID24270849' AS publication FROM {{lineitem}} WHERE l_orderkey % 20 = 0 AND l_linenumber <> 7")
+@query("read_phewas", f"SELECT {FIELDS}, CASE WHEN l_linenumber = 2 THEN 'N/A' ELSE {IRIS} END AS iris, CAST(l_suppkey AS BIGINT) AS sample_size, CAST(CAST(l_quantity AS INT) AS DOUBLE) AS odds_ratio, 'PMID24270849' AS publication FROM {{lineitem}} WHERE l_linenumber <> 7")
 def _phewas(s, d):
     return readers.parse_phewas(view(s, d, "fx_phewas_lines")).select("snp", "pvalue", "reported_trait", F.array_join("iris", ",").alias("iris"), "sample_size", "odds_ratio", "publication")
 
 
-@query("read_gwas_db", f"SELECT {FIELDS}, 'http://www.ebi.ac.uk/efo/EFO_' || l_returnflag AS iris, CAST(l_orderkey AS VARCHAR) AS publication, CAST(NULL AS BIGINT) AS sample_size FROM {{lineitem}} WHERE l_orderkey % 20 = 0 AND l_linenumber <> 7")
+@query("read_gwas_db", f"SELECT {FIELDS}, 'http://www.ebi.ac.uk/efo/EFO_' || l_returnflag AS iris, CAST(l_orderkey AS VARCHAR) AS publication, CAST(NULL AS BIGINT) AS sample_size FROM {{lineitem}} WHERE l_linenumber <> 7")
 def _gwas_db(s, d):
     return readers.parse_gwas_db(view(s, d, "fx_gwasdb_lines")).select("snp", "pvalue", "reported_trait", F.array_join("iris", ",").alias("iris"), "publication", "sample_size")
 
 
 @query("read_neale_ukb", f"""SELECT 'rs' || CAST(l_partkey AS VARCHAR) AS snp, CAST('1e-' || CAST(CAST(floor(l_quantity / 4) AS INT) AS VARCHAR) AS DOUBLE) AS pvalue, 'trait ' || {MODE} || ' of ' || l_returnflag AS reported_trait,
-  CAST(l_suppkey AS BIGINT) AS sample_size, -2.0 AS beta, 'decrease' AS beta_direction FROM {{lineitem}} WHERE l_orderkey % 20 = 0 AND l_linenumber <> 7 AND l_linenumber % 3 < 2""")
+  CAST(l_suppkey AS BIGINT) AS sample_size, -2.0 AS beta, 'decrease' AS beta_direction FROM {{lineitem}} WHERE l_linenumber <> 7 AND l_linenumber % 3 < 2""")
 def _ukb(s, d):
     out = readers.parse_neale_ukb(view(s, d, "fx_ukb_lines"), ["trait AIR", "trait RAIL"])
     return out.select("snp", "pvalue", "reported_trait", "sample_size", F.col("beta_coefficient").alias("beta"), "beta_direction")
