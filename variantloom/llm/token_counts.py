@@ -17,7 +17,6 @@ from .shared import bounded_batches, id_number, id_text, text_chunks, tidy
 VOCAB = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pre-token pattern published with this vocabulary.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-LONG = 256
 
 
 class UnigramCounter:
@@ -53,32 +52,23 @@ class UnigramCounter:
             best, n = scores[end - 1] + self.floor, counts[end - 1] + 1
         return best, n
 
-    def count_long(self, word: bytes) -> int:
-        scores, counts = [0.0], [0]
-        for end in range(1, len(word) + 1):
-            s, n = self.step(word, end, scores, counts)
-            scores.append(s)
-            counts.append(n)
-        return counts[-1]
-
     def count_all(self, words: list[str]) -> dict[str, int]:
-        """Insert the words in a trie; each node is scored once, when the first word reaches it."""
-        root: dict = {}
+        """Insert the words in a trie, in order, so that it is walked depth-first: of its nodes those of the open path are
+        held, with their forward scores and counts; each node is scored once, and the count of a word is kept at its end.
+        However long a word, no more than its own path is in memory."""
         out: dict[str, int] = {}
-        for text in words:
-            word = text.encode()
-            if len(word) > LONG:
-                out[text] = self.count_long(word)
-                continue
-            children, scores, counts = root, [0.0], [0]
-            for end, byte in enumerate(word, 1):
-                node = children.get(byte)
-                if node is None:
-                    node = children[byte] = ({}, *self.step(word, end, scores, counts))
-                children = node[0]
-                scores.append(node[1])
-                counts.append(node[2])
+        path, scores, counts = b"", [0.0], [0]
+        for word, text in sorted((text.encode(), text) for text in words):
+            shared, most = 0, min(len(word), len(path))
+            while shared < most and word[shared] == path[shared]:
+                shared += 1
+            del scores[shared + 1 :], counts[shared + 1 :]
+            for end in range(shared + 1, len(word) + 1):
+                score, count = self.step(word, end, scores, counts)
+                scores.append(score)
+                counts.append(count)
             out[text] = counts[-1]
+            path = word
         return out
 
 
