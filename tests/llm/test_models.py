@@ -82,3 +82,69 @@ def test_toxicity_held_out_and_odd_texts(spark):
     odd = score_toxicity(spark.createDataFrame([(None, None, "x"), (1, "", "y"), (1, "vile " * 20000, "z")], "doc_id long, text string, score string"), weights, bias).collect()
     assert [r.predicted for r in odd] == [0, 0, 1] and all(0 <= r.score <= 1 for r in odd)
     assert fit_toxicity(docs, lab.where("toxic = 0"))[0] == {}
+
+
+def test_fit_follows_the_risk_estimator():
+    """The gradient of each branch of the non-negative risk, by finite differences of its plain definition."""
+    rng = np.random.default_rng(3)
+    x = (rng.random((60, 5)) < 0.4).astype(float)
+    positive = rng.random(60) < 0.3
+    r, c = np.nonzero(x)
+    prior, decay, eps = 0.3, 1e-3, 1e-6
+
+    def parts(w):
+        z = x @ w[:-1] + w[-1]
+        as_negative, as_positive = np.log1p(np.exp(z)), np.log1p(np.exp(-z))
+        return prior * as_positive[positive].mean(), as_negative[~positive].mean() - prior * as_negative[positive].mean()
+
+    model = NonNegativePU(prior, steps=40, rate=0.05, decay=decay).fit(r, c, positive, 5)
+    w = np.r_[np.zeros(5), np.log(prior / (1 - prior))]
+    m = v = np.zeros(6)
+    for t in range(1, 41):
+        climbing = parts(w)[1] < 0
+        target = (lambda u: -parts(u)[1]) if climbing else (lambda u: sum(parts(u)))
+        g = np.array([(target(w + eps * e) - target(w - eps * e)) / (2 * eps) for e in np.eye(6)]) + decay * np.r_[w[:-1], 0]
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g**2
+        w = w - 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    assert np.allclose(np.r_[model.weights, model.bias], w, atol=1e-3)
+
+
+def test_unlabelled_texts_take_part(spark):
+    """Words of texts without any label count; labels of 0 change nothing but the prior; empty tables have no weights."""
+    rows = [(i, f"plain talk number {i % 7} " + ("foul" if i % 5 == 0 else "calm")) for i in range(200)]
+    docs = spark.createDataFrame([*rows, (None, "foul foul"), (5, "foul once more")], "doc_id long, text string")
+    lab = spark.createDataFrame([(i, 1) for i in range(0, 100, 5)], "doc_id long, toxic int")
+    zeros = lab.unionByName(spark.createDataFrame([(i, 0) for i in range(1, 80) if i % 5], "doc_id long, toxic int"))
+    one, two = fit_toxicity(docs, lab, prior=0.2), fit_toxicity(docs, zeros, prior=0.2)
+    assert one == two and one[0]["foul"] > 0 > one[0]["calm"]
+    assert fit_toxicity(docs.limit(0), lab) == ({}, -10.0) and fit_toxicity(docs, lab.limit(0)) == ({}, -10.0)
+
+
+def test_profiles_and_predictions_by_brute_force(spark):
+    """Counts of n-grams, ranks and out-of-place distances by plain loops over dictionaries."""
+    from collections import Counter
+
+    rng = random.Random(5)
+    rows = [(i, " ".join("".join(rng.choice("abcé" if lang == "x" else "dfgé") for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(1, 12))), lang) for i, lang in enumerate("xy" * 30)]
+    rows += [(100, None, "x"), (101, "aa", None), (102, "", "y"), (103, "12 ?", "x"), (104, "ab " * 400_000, None)]
+
+    def grams(text):
+        words = "".join(ch if ch.isalpha() else " " for ch in (text or "").lower()).split()
+        out = Counter()
+        for k, w in enumerate(words):
+            out.update(w)
+            padded = " " + w + " "
+            out.update(padded[i : i + n] for n in (2, 3) for i in range(len(padded) - n + 1))
+        return out
+
+    code = lambda g: sum(ord(ch) << (21 * (len(g) - 1 - i)) for i, ch in enumerate(g))
+    rank = lambda counts, size: [code(g) for g in sorted(counts, key=lambda g: (-counts[g], code(g)))[:size]]
+    want = {lang: rank(sum((grams(t) for _, t, x in rows if x == lang and t), Counter()), 20) for lang in "xy"}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = fit_profiles(docs, size=20)
+    assert {lang: list(keys) for lang, keys in profiles} == want
+    for r in predict_language(docs, profiles, size=20).collect():
+        doc = rank(grams(dict((i, t) for i, t, _ in rows)[r.doc_id]), 20)
+        far = {lang: sum(abs(want[lang].index(g) - i) if g in want[lang] else 20 for i, g in enumerate(doc)) for lang in "xy"}
+        best = min("xy", key=lambda lang: far[lang]) if doc else "und"
+        assert r.lang_pred == best and abs(r.score - (1 - far[best] / (20 * len(doc)) if doc else 0.0)) < 1e-9

@@ -21,7 +21,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     out = language.held_out(folds=5, fold=0)
-    weights, bias = toxicity.fit_toxicity(docs, labels.where(~out))
+    weights, bias = toxicity.fit_toxicity(docs.where(~out), labels.where(~out))
     return toxicity.score_toxicity(docs, weights, bias).select("doc_id", out.alias("held_out"), "score", "predicted")
 
 

@@ -49,45 +49,49 @@ class NonNegativePU:
         return self
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 30_000, n_features: int = 2_000, min_df: int = 3, min_z: float = 2.5) -> tuple[dict[str, float], float]:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 30_000, n_features: int = 2_000, min_df: int = 3, min_z: float = 6.0, prior: float | None = None, strength: float = 0.03) -> tuple[dict[str, float], float]:
     """(doc_id, text) and (doc_id, toxic) -> word weights and bias.
 
-    A bounded sample is used: about `max_rows` labelled rows at most, chosen by a hash of doc_id. Positives are its
-    toxic rows; the unlabelled rows are all of the sample with the label hidden, and the class prior is the share of
-    toxic rows. Of the words in at least `min_df` rows, those whose presence among the positives differs from that
-    among all by `min_z` standard errors or more are used, `n_features` at most. The driver receives these counts and the sample's features only. Without positive rows every weight is 0.
+    Positives are the rows labelled toxic; unlabelled are all rows of docs, those without any label among them, and no
+    label of theirs is looked at. Of either at most about `max_rows` are used, chosen by a hash of doc_id. The class
+    prior is `prior`, or the share of toxic ones among all labels. Of the words in at least `min_df` unlabelled or positive
+    rows those whose presence among the positives differs from that among the unlabelled by `min_z` standard errors or
+    more are used, `n_features` at most. Weights decay by `strength` over the number of positives. The driver receives these counts and the bounded sample's features only. Rows
+    without doc_id take no part; rows that share one share its label. Without positive rows every weight is 0.
     """
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    total = known.count()
-    if total > max_rows:
-        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1e6 * max_rows / total))
-    sample = bounded_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(known), "doc_id")
+    n_known, n_toxic = known.agg(F.count("*"), F.sum("toxic")).first()
+    if not n_toxic:
+        return {}, -10.0
+    docs = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
+    chosen = lambda total: F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1e6 * min(1.0, max_rows / max(total, 1)))
+    toxic = known.where((F.col("toxic") == 1) & chosen(n_toxic)).select("doc_id", F.lit(1).alias("toxic"))
+    sample = docs.withColumn("free", chosen(docs.count()).cast("int")).join(F.broadcast(toxic), "doc_id", "left").where("free = 1 or toxic = 1").select("text", "free", F.coalesce("toxic", F.lit(0)).alias("toxic"))
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in text_chunks(batches):
-            yield pd.DataFrame({"doc_id": b["doc_id"], "toxic": b["toxic"], "words": [sorted(features(t)) for t in b["text"]]})
+            yield pd.DataFrame({"free": b["free"], "toxic": b["toxic"], "words": [sorted(features(t)) for t in b["text"]]})
 
-    found = stored(sample.mapInPandas(tidy(words), "doc_id long, toxic int, words array<string>"), "toxic")
-    n_pos, n_all = found.agg(F.sum("toxic"), F.count("*")).first()
-    n_pos = n_pos or 0
-    if not n_pos:
+    found = stored(sample.mapInPandas(tidy(words), "free int, toxic int, words array<string>"), "toxic")
+    n_pos, n_free = found.agg(F.sum("toxic"), F.sum("free")).first()
+    if not n_pos or not n_free:
         return {}, -10.0
-    df = found.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.sum("toxic").alias("p"), F.count("*").alias("u")).where(F.col("u") >= min_df)
-    a, b = F.col("p") / F.lit(float(n_pos)), F.col("u") / F.lit(float(n_all))
+    df = found.select("toxic", "free", F.explode("words").alias("word")).groupBy("word").agg(F.sum("toxic").alias("p"), F.sum("free").alias("u")).where(F.greatest("u", "p") >= min_df)
+    a, b = F.col("p") / F.lit(float(n_pos)), F.col("u") / F.lit(float(n_free))
     z = F.abs(a - b) / F.sqrt(b * (1 - b) + F.lit(1e-9)) * F.sqrt(F.lit(float(n_pos)))
     top = df.withColumn("gap", z).where(F.col("gap") >= min_z).orderBy(F.desc("gap"), "word").limit(n_features)
     vocab = sorted(r["word"] for r in top.select("word").collect())
     at = {w: i for i, w in enumerate(vocab)}
     keep = F.array(*[F.lit(w) for w in vocab]) if vocab else F.array().cast("array<string>")
-    rows = found.select("toxic", F.array_intersect("words", keep).alias("words")).collect()
+    rows = found.select("toxic", "free", F.sort_array(F.array_intersect("words", keep)).alias("words")).orderBy("words", "toxic", "free").collect()
     r, c, y = [], [], []
     for row in rows:
         hit = [at[w] for w in row["words"]]
-        for label in ([True, False] if row["toxic"] else [False]):
+        for label in [True] * row["toxic"] + [False] * row["free"]:
             r += [len(y)] * len(hit)
             c += hit
             y.append(label)
-    model = NonNegativePU(n_pos / n_all).fit(np.array(r, np.int64), np.array(c, np.int64), np.array(y, bool), len(vocab))
+    model = NonNegativePU(n_toxic / n_known if prior is None else prior, decay=strength / n_pos).fit(np.array(r, np.int64), np.array(c, np.int64), np.array(y, bool), len(vocab))
     return dict(zip(vocab, model.weights.tolist())), float(model.bias)
 
 
