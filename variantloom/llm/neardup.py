@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -138,8 +139,46 @@ def _similar(pairs: DataFrame, sets: DataFrame, heap: int) -> DataFrame:
     return both.select("a", "b", (shared / (F.size("ua") + F.size("ub") - shared)).alias("similarity"))
 
 
+def _several(held: DataFrame) -> DataFrame:
+    """Rows (band, node, group) of the bands that hold several groups."""
+    several = held.groupBy("band").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("band")
+    return held.join(several, "band", "left_semi")
+
+
+def _stars(held: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b): in each band a is a text of the largest group there, b each text of another group. A hash that is the
+    same for all bands chooses among equal groups and within the group, another one at each turn."""
+    chance = F.xxhash64("node", F.lit(turn))
+    best = held.groupBy("band", "group").agg(F.count("*").alias("n"), F.min(F.struct(chance.alias("h"), "node")).alias("x"))
+    top = best.groupBy("band").agg(F.max(F.struct("n", "x", "group")).alias("top")).select("band", F.col("top.x.node").alias("a"), F.col("top.group").alias("own"))
+    return held.join(top, "band").where("group != own").select("a", F.col("node").alias("b")).distinct()
+
+
+def _merged(held: DataFrame, edges: DataFrame) -> DataFrame:
+    """Rows (band, node, group) after the groups that edges (a, b) join have become one, under the least group."""
+    of = held.select("node", "group").distinct()
+    a, b = of.select(F.col("node").alias("a"), F.col("group").alias("ga")), of.select(F.col("node").alias("b"), F.col("group").alias("gb"))
+    labels = components(edges.join(a, "a").join(b, "b").select(F.col("ga").alias("a"), F.col("gb").alias("b")), "links")
+    return held.join(labels.withColumnRenamed("node", "group"), "group", "left").select("band", "node", F.coalesce("label", "group").alias("group"))
+
+
+def _blocks(cand: DataFrame, groups: DataFrame, block: int) -> DataFrame:
+    """Components (node, label) and groups (node, group) -> label, lo, hi, side, node: what a task compares, all pairs
+    of side 0 with side 1, or all pairs where lo is hi. Pairs within the largest group of a component are left out, as
+    their class is known: its blocks meet those of the others only."""
+    x = cand.join(groups, "node")
+    count = x.groupBy("label", "group").agg(F.count("*").alias("n"))
+    size = count.groupBy("label").agg(F.max(F.struct("n", "group")).alias("top"), F.sum("n").alias("n"))
+    size = size.select("label", F.expr("if(top.n > 1, top.group, null)").alias("big"), F.expr(f"cast(ceil(if(top.n > 1, top.n, 0) / {block}) as int)").alias("nb"), F.expr(f"cast(ceil((n - if(top.n > 1, top.n, 0)) / {block}) as int)").alias("na"))
+    x = x.join(size, "label").withColumn("known", F.expr("group <=> big"))
+    x = x.withColumn("own", F.expr("cast(if(known, na + pmod(xxhash64(node), nb), pmod(xxhash64(node), greatest(na, 1))) as int)"))
+    other = F.explode(F.expr("if(known, if(na > 0, sequence(0, na - 1), array()), sequence(0, na + nb - 1))"))
+    x = x.select("label", "node", "own", other.alias("other"))
+    return x.select("label", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), F.expr("cast(own > other as int)").alias("side"), "node")
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, bands: int = 36, rows: int = 7, block: int = 1024,
-                    max_broadcast: int = 500_000) -> DataFrame:
+                    rounds: int = 2, max_broadcast: int = 500_000) -> DataFrame:
     """(doc_id, text) -> doc_id, class_id (the least doc_id of its class), text_key and class_key (xxhash64 of the text of
     the row, and of the row of class_id), linked_id (the doc_id of the text it was verified with; null if it is the
     first of its class) and similarity to that text; one row per input row.
@@ -147,10 +186,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, ban
     Texts are bags of `width`-word shingles of their lower-cased words. Links are pairs of texts with weighted Jaccard
     similarity of at least `threshold`; classes are the connected components. Equal word sequences are one class from
     the start. One row of each sequence goes on, as a set of shingles written once: texts that agree in a band (at 0.8 a
-    pair agrees in none of 36 with probability 0.0002) are candidates. Each is first compared with the least text of each
-    of its bands: copies, however many, are linked by one comparison each. Bands that still hold texts of several groups
-    give blocks of work, components of what they hold, and within a component all overlaps are counted exactly: beyond
-    `block` texts each pair of blocks is a task of its own. No link between texts of a band is left out.
+    pair agrees in none of 36 with probability 0.0002) are candidates. While over `block` texts are in bands that hold
+    several groups, each of them is compared with one text of the largest group of each of its bands, at most `rounds`
+    times: copies of one, however many, are linked by a few comparisons each. Within the components of what is left all
+    overlaps between groups are counted exactly: beyond `block` texts each pair of blocks is a task of its own. No link
+    between texts of a band is left out.
 
     Texts without words (null, empty) are classes of their own. Rows are told apart by doc_id and text: those that share
     a doc_id are in the classes of their texts, those without doc_id have the class_id of their class, null if none of
@@ -164,8 +204,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, ban
     # h1, a 64-bit hash, is the node of a word sequence; rep is the row that stands for it
     reps = stored(full.groupBy("h1", "h2").agg(F.min(F.struct("id", "key")).alias("rep"), F.first("bands").alias("bands")).withColumn("node", F.col("h1")), "reps")
     keyed = reps.select("node", F.explode("bands").alias("band"))
-    buckets = stored(keyed.groupBy("band").agg(F.min("node").alias("lead"), F.count("*").alias("n")).where("n > 1").select("band", "lead"), "buckets")
-    held = stored(keyed.join(buckets, "band").select("band", "lead", "node"), "held")
+    buckets = keyed.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
+    # a band with one text for each of its nodes and the group that each is in so far
+    held = stored(keyed.join(buckets, "band").select("band", "node", F.col("node").alias("group")), "held")
     nodes = stored(held.select("node").distinct().join(reps, "node").select("node", "rep.id", "rep.key"), "nodes")
     wanted = docs.join(F.broadcast(nodes) if nodes.count() <= max_broadcast else nodes, ["id", "key"])
 
@@ -176,17 +217,16 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, ban
 
     sets = wanted.select("node", "text").mapInPandas(tidy(bags), "node long, units array<long>")
     sets = stored(sets.groupBy("node").agg(F.first("units").alias("units")), "sets")  # a row may be there twice
-    stars = held.where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    found = stored(_similar(stars, sets, block).where(F.col("similarity") >= threshold - 1e-9), "stars")
-    groups = components(found, "stars")
-    mine = stored(held.join(groups, "node", "left").select("band", "node", F.coalesce("label", "node").alias("group")), "mine")
-    mixed_bands = mine.groupBy("band").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.min("node").alias("lead")).where("low != high").select("band", "lead")
-    cand = components(mine.join(mixed_bands, "band").select(F.col("lead").alias("a"), F.col("node").alias("b")), "cand")
-    sizes = cand.groupBy("label").agg(F.expr(f"cast(ceil(count(*) / {block}) as int)").alias("blocks"))
-    units = (cand.join(sizes, "label").withColumn("own", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
-             .select("node", "label", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
-             .select("node", "label", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")))
-    work = units.join(sets, "node")
+    edges = []
+    for r in range(rounds):
+        if _several(held).select("node").distinct().count() <= block:
+            break
+        edges.append(stored(_similar(_stars(held, r), sets, block).where(F.col("similarity") >= threshold - 1e-9), "stars"))
+        held = stored(_merged(held, edges[-1]), "held")
+    rest = stored(_several(held), "rest")
+    first = rest.groupBy("band").agg(F.min("node").alias("lead"))
+    cand = components(rest.join(first, "band").select(F.col("lead").alias("a"), F.col("node").alias("b")), "cand")
+    work = _blocks(cand, rest.select("node", "group").distinct(), block).join(sets, "node")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, nodes, sets, side = None, [], [], []
@@ -202,20 +242,16 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, ban
                     part, nodes, sets, side = (r.label, r.lo, r.hi), [], [], []
                 nodes.append(r.node)
                 sets.append(r.units.view(np.uint64))
-                side.append(int(r.own != r.lo))
+                side.append(r.side)
         if len(nodes) > 1:
             yield done()
 
     more = work.repartition("label", "lo", "hi").sortWithinPartitions("label", "lo", "hi", "node").mapInPandas(tidy(verify), "a long, b long, similarity double")
-    more = stored(more, "more")
-    ga, gb = groups.select(F.col("node").alias("a"), F.col("label").alias("la")), groups.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-    merged = components(more.join(ga, "a", "left").join(gb, "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")), "links")
-    merged = merged.select(F.col("node").alias("group"), F.col("label").alias("whole"))
-    labels = mine.select("node", "group").distinct().join(merged, "group", "left").select("node", F.coalesce("whole", "group").alias("label"))
-    rep = reps.select("node", "rep")
-    labels = stored(labels.join(rep, "node"), "labels")
+    edges.append(stored(more, "more"))
+    labels = _merged(held, edges[-1]).select("node", F.col("group").alias("label")).distinct()
+    labels = stored(labels.join(reps.select("node", "rep"), "node"), "labels")
     classes = labels.join(labels.groupBy("label").agg(F.min("rep").alias("first")), "label").select("node", "first")
-    edges = found.unionByName(more)
+    edges = functools.reduce(DataFrame.unionByName, edges)
     ends = edges.select(F.col("a").alias("node"), F.col("b").alias("other"), "similarity").unionByName(edges.select(F.col("b").alias("node"), F.col("a").alias("other"), "similarity"))
     ends = ends.join(labels.select(F.col("node").alias("other"), F.col("rep").alias("to")), "other")
     link = ends.groupBy("node").agg(F.max(F.struct("similarity", (-F.col("to.id")).alias("i"))).alias("link"))
