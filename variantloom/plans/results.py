@@ -378,9 +378,14 @@ def wide(s, d, full=False):
     return out if full else rounded(out, "r2", "PCHiC", "GTEx").select(*WIDE_COLS)
 
 
-@query("assemble_output", WIDE)
+EACH = [c for c in WIDE_COLS if c not in ("disease_efo_id", "gwas_pmid", "gwas_pvalue")]
+BY_ASSOC = "count(*) AS n_associations, min(gwas_pvalue) AS gwas_pvalue, min(disease_efo_id) AS first_efo, max(disease_efo_id) AS last_efo, count(DISTINCT gwas_pmid) AS n_pmids, min(gwas_pmid) AS first_pmid"
+
+
+@query("assemble_output", f"SELECT {', '.join(EACH)}, {BY_ASSOC} FROM ({WIDE}) w GROUP BY {', '.join(EACH)}")
 def _wide(s, d):
-    return wide(s, d)
+    """The wide table, its associations counted for each gene, LD SNP and GWAS SNP."""
+    return wide(s, d).groupBy(*EACH).agg(*[F.expr(x) for x in BY_ASSOC.split(", ")])
 
 
 W = f"(WITH w AS ({WIDE}) SELECT * FROM w) t"
