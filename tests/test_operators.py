@@ -235,3 +235,70 @@ def test_union_and_unknown_source(spark):
     assert readers.union_sources({"a": a, "b": b}).count() == 3
     with pytest.raises(ValueError):
         readers.union_sources({"a": a}, ["zz"])
+
+
+def test_pairs_without_ld_count_with_zero(spark):
+    m = spark.createDataFrame([("k", x, 1.0 + i, 0.01) for i, x in enumerate("abd")], "cluster_id string, rsid string, z double, beta double")
+    pairs = spark.createDataFrame([("k", "a", "b", 0.5), ("k", "b", "b", 1.0)], "cluster_id string, rsid_a string, rsid_b string, r double")
+    for kmax, want in ((2, 6), (3, 7)):
+        c = finemap.configurations(m, pairs, 1000, kmax)
+        assert c.count() == want == c.select("snps").distinct().count()
+    got = {tuple(r.snps): r.log_bf for r in c.collect()}
+    cov = np.array([[1, 0.5, 0], [0.5, 1, 0], [0, 0, 1]])
+    assert got[("a", "b", "d")] == pytest.approx(finemap.set_log_bfs(np.array([[1.0, 2, 3]]), np.full((1, 3), 0.01), cov[None], 1000, 0.0025)[0])
+    assert finemap.member_pairs(m, block=1).count() == 3 and finemap.configurations(m.limit(0), pairs, 1000, 3).count() == 0
+
+
+def test_expression_is_imputed_and_in_sets_of_two(spark):
+    """eQTL sets by brute force: z of each gene and tissue filled by LD, all sets of one and two, softmax."""
+    rng = np.random.default_rng(7)
+    names = [f"s{i}" for i in range(5)]
+    r = np.round(np.clip(rng.uniform(-0.3, 0.8, (5, 5)), -1, 1), 3)
+    r = np.triu(r, 1) + np.triu(r, 1).T + np.eye(5)
+    members = spark.createDataFrame([("k", n) for n in names] + [("other", "s9")], "cluster_id string, rsid string")
+    pairs = spark.createDataFrame([("k", names[i], names[j], float(r[i, j])) for i in range(5) for j in range(i + 1, 5)], "cluster_id string, rsid_a string, rsid_b string, r double")
+    hits = {("g1", "t1"): {0: 4.0}, ("g1", "t2"): {1: -2.0, 3: 1.0}, ("g2", "t1"): {i: float(i) for i in range(5)}}
+    index = spark.createDataFrame([(g, t, names[i], z, z / 100) for (g, t), own in hits.items() for i, z in own.items()] + [("g3", "t1", "unknown", 1.0, 0.0)], "gene_id string, tissue string, rsid string, z double, beta double")
+    got = finemap.eqtl_configurations(members, index, 500, pairs, 2).collect()
+    assert {(x.cluster_id, x.gene_id, x.tissue) for x in got} == {("k", *k) for k in hits}
+    for (g, t), own in hits.items():
+        s, k = 0.9 * r + 0.1 * np.eye(5), sorted(own)
+        z = s[:, k] @ np.linalg.pinv(s[np.ix_(k, k)], 1e-4) @ np.array([own[i] for i in k])
+        z[k] = [own[i] for i in k]
+        bf = {(i,): -0.5 * math.log(2.25) + 0.5 * z[i] ** 2 / (1 / 1.25 + 1) for i in range(5)}
+        bf |= {(i, j): finemap.set_log_bfs(z[None, [i, j]], z[None, [i, j]] / 100, r[np.ix_([i, j], [i, j])][None], 500, 0.0025)[0] for i in range(5) for j in range(i + 1, 5)}
+        one = math.log(0.2) + 4 * math.log(0.8)
+        total = math.log(math.exp(one) + math.exp(2 * math.log(0.2) + 4 * math.log(0.8)))
+        x = {s_: b + len(s_) * math.log(0.2) + (5 - len(s_)) * math.log(0.8) - total for s_, b in bf.items()}
+        top = max(x.values())
+        e = {s_: math.exp(v - top) for s_, v in x.items()}
+        mine = {tuple(int(n[1:]) for n in y.snps): y.posterior for y in got if (y.gene_id, y.tissue) == (g, t)}
+        assert set(mine) == set(e) and all(mine[s_] == pytest.approx(e[s_] / sum(e.values()), abs=1e-9) for s_ in e)
+    assert finemap.eqtl_configurations(members, index.limit(0), 500, pairs, 2).count() == 0
+
+
+def test_posterior_of_extreme_sets(spark):
+    c = spark.createDataFrame([("a", 650.0, 0.0), ("a", 649.0, 0.0), ("a", -800.0, 0.0), ("b", -900.0, -50.0), ("c", 2000.0, 0.0), ("c", 700.0, 0.0), ("d", None, 0.0)], "cluster_id string, log_bf double, log_prior double")
+    got = sorted((x.cluster_id, x.posterior) for x in finemap.posterior(c).collect() if x.posterior is not None)
+    q = 1 / (1 + math.exp(-1))
+    assert [k for k, _ in got] == list("aaabcc") and [v for _, v in got] == pytest.approx([0.0, 1 - q, q, 1.0, 0.5, 0.5])
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from variantloom.functions.tables import shared_dir
+
+    class Conf:
+        def get(self, name, other=None):
+            return other
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session())

@@ -191,7 +191,8 @@ def posterior(configs: DataFrame, *keys: str) -> DataFrame:
     The sum of the exponentials is kept by whole hundreds of the exponent, so that it neither overflows nor vanishes, is
     combined before the shuffle and joined back once; no task holds a cluster's sets."""
     keys = list(keys or ("cluster_id",))
-    x = configs.withColumn("_x", F.least(F.lit(700.0), F.col("log_bf") + F.col("log_prior")))
+    value = F.col("log_bf") + F.col("log_prior")
+    x = configs.withColumn("_x", F.when(value.isNotNull(), F.least(F.lit(700.0), value)))  # least alone would pass over nulls
     level = F.ceil(F.col("_x") / 100)
     parts = x.where("_x is not null").groupBy(*keys, level.alias("_level")).agg(F.sum(F.exp(F.col("_x") - level * 100)).alias("_s"))
     top = parts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_level", "_s")), asc=False).alias("_p"))
