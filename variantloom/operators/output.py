@@ -110,7 +110,8 @@ def assemble_output(assoc: DataFrame, members: DataFrame, scores: DataFrame, gen
     v2g_scores; ld: rsid_a, rsid_b, r2; eqtl: as eqtl_index; mafs: rsid, mafs map; terms and vep: as vep_terms and
     vep_stats. Rows need a publication, both places on main chromosomes and r2 to the GWAS SNP. A left join adds what may
     be missing. With clpp (gene_id, cluster_id, rsid, tissue, clpp_snp) there is a <tissue>_CLPP column per tissue, 0
-    where the SNP has none. LD SNPs meet the GWAS SNPs of their cluster first and those in LD the associations then.
+    where the SNP has none. LD SNPs meet the GWAS SNPs of their cluster, those in LD get their notes once, and the
+    associations of the GWAS SNPs come last.
     """
     optional = {"pvalue_description": "string", "ci_start": "double", "ci_end": "double"}
     a = assoc.withColumns({c: F.lit(None).cast(k) for c, k in optional.items() if c not in assoc.columns})
@@ -122,14 +123,14 @@ def assemble_output(assoc: DataFrame, members: DataFrame, scores: DataFrame, gen
     tissues = ev.TISSUES if tissues is None else tissues
     leads = a.select("cluster_id", "gwas_rsid").distinct()
     near = ld_filter(main_assembly_only(members.select("cluster_id", "rsid", "chrom", "pos")).join(leads, "cluster_id"), ld, r2)
-    rows = stored(_placed(near.join(gene_rank(scores), "rsid"), genes, snp38, gene38).join(a, ["cluster_id", "gwas_rsid"]), "rows")
+    rows = stored(_placed(near.join(gene_rank(scores), "rsid"), genes, snp38, gene38), "rows")
     out = _noted(rows, eqtl, mafs, terms, vep, tissues)
     posterior = []
     if clpp is not None:
         by_tissue = clpp.groupBy("cluster_id", "gene_id", "rsid").pivot("tissue", tissues).agg(F.max("clpp_snp"))
         out = out.join(by_tissue.select("cluster_id", "gene_id", "rsid", *[F.col(f"`{t}`").alias(f"{t}_CLPP") for t in tissues]), ["cluster_id", "gene_id", "rsid"], "left")
         posterior = [F.coalesce(F.col(f"`{t}_CLPP`"), F.lit(0.0)).alias(f"{t}_CLPP") for t in tissues]
-    return out.select(
+    return out.join(a, ["cluster_id", "gwas_rsid"]).select(
         F.col("rsid").alias("ld_snp_rsID"), *PLACE, *POPULATIONS, *GENE, "disease_name", "disease_efo_id", "score", "rank", "r2", "cluster_id", "gwas_source", F.col("gwas_rsid").alias("gwas_snp"),
         "gwas_pvalue", "gwas_pvalue_description", "gwas_odds_ratio", "gwas_odds_ratio_ci_start", "gwas_odds_ratio_ci_end", "gwas_beta", "gwas_size", "gwas_pmid", "gwas_study", "gwas_reported_trait",
         (F.col("rsid") == F.col("gwas_rsid")).cast("int").alias("ld_snp_is_gwas_snp"), *VEP, *[f"`GTEx_{t}`" for t in tissues], *ev.CIS_SOURCES, *ev.REG_SOURCES, *posterior)

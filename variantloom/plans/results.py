@@ -379,7 +379,7 @@ def wide(s, d, full=False):
 
 
 EACH = [c for c in WIDE_COLS if c not in ("disease_efo_id", "gwas_pmid", "gwas_pvalue")]
-BY_ASSOC = "count(*) AS n_associations, min(gwas_pvalue) AS gwas_pvalue, min(disease_efo_id) AS first_efo, max(disease_efo_id) AS last_efo, count(DISTINCT gwas_pmid) AS n_pmids, min(gwas_pmid) AS first_pmid"
+BY_ASSOC = "count(*) AS n_associations, min(gwas_pvalue) AS gwas_pvalue, min(disease_efo_id) AS first_efo, max(disease_efo_id) AS last_efo, max(gwas_pmid) AS last_pmid, min(gwas_pmid) AS first_pmid"
 
 
 @query("assemble_output", f"SELECT {', '.join(EACH)}, {BY_ASSOC} FROM ({WIDE}) w GROUP BY {', '.join(EACH)}")
