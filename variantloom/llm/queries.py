@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, neardup, pieces, quality, substrings, token_counts, toxicity, warc
+from . import centroids, chat, decontaminate, exact, language, neardup, pieces, quality, substrings, token_counts, toxicity, warc, whitening
 from .shared import spread
 from .shared import table as whole
 
@@ -64,10 +64,24 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(index, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.deduplicate(spark, f"{sf_dir}/documents.parquet")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
-    own = [op1_token_counts, op2_toxicity, op3_minhash_neardup, op4_suffix_dedup, op5_sentencepiece, op6_quality_rules, op7_language_id, op8_chat_formatting, op9_decontamination, op10_warc]
+    own = [op1_token_counts, op2_toxicity, op3_minhash_neardup, op4_suffix_dedup, op5_sentencepiece, op6_quality_rules, op7_language_id, op8_chat_formatting, op9_decontamination, op10_warc,
+           op11_exact_dedup, op12_whitening, op13_centroid_clustering]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_quality_rules": quality.QUALITY_SQL, "op8_chat_formatting": chat.CHAT_SQL, "op10_warc": warc.WARC_SQL}
+    return {"op6_quality_rules": quality.QUALITY_SQL, "op8_chat_formatting": chat.CHAT_SQL, "op10_warc": warc.WARC_SQL,
+            "op11_exact_dedup": exact.EXACT_SQL, "op13_centroid_clustering": centroids.CLUSTER_SQL}
