@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tiles import block_pairs, tile_pairs
+
 WORD = 63
 
 
@@ -81,8 +83,7 @@ def ld_window(leads: DataFrame, packed: DataFrame, window: int = 500_000, r2: fl
     """lead, rsid, chrom, pos, r2: the sites within window / 2 of each lead (rsid, chrom, pos) with r2 or more to it.
 
     A lead is always in its own set, with r2 1, also if the panel lacks it."""
-    stats = ld_stats(genotype_pair_counts(band_pairs(leads, packed, window // 2).where("a.rsid != b.rsid")), least_r2=r2)
-    near = stats.select(F.col("a.rsid").alias("lead"), "b.rsid", "b.chrom", "b.pos", "r2")
+    near = tile_pairs(leads, packed, window // 2, least_r2=r2).select("lead", "rsid", "chrom", "pos", "r2")
     own = leads.select(F.col("rsid").alias("lead"), "rsid", "chrom", "pos", F.lit(1.0).alias("r2")).distinct()
     return near.unionByName(own)
 
@@ -91,17 +92,10 @@ def pairwise_ld(members: DataFrame, packed: DataFrame, block: int = 256) -> Data
     """cluster_id, rsid_a, rsid_b (a < b, or equal with r = r2 = 1), r2, d_prime, r; members off the panel are left out.
 
     A cluster's members are dealt into blocks of about `block`, and each pair of blocks meets under a key of its own."""
-    own = members.select("cluster_id", "rsid").distinct()
-    sizes = own.groupBy("cluster_id").agg(F.expr(f"cast(ceil(count(*) / {block}) as int)").alias("_blocks"))
-    site = own.join(sizes, "cluster_id").join(packed, "rsid").select("cluster_id", "_blocks", F.expr("cast(pmod(xxhash64(rsid), _blocks) as int)").alias("_own"), _site("x"))
-    every = F.explode(F.expr("sequence(0, _blocks - 1)"))
-    a = site.select("cluster_id", F.col("_own").alias("_a"), every.alias("_b"), F.col("x").alias("a"))
-    b = site.select("cluster_id", F.col("_own").alias("_b"), every.alias("_a"), F.col("x").alias("b"))
-    stats = ld_stats(genotype_pair_counts(a.join(b, ["cluster_id", "_a", "_b"]).where("a.rsid < b.rsid")))
-    cols = ["cluster_id", F.col("a.rsid").alias("rsid_a"), F.col("b.rsid").alias("rsid_b"), "r2", "d_prime", "r"]
+    site = members.select("cluster_id", "rsid").distinct().join(packed.select("rsid", "m0", "m1", "m2"), "rsid")
     one = F.lit(1.0)
-    same = site.select("cluster_id", F.col("x.rsid").alias("rsid_a"), F.col("x.rsid").alias("rsid_b"), one.alias("r2"), one.alias("d_prime"), one.alias("r"))
-    return stats.select(*cols).unionByName(same)
+    same = site.select("cluster_id", F.col("rsid").alias("rsid_a"), F.col("rsid").alias("rsid_b"), one.alias("r2"), one.alias("d_prime"), one.alias("r"))
+    return block_pairs(site, block).unionByName(same)
 
 
 def ld_to_top(members: DataFrame, top: DataFrame, packed: DataFrame, metric: str = "r2") -> DataFrame:

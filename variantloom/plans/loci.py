@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..functions.tables import stored
-from ..operators import cluster, evidence, filters, graph, intervals, ld, output
+from ..operators import cluster, evidence, filters, graph, intervals, ld, output, tiles
 from .base import F, packed, query, rounded, sql, view, window
 from .sources import FDR
 
@@ -134,32 +134,32 @@ def _38(s, d):
 
 
 def _all_pairs(s, d):
-    return ld.genotype_pair_counts(ld.band_pairs(view(s, d, "fx_lead"), packed(s, d), 250_000).where("a.rsid != b.rsid"))
+    return tiles.tile_pairs(view(s, d, "fx_lead"), packed(s, d), 250_000)
 
 
 @query("genotype_pair_counts", "SELECT lead, rsid, " + ", ".join(f"CAST(n{i}{j} AS INT) AS n{i}{j}" for i in range(3) for j in range(3)) + " FROM {or_counts}")
 def _counts(s, d):
-    return _all_pairs(s, d).select(F.col("a.rsid").alias("lead"), "b.rsid", *[f"n{i}{j}" for i in range(3) for j in range(3)])
+    return _all_pairs(s, d).select("lead", "rsid", *tiles.COUNTS)
 
 
 @query("ld_r2", "SELECT lead, rsid, CAST(n AS INT) AS n, round(r2, 6) AS r2 FROM {or_ld}")
 def _r2(s, d):
-    return rounded(ld.ld_stats(_all_pairs(s, d)).select(F.col("a.rsid").alias("lead"), "b.rsid", "n", "r2"), "r2")
+    return rounded(_all_pairs(s, d).select("lead", "rsid", "n", "r2"), "r2")
 
 
 @query("ld_prune", "SELECT lead, rsid, round(r2, 6) AS r2 FROM {or_ld} WHERE n >= 40 AND r2 >= 0.05")
 def _prune(s, d):
-    return rounded(ld.prune_weak(ld.ld_stats(_all_pairs(s, d))).select(F.col("a.rsid").alias("lead"), "b.rsid", "r2"), "r2")
+    return rounded(ld.prune_weak(_all_pairs(s, d)).select("lead", "rsid", "r2"), "r2")
 
 
 @query("ld_dprime", "SELECT lead, rsid, round(d_prime, 6) AS d_prime FROM {or_ld}")
 def _dprime(s, d):
-    return rounded(ld.ld_stats(_all_pairs(s, d)).select(F.col("a.rsid").alias("lead"), "b.rsid", "d_prime"), "d_prime")
+    return rounded(_all_pairs(s, d).select("lead", "rsid", "d_prime"), "d_prime")
 
 
 @query("ld_pearson", "SELECT p.lead, p.rsid, round(corr(a.dosage, b.dosage), 6) AS r FROM {or_pairs} p JOIN {fx_geno} a ON a.rsid = p.lead JOIN {fx_geno} b ON b.rsid = p.rsid AND a.sample_id = b.sample_id GROUP BY p.lead, p.rsid")
 def _pearson(s, d):
-    return rounded(ld.ld_stats(_all_pairs(s, d)).select(F.col("a.rsid").alias("lead"), "b.rsid", "r"), "r")
+    return rounded(_all_pairs(s, d).select("lead", "rsid", "r"), "r")
 
 
 @query("ld_window", "SELECT lead, rsid, chrom, pos, round(r2, 6) AS r2 FROM {or_window}")

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from ..operators import prep
-from ..sources import readers
-from .base import F, query, rounded, sql, view
+from ..sources import panel, readers
+from .base import F, query, rounded, sql, vcf_lines, view
 
 ASSOC = "rsid AS snp, p AS pvalue"
 
@@ -182,3 +182,23 @@ def _samples(s, d):
 def _common(s, d):
     g = sql(s, d, "SELECT rsid, sample_id, CASE WHEN pos % 7 = 0 THEN 0 ELSE dosage END AS dosage FROM {fx_geno}")
     return prep.filter_common_biallelic(g)
+
+
+#: The calls of vcf_lines(odd=True) as rows: sample number i, dosage d, null where the call is missing.
+CALLS = """c AS (SELECT g.rsid, g.chrom, g.pos, g.sample_id, p.super_pop, p.i, CASE WHEN g.pos % 7 = 0 THEN 0 WHEN g.sample_id % 7 = 3 AND g.pos % 5 = 0 THEN NULL ELSE g.dosage END AS d
+  FROM {fx_geno} g JOIN (SELECT sample_id, super_pop, row_number() OVER (ORDER BY sample_id) - 1 AS i FROM {fx_sample}) p ON p.sample_id = g.sample_id WHERE g.pos % 3 <> 0)"""
+
+
+@query("packed_panel", f"""WITH {CALLS}, w AS (SELECT rsid, chrom, pos, i // 63 AS w, {", ".join(f"count(*) FILTER (WHERE d = {k}) AS n{k}, coalesce(bit_or(CAST(1 AS BIGINT) << CAST(i % 63 AS INT)) FILTER (WHERE d = {k}), 0) AS m{k}" for k in range(3))} FROM c GROUP BY ALL)
+  SELECT rsid, chrom, pos, 'A' AS ref, 'C' AS alt, {", ".join(f"CAST(sum(n{k}) AS INT) AS n{k}, string_agg(CAST(m{k} AS VARCHAR), ',' ORDER BY w) AS m{k}" for k in range(3))} FROM w GROUP BY rsid, chrom, pos""")
+def _panel(s, d):
+    return panel.packed_panel(vcf_lines(s, d, odd=True)).withColumns({f"m{k}": F.array_join(F.transform(f"m{k}", lambda x: x.cast("string")), ",") for k in range(3)})
+
+
+@query("panel_common", f"""WITH {CALLS}, f AS (SELECT rsid, {", ".join(f"CAST(count(*) FILTER (WHERE d = {k}) AS INT) AS n{k}" for k in range(3))}, avg(d) / 2 AS f FROM c WHERE super_pop = 'EUR' GROUP BY rsid)
+  SELECT rsid, n0, n1, n2, round(f, 6) AS frequency FROM f WHERE least(f, 1 - f) >= 0.01""")
+def _panel_common(s, d):
+    """Common sites of one population, as masks on the words of the whole panel."""
+    samples = sql(s, d, "SELECT row_number() OVER (ORDER BY sample_id) - 1 AS sample_no, super_pop FROM {fx_sample}")
+    europeans = panel.of_samples(panel.packed_panel(vcf_lines(s, d, odd=True)), panel.sample_mask(samples, F.col("super_pop") == "EUR"))
+    return panel.common(europeans).select("rsid", "n0", "n1", "n2", F.round(panel.frequency(), 6).alias("frequency"))
