@@ -33,6 +33,12 @@ def stored(df: DataFrame, name: str = "t") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df, dealt out over all cores where it comes in fewer partitions (a small table in one file, with much work a row)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def drop_stored(spark: SparkSession) -> None:
     """Delete the tables of this application: for the end of a job, when no DataFrame that reads them is needed any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.tables import stored
+from ..functions.tables import spread, stored
 from ..operators import evidence, intervals, ld
 from ..sources import panel
 from .fixtures import VIEWS, oracle, sql, view
@@ -64,13 +64,13 @@ def vcf_lines(s: SparkSession, d: str, odd: bool = False) -> DataFrame:
     """The calls of fx_geno as the lines of a VCF, a line a site, its samples in the order of their ids (one row of them is
     sent to all tasks); odd: some sites have no alternative allele, or no carrier of it; some calls are missing, some have
     more fields."""
-    call = "element_at(array('0|0', '0/1', '1|1'), CAST((g + CASE WHEN (idx * 31 + s * 17) % 23 = 0 THEN 1 ELSE 0 END) % 3 AS INT) + 1)"
+    call = "element_at(array('0|0', '0/1', '1|1'), CAST((s * 7 + (idx div 16) * 5 + s div 5 + if((idx * 31 + s * 17) % 23 = 0, 1, 0)) % 3 AS INT) + 1)"
     if odd:
         call = f"CASE WHEN pos % 7 = 0 THEN '0|0' WHEN s % 7 = 3 AND pos % 5 = 0 THEN './.' WHEN s % 11 = 5 THEN {call} || ':35:0|1' ELSE {call} END"
     alt = "CASE WHEN pos % 3 = 0 THEN '.' ELSE 'C' END" if odd else "'C'"
-    calls = f"array_join(transform(ids, s -> transform(array((s * 7 + CAST(floor(idx / 16) AS BIGINT) * 5 + CAST(floor(s / 5) AS BIGINT)) % 3), g -> {call})[0]), '\t')"
+    calls = f"array_join(transform(ids, s -> {call}), '\t')"
     ids = sql(s, d, "SELECT sort_array(collect_list(sample_id)) AS ids FROM {fx_sample}")
-    return sql(s, d, f"SELECT concat_ws('\t', chrom, pos, rsid, 'A', {alt}, '.', 'PASS', '.', 'GT', {calls}) AS value FROM {{fx_snp}} CROSS JOIN {{ids}}", ids=F.broadcast(ids))
+    return sql(s, d, f"SELECT concat_ws('\t', chrom, pos, rsid, 'A', {alt}, '.', 'PASS', '.', 'GT', {calls}) AS value FROM {{fx_snp}} CROSS JOIN {{ids}}", ids=F.broadcast(ids), fx_snp=spread(view(s, d, "fx_snp")))
 
 
 def packed(s: SparkSession, d: str) -> DataFrame:
