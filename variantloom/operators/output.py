@@ -102,7 +102,7 @@ def snp_output(snps: DataFrame, scores: DataFrame, genes: DataFrame, eqtl: DataF
 
 
 def assemble_output(assoc: DataFrame, members: DataFrame, scores: DataFrame, genes: DataFrame, ld: DataFrame, eqtl: DataFrame, mafs: DataFrame, terms: DataFrame,
-                    vep: DataFrame, snp38: DataFrame, gene38: DataFrame, tissues: list[str] | None = None, r2: float = 0.7, clpp: DataFrame | None = None) -> DataFrame:
+                    vep: DataFrame, snp38: DataFrame, gene38: DataFrame, tissues: list[str] | None = None, r2: float = 0.7, clpp: DataFrame | None = None, summed: dict[str, str] | None = None) -> DataFrame:
     """The wide table: a row for each association of a cluster's GWAS SNP, LD SNP and gene.
 
     assoc: cluster_id, rsid (GWAS SNP), pvalue, efo, disease, reported_trait, source, publication, study, sample_size,
@@ -111,7 +111,8 @@ def assemble_output(assoc: DataFrame, members: DataFrame, scores: DataFrame, gen
     vep_stats. Rows need a publication, both places on main chromosomes and r2 to the GWAS SNP. A left join adds what may
     be missing. With clpp (gene_id, cluster_id, rsid, tissue, clpp_snp) there is a <tissue>_CLPP column per tissue, 0
     where the SNP has none. LD SNPs meet the GWAS SNPs of their cluster, those in LD get their notes once, and the
-    associations of the GWAS SNPs come last.
+    associations of the GWAS SNPs come last. With summed (column name: aggregate of the columns of associations) these
+    are summed up for each GWAS SNP, source and study before they are joined, and the given columns stand for theirs.
     """
     optional = {"pvalue_description": "string", "ci_start": "double", "ci_end": "double"}
     a = assoc.withColumns({c: F.lit(None).cast(k) for c, k in optional.items() if c not in assoc.columns})
@@ -122,6 +123,9 @@ def assemble_output(assoc: DataFrame, members: DataFrame, scores: DataFrame, gen
                  "gwas_pmid", F.col("study").alias("gwas_study"), F.col("reported_trait").alias("gwas_reported_trait"))
     tissues = ev.TISSUES if tissues is None else tissues
     leads = a.select("cluster_id", "gwas_rsid").distinct()
+    by_assoc = [c for c in a.columns if c not in ("cluster_id", "gwas_rsid", "gwas_source", "gwas_study")]
+    if summed is not None:
+        a, by_assoc = a.groupBy("cluster_id", "gwas_rsid", "gwas_source", "gwas_study").agg(*[F.expr(x).alias(c) for c, x in summed.items()]), list(summed)
     near = ld_filter(main_assembly_only(members.select("cluster_id", "rsid", "chrom", "pos")).join(leads, "cluster_id"), ld, r2)
     rows = stored(_placed(near.join(gene_rank(scores), "rsid"), genes, snp38, gene38), "rows")
     out = _noted(rows, eqtl, mafs, terms, vep, tissues)
@@ -131,6 +135,5 @@ def assemble_output(assoc: DataFrame, members: DataFrame, scores: DataFrame, gen
         out = out.join(by_tissue.select("cluster_id", "gene_id", "rsid", *[F.col(f"`{t}`").alias(f"{t}_CLPP") for t in tissues]), ["cluster_id", "gene_id", "rsid"], "left")
         posterior = [F.coalesce(F.col(f"`{t}_CLPP`"), F.lit(0.0)).alias(f"{t}_CLPP") for t in tissues]
     return out.join(a, ["cluster_id", "gwas_rsid"]).select(
-        F.col("rsid").alias("ld_snp_rsID"), *PLACE, *POPULATIONS, *GENE, "disease_name", "disease_efo_id", "score", "rank", "r2", "cluster_id", "gwas_source", F.col("gwas_rsid").alias("gwas_snp"),
-        "gwas_pvalue", "gwas_pvalue_description", "gwas_odds_ratio", "gwas_odds_ratio_ci_start", "gwas_odds_ratio_ci_end", "gwas_beta", "gwas_size", "gwas_pmid", "gwas_study", "gwas_reported_trait",
+        F.col("rsid").alias("ld_snp_rsID"), *PLACE, *POPULATIONS, *GENE, "score", "rank", "r2", "cluster_id", "gwas_source", F.col("gwas_rsid").alias("gwas_snp"), "gwas_study", *by_assoc,
         (F.col("rsid") == F.col("gwas_rsid")).cast("int").alias("ld_snp_is_gwas_snp"), *VEP, *[f"`GTEx_{t}`" for t in tissues], *ev.CIS_SOURCES, *ev.REG_SOURCES, *posterior)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.tables import spread, stored
 from ..operators import evidence, intervals, ld
-from ..sources import panel
+from ..sources import panel, readers
 from .fixtures import VIEWS, oracle, sql, view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,7 +52,7 @@ VIEWS |= {
     "or_overlap": "SELECT s.rsid, s.chrom, s.pos, b.feature_id, b.gene_id, b.score, b.bstart, b.bend FROM {fx_snp} s JOIN {fx_bed} b ON s.chrom = b.chrom AND b.bstart < s.pos AND s.pos <= b.bend",
     "or_nearest": "SELECT rsid, gene_id, distance FROM (SELECT s.rsid, g.gene_id, abs(s.pos - g.tss) AS distance, rank() OVER (PARTITION BY s.rsid ORDER BY abs(s.pos - g.tss)) AS n FROM {fx_snp} s JOIN {fx_gene} g ON s.chrom = g.chrom) x WHERE n = 1 AND distance < 100000",
     "or_cis": "SELECT e.rsid, e.gene_id, e.source, e.score FROM (SELECT rsid, gene_id, 'PCHiC' AS source, score FROM {or_overlap} WHERE score > 5 UNION ALL SELECT rsid, gene_id, 'Nearest', 1.0 FROM {or_nearest} "
-              "UNION ALL SELECT rsid, gene_id, 'GTEx', 1 - pvalue FROM {fx_eqtl} WHERE pvalue < 0.05) e JOIN {fx_gene} g ON e.gene_id = g.gene_id WHERE g.biotype = 'protein_coding'",
+              "UNION ALL SELECT rsid, gene_id, 'GTEx', 1 - pvalue FROM {fx_eqtl} WHERE pvalue > 0 AND pvalue <= 1) e JOIN {fx_gene} g ON e.gene_id = g.gene_id WHERE g.biotype = 'protein_coding'",
     "or_reg": "SELECT DISTINCT s.rsid, CASE WHEN left(b.category, 1) IN ('1', '2') THEN 1.0 ELSE 0.5 END AS score FROM {fx_snp} s JOIN {fx_regulome} b ON s.chrom = b.chrom AND b.bstart < s.pos AND s.pos <= b.bend",
     "or_v2g": "SELECT c.rsid, c.gene_id, GTEx, PCHiC, Nearest, coalesce(r.score, 0) AS Regulome, GTEx + PCHiC + Nearest + coalesce(r.score, 0) AS score FROM (SELECT rsid, gene_id, coalesce(max(score) FILTER (WHERE source = 'GTEx'), 0) AS GTEx, "
               "least(1, coalesce(max(score) FILTER (WHERE source = 'PCHiC'), 0)) AS PCHiC, coalesce(max(score) FILTER (WHERE source = 'Nearest'), 0) AS Nearest FROM {or_cis} GROUP BY rsid, gene_id) c LEFT JOIN (SELECT rsid, max(score) AS score FROM {or_reg} GROUP BY rsid) r USING (rsid)",
@@ -91,7 +91,7 @@ def cis(s: SparkSession, d: str, snps: DataFrame | None = None) -> DataFrame:
     snps = view(s, d, "fx_snp") if snps is None else snps
     rows = evidence.pchic_evidence(snps, view(s, d, "fx_bed"))
     rows = rows.unionByName(intervals.nearest(snps, genes.select("chrom", "tss", "gene_id")).select("rsid", "gene_id", F.lit(1.0).alias("score"), F.lit("Nearest").alias("source")))
-    gtex = eqtl.where("pvalue < 0.05").select("rsid", "gene_id", (1 - F.col("pvalue")).alias("score"), F.lit("GTEx").alias("source"))
+    gtex = readers.eqtl_evidence(eqtl).select("rsid", "gene_id", "score", F.lit("GTEx").alias("source"))
     coding = genes.where(CODING).select("gene_id")
     return rows.unionByName(gtex).join(coding, "gene_id", "left_semi").select("rsid", "gene_id", "source", "score")
 

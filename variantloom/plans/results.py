@@ -365,7 +365,7 @@ WIDE = """SELECT r.gene_id, r.rsid AS ld_snp_rsID, w.lead AS gwas_snp, 'EFO_' ||
 WIDE_COLS = ["gene_id", "ld_snp_rsID", "gwas_snp", "disease_efo_id", "gwas_pmid", "cluster_id", "r2", "gwas_pvalue", "score", "rank", "ld_snp_is_gwas_snp", "chrom", "pos", "gene_chrom", "gene_tss", "PCHiC", "GTEx", "Nearest", "Regulome"]
 
 
-def wide(s, d, full=False):
+def wide(s, d, full=False, summed=None):
     sets = window(s, d)
     assoc = sql(s, d, "SELECT g.rsid AS cluster_id, g.rsid, g.pvalue, 'http://www.ebi.ac.uk/efo/EFO_' || g.efo AS efo, g.efo AS disease, 'GRASP' AS source, CAST(g.study_id AS STRING) AS publication, '' AS study, g.sample_size, CAST(NULL AS DOUBLE) AS odds_ratio, g.beta, '' AS reported_trait FROM {fx_gwas} g JOIN {fx_lead} l ON g.rsid = l.rsid")
     snp, gene = view(s, d, "fx_snp"), view(s, d, "fx_gene")
@@ -374,18 +374,18 @@ def wide(s, d, full=False):
     mafs = sql(s, d, "SELECT rsid, map('eur', CAST(k % 50 AS DOUBLE) / 100) AS mafs FROM {fx_snp}")
     out = output.assemble_output(
         assoc, sets.select(F.col("lead").alias("cluster_id"), "rsid", "chrom", "pos"), rounded(v2g(s, d), "score"), gene, sets.select(F.col("lead").alias("rsid_a"), F.col("rsid").alias("rsid_b"), "r2"),
-        evidence.eqtl_index(view(s, d, "fx_eqtl")), mafs, evidence.vep_terms(vep), evidence.vep_stats(pairs, vep), snp, gene, TISSUES)
-    return out if full else rounded(out, "r2", "PCHiC", "GTEx").select(*WIDE_COLS)
+        evidence.eqtl_index(view(s, d, "fx_eqtl")), mafs, evidence.vep_terms(vep), evidence.vep_stats(pairs, vep), snp, gene, TISSUES, summed=summed)
+    return out if full else rounded(out, "r2", "PCHiC", "GTEx").select(*(EACH + list(summed) if summed else WIDE_COLS))
 
 
 EACH = [c for c in WIDE_COLS if c not in ("disease_efo_id", "gwas_pmid", "gwas_pvalue")]
-BY_ASSOC = "count(*) AS n_associations, min(gwas_pvalue) AS gwas_pvalue, min(disease_efo_id) AS first_efo, max(disease_efo_id) AS last_efo, max(gwas_pmid) AS last_pmid, min(gwas_pmid) AS first_pmid"
+BY_ASSOC = {"n_associations": "count(*)", "gwas_pvalue": "min(gwas_pvalue)", "first_efo": "min(disease_efo_id)", "last_efo": "max(disease_efo_id)", "last_pmid": "max(gwas_pmid)", "first_pmid": "min(gwas_pmid)"}
 
 
-@query("assemble_output", f"SELECT {', '.join(EACH)}, {BY_ASSOC} FROM ({WIDE}) w GROUP BY {', '.join(EACH)}")
+@query("assemble_output", f"SELECT {', '.join(EACH)}, {', '.join(f'{x} AS {c}' for c, x in BY_ASSOC.items())} FROM ({WIDE}) w GROUP BY {', '.join(EACH)}")
 def _wide(s, d):
-    """The wide table, its associations counted for each gene, LD SNP and GWAS SNP."""
-    return wide(s, d).groupBy(*EACH).agg(*[F.expr(x) for x in BY_ASSOC.split(", ")])
+    """The wide table, its associations summed up for each gene, LD SNP and GWAS SNP."""
+    return wide(s, d, summed=BY_ASSOC)
 
 
 W = f"(WITH w AS ({WIDE}) SELECT * FROM w) t"
