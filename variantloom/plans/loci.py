@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from ..functions.tables import stored
 from ..operators import cluster, evidence, filters, graph, intervals, ld, output, tiles
-from .base import F, packed, query, rounded, sql, view, window
+from ..sources import index
+from .base import ORACLES, F, packed, query, rounded, sql, view, window
 from .sources import FDR
 
 TRAITS = "SELECT rsid, pvalue, CASE WHEN line % 2 = 0 THEN array('E_9', 'E_' || efo) ELSE array('E_' || efo) END AS iris, 'T' || CAST(line AS STRING) AS reported_trait FROM {fx_gwas}"
@@ -104,6 +105,23 @@ def _signal(s, d):
     return rounded(intervals.mean_signal(view(s, d, "fx_snp"), signal), "score", places=4)
 
 
+@query("index_overlap", "SELECT rsid, feature_id, gene_id FROM {or_overlap}")
+def _index_overlap(s, d):
+    return index.overlap(view(s, d, "fx_snp"), index.write_intervals(view(s, d, "fx_bed"))).select("rsid", "feature_id", "gene_id")
+
+
+@query("index_nearest", "SELECT * FROM {or_nearest}")
+def _index_nearest(s, d):
+    places = index.write_places(view(s, d, "fx_gene").select("chrom", "tss", "gene_id"))
+    return index.nearest(view(s, d, "fx_snp"), places).select("rsid", "gene_id", "distance")
+
+
+@query("index_signal", ORACLES["mean_signal"])
+def _index_signal(s, d):
+    signal = sql(s, d, "SELECT chrom, bstart, bend, CASE WHEN feature_id % 11 = 0 THEN CAST('NaN' AS DOUBLE) ELSE score END AS value FROM {fx_bed}")
+    return rounded(index.mean_signal(view(s, d, "fx_snp"), index.write_intervals(signal)), "score", places=4)
+
+
 FDR_SCORE = f"SELECT o.rsid, o.gene_id, o.feature_id, round(1 - m.fdr, 6) AS score FROM {{or_overlap}} o JOIN {{fx_gene}} g ON o.gene_id = g.gene_id AND o.chrom = g.chrom JOIN (SELECT c.bin, 0.99 * coalesce((SELECT n FROM ({FDR}) z WHERE bin = 49), 0) / c.n AS fdr FROM ({FDR}) c) m ON m.bin = CAST(floor(abs(o.pos - g.tss) / 10000) AS INT) WHERE abs(o.pos - g.tss) <= 500000 AND m.fdr <> 1"
 
 
