@@ -81,11 +81,12 @@ def test_preferences(spark):
     df = spark.createDataFrame([(*t, "x", 0) for t in turns], "conv_id long, turn long, role string, text string, chosen string, n_shared int")
     pairs = preference_pairs(conversations(df).withColumn("spare", __import__("pyspark").sql.functions.lit(1)))
     raw, rows = {r.pair_id: r for r in pairs.collect()}, {r.pair_id: r for r in format_preferences(pairs).collect()}
-    assert set(rows) == {1, 2, 3, 10, 12, 5000}  # 9 repeats 2, 4 and 11 have nothing to prefer
+    assert set(rows) == {1, 3, 10, 12, 5000}  # 2 says less than 1, 9 repeats it, 4 and 11 have nothing to prefer
+    assert {k for k, r in rows.items() if not r.made} == {1}
     r = rows[1]
     assert r.n_shared == 1 and r.prompt == "<|user|>\nhi<|end|>\n" and r.rejected == rendered([("assistant", "no")])
     assert [r.chosen[s.start : s.end] for s in r.chosen_spans] == ["good day", "so long"]
-    assert raw[2].rejected == raw[1].chosen and raw[3].rejected[-1] == ("assistant", "what") and raw[5000].rejected == [("assistant", "")]
+    assert raw[1].rejected == [("user", "hi"), ("assistant", "no")] and raw[3].rejected[-1] == ("assistant", "what") and raw[5000].rejected == [("assistant", "")]
     assert rows[3].chosen_spans[0].start == rows[3].chosen_spans[0].end
     r = rows[10]  # it leaves at its first assistant turn, as 10 is even
     assert r.n_shared == 2 and r.rejected == rendered([("assistant", "z")]) and "a <\\|end|\\> \\\\ b" in r.prompt
@@ -99,11 +100,33 @@ def test_preferences(spark):
     assert format_preferences(pairs.limit(0)).collect() == [] and preference_pairs(conversations(df.limit(0))).collect() == []
 
 
-def test_crowded_openings_lose_no_conversation(spark):
-    turns = [(i, t, "user" if t == 0 else "assistant", "hi" if t == 0 else f"answer {i * 7919 % 400}") for i in range(500) for t in (0, 1)]
-    df = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")
-    rows = preference_pairs(conversations(df), group=50).collect()
-    assert sorted(r.pair_id for r in rows) == list(range(400)) and all(r.chosen[0] == r.rejected[0] and r.chosen != r.rejected for r in rows)
+def test_pairs_of_crowded_openings_do_not_contradict_each_other(spark):
+    rng, convs = random.Random(3), {}
+    for i in range(600):  # alternatives part at their first, second or third assistant turn
+        turns = [("user", f"q{i % 3}")]
+        for _ in range(rng.randint(1, 3)):
+            turns += [("assistant", "a" * rng.choice((1, 1, 2, 3, 40)) + rng.choice(("", "", str(i)))), ("user", rng.choice(("and", "or")))]
+        convs[i] = turns
+    df = spark.createDataFrame([(i, k, *t) for i, turns in convs.items() for k, t in enumerate(turns)], "conv_id long, turn int, role string, text string")
+    said = lambda turns: sum(len(t) for r, t in turns if r == "assistant")
+    plain = lambda turns: [tuple(t) for t in turns]
+    distinct = {tuple(t): i for i, t in sorted(convs.items(), reverse=True)}
+    levels = {}
+    for t in distinct:
+        levels.setdefault(t[0], set()).add(said(t))
+    for most in (0, 10_000):
+        rows = preference_pairs(conversations(df), most).collect()
+        assert not any(r.made for r in rows) and all(tuple(plain(r.rejected)) in distinct for r in rows)
+        assert sorted(r.pair_id for r in rows) == sorted(i for t, i in distinct.items() if said(t) > min(levels[t[0]]))
+        for r in rows:
+            c, d = plain(r.chosen), plain(r.rejected)
+            assert c == convs[r.pair_id] and c[0] == d[0] and said(d) == max(x for x in levels[c[0]] if x < said(c))
+        edges = {(tuple(plain(r.chosen)), tuple(plain(r.rejected))) for r in rows}
+        assert not any((b, a) in edges for a, b in edges)
+    lengths = {len(r.prompt) for r in format_preferences(preference_pairs(conversations(df))).collect()}
+    assert len(lengths) > 3  # pairs share one turn, or more
+    same = spark.createDataFrame([(i, k, "user" if k == 0 else "assistant", "hi" if k == 0 else f"answer {i}") for i in range(10, 99) for k in (0, 1)], df.schema)
+    assert preference_pairs(conversations(same)).collect() == []  # equal amounts are not compared
 
 
 def test_masks_ignore_substitutions():

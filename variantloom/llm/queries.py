@@ -52,7 +52,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = chat.preference_pairs(chat.conversations(table(spark, sf_dir, "conversations")))
     spans = [F.expr(chat.spans_text(c)).alias(c) for c in ("chosen_spans", "rejected_spans")]
-    return chat.format_preferences(pairs).select("pair_id", "n_shared", "prompt", "chosen", "rejected", *spans)
+    return chat.format_preferences(pairs).select("pair_id", "made", "n_shared", "prompt", "chosen", "rejected", *spans)
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
