@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..functions import scoring
 from ..functions.tables import stored
-from ..operators import alleles, checks, cluster, evidence, filters, finemap, intervals, ld, output, report
+from ..operators import alleles, checks, cluster, evidence, filters, finemap, intervals, ld, output, report, search
 from .base import F, cis, packed, query, rounded, sql, v2g, view, window
 
 TISSUES = ["AF", "NF", "NO", "RF", "AO", "RO"]
@@ -261,6 +261,13 @@ def _sets3(s, d):
     return _configs(s, d, 3).where("size = 3").select("cluster_id", F.array_join("snps", ",").alias("snps"), F.round("log_bf", 6).alias("log_bf"))
 
 
+@query("search_sets", f"SELECT cluster_id, rsid AS snps, 1 AS size, round({BF1}, 6) AS log_bf FROM ({MEMBERS}) x UNION ALL SELECT cluster_id, rsid_a || ',' || rsid_b, 2, round({BF2}, 6) FROM ({PAIRED}) y UNION ALL SELECT cluster_id, snps, 3, round({BF3}, 6) FROM ({TRIPLES}) t")
+def _search(s, d):
+    """The search with a beam wide enough for all sets: it must find each of them once."""
+    found = search.search_sets(_members(s, d), _fake_ld(s, d), 1000, 3, beam=200, tail=0)
+    return found.select("cluster_id", F.array_join("snps", ",").alias("snps"), "size", F.round("log_bf", 6).alias("log_bf"))
+
+
 POST = f"SELECT cluster_id, rsid, e / sum(e) OVER (PARTITION BY cluster_id) AS posterior FROM (SELECT cluster_id, rsid, exp({BF1}) AS e FROM ({MEMBERS}) x) y"
 
 
