@@ -302,3 +302,14 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(Session())
+
+
+def test_a_long_chain_of_terms_takes_few_rounds(spark, monkeypatch):
+    n, written = 400, []
+    monkeypatch.setattr(graph, "stored", lambda df, name="t", keep=graph.stored: written.append(name) or keep(df, name))
+    edges = spark.createDataFrame([(i + 1, i) for i in range(n)] + [(n + 9, n), (n, n + 9), (None, 3), (5, None)], "child int, parent int")
+    found = graph.descendants(edges, spark.createDataFrame([(0,), (n - 3,), (n + 9,), (None,), (0,)], "node int"))
+    below = lambda r: set(range(r + 1, n + 1)) | {n + 9}
+    want = {(r, x) for r in (0, n - 3) for x in below(r)} | {(n + 9, n), (n + 9, n + 9)}
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+    assert written.count("desc") <= 11  # 400 levels

@@ -42,14 +42,15 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
 def descendants(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """Edges (child, parent) and roots (node) -> rows (root, node) for all descendants at any depth.
 
-    One join a level, until a level adds nothing; cycles end, too, as nothing new is found in them."""
-    children = stored(edges.select(F.col("parent").alias("node"), "child").distinct(), "children")
-    level = stored(roots.select(F.col("node").alias("root"), "node").distinct().join(children, "node").select("root", F.col("child").alias("node")).distinct(), "desc")
-    found = level
-    while level.limit(1).count():
-        level = level.join(children, "node").select("root", F.col("child").alias("node")).distinct()
-        level = stored(level.join(found, ["root", "node"], "left_anti"), "desc")
-        found = stored(found.unionByName(level), "found")
+    Each round doubles the depth: what is found is joined with jumps of as many levels as are found so far, and a jump
+    with itself. A round writes what is new and the next jumps. A round without anything new is the last, as then no
+    node is first met beyond the levels found; so cycles end, too, in which a root is its own descendant."""
+    jump = stored(edges.select(F.col("parent").alias("node"), F.col("child").alias("to")).where("node is not null and to is not null").distinct(), "jump")
+    found = new = stored(roots.select(F.col("node").alias("root"), "node").distinct().join(jump, "node").select("root", F.col("to").alias("node")).distinct(), "desc")
+    while new.limit(1).count():
+        new = stored(found.join(jump, "node").select("root", F.col("to").alias("node")).distinct().join(found, ["root", "node"], "left_anti"), "desc")
+        found = found.unionByName(new)
+        jump = stored(jump.join(jump.select(F.col("node").alias("to"), F.col("to").alias("far")), "to").select("node", F.col("far").alias("to")).distinct(), "jump")
     return found
 
 
