@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..functions import scoring
 from ..functions.tables import stored
-from ..operators import alleles, checks, cluster, evidence, filters, finemap, intervals, ld, output, report, search
+from ..operators import alleles, checks, cluster, evidence, filters, finemap, intervals, ld, output, report, search, weights
 from .base import F, cis, packed, query, rounded, sql, v2g, view, window
 
 TISSUES = ["AF", "NF", "NO", "RF", "AO", "RO"]
@@ -223,6 +223,22 @@ def _annotation(s, d):
     return out.select("cluster_id", F.array_join("snps", ",").alias("snps"), F.round("log_prior", 6).alias("log_prior"))
 
 
+#: SNPs with a z score and a note on open chromatin: every seventh has signal, and half of these are noted.
+NOTED_SNPS = "SELECT rsid, CASE WHEN k % 7 = 0 THEN 3 ELSE 0.5 END * (CAST(k % 13 AS DOUBLE) / 3 - 2) AS z, CASE WHEN k % 14 = 0 OR k % 4 = 0 THEN 1 ELSE 0 END AS dhs FROM {fx_snp}"
+
+
+@query("annotation_weights", f"""WITH RECURSIVE x AS (SELECT dhs, exp(-0.5 * ln(1 + 2.5) + 0.5 * z * z / (1 / 2.5 + 1)) AS bf FROM ({NOTED_SNPS}) n),
+  h AS (SELECT 0 AS i, dhs, CAST(0 AS DOUBLE) AS lo, CAST(1 AS DOUBLE) AS hi FROM (SELECT DISTINCT dhs FROM x) g UNION ALL
+    SELECT h.i + 1, h.dhs, CASE WHEN sum((bf - 1) / (1 + (lo + hi) / 2 * (bf - 1))) > 0 THEN (lo + hi) / 2 ELSE lo END, CASE WHEN sum((bf - 1) / (1 + (lo + hi) / 2 * (bf - 1))) > 0 THEN hi ELSE (lo + hi) / 2 END FROM h JOIN x ON x.dhs = h.dhs WHERE h.i < 50 GROUP BY h.i, h.dhs, h.lo, h.hi),
+  p AS (SELECT dhs, (lo + hi) / 2 AS p FROM h WHERE i = 50)
+  SELECT round(min(ln(p / (1 - p))) FILTER (WHERE p.dhs = 0), 4) AS intercept, round(min(ln(p / (1 - p))) FILTER (WHERE p.dhs = 1) - min(ln(p / (1 - p))) FILTER (WHERE p.dhs = 0), 4) AS dhs, round(sum(ln(1 - p + p * bf)), 3) AS log_likelihood, true AS converged FROM p JOIN x ON x.dhs = p.dhs""")
+def _weights(s, d):
+    """With one note the best share of causal SNPs is found for either kind alone, which the oracle does by bisection."""
+    x = sql(s, d, NOTED_SNPS)
+    fit, _ = weights.fit_weights(x.withColumn("log_bf", scoring.log_bf_single(F.col("z"), F.lit(1000.0))), ["dhs"], ridge=0.0)
+    return fit.select(F.round("intercept", 4).alias("intercept"), F.round("dhs", 4).alias("dhs"), F.round("log_likelihood", 3).alias("log_likelihood"), "converged")
+
+
 @query("log_abf", "SELECT rsid, round(ln((exp(x1) + exp(x2) + exp(x3)) / 3), 6) AS log_abf FROM (SELECT rsid, " + ", ".join(f"-0.5 * ln(1 - {w} / (v + {w})) - z * z * ({w} / (v + {w})) / 2 AS x{i}" for i, w in enumerate((0.01, 0.1, 0.5), 1))
        + " FROM (SELECT rsid, CAST(k % 13 AS DOUBLE) / 3 - 2 AS z, CASE WHEN k % 50 = 0 THEN 10 ELSE 1 / (k % 50 / 100.0 * (1 - k % 50 / 100.0) * 1000) END AS v FROM {fx_snp}) a) b")
 def _abf(s, d):
