@@ -98,8 +98,9 @@ def log_sum(a: Column, b: Column) -> Column:
 
 
 def log_prior_binomial(size: Column, kmax: int, m: Column) -> Column:
-    """Binomial prior of a set of `size` out of m SNPs with p = 1 / m; for kmax > 1 relative to the sum over sizes."""
-    lp, lq = F.ln(1 / m), F.ln(1 - 1 / m)
+    """Binomial prior of a set of `size` out of m SNPs with p = 1 / m; for kmax > 1 relative to the sum over sizes.
+    The one set of a single SNP has p = 1."""
+    lp, lq = F.ln(1 / m), F.when(m > 1, F.ln(1 - 1 / m)).otherwise(F.lit(0.0))
     own = size * lp + (m - size) * lq
     if kmax == 1:
         return own
