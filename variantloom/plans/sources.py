@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..operators import prep
-from ..sources import panel, readers
+from ..sources import panel, readers, rejects
 from .base import F, query, rounded, sql, vcf_lines, view
 
 ASSOC = "rsid AS snp, p AS pvalue"
@@ -202,3 +202,26 @@ def _panel_common(s, d):
     samples = sql(s, d, "SELECT row_number() OVER (ORDER BY sample_id) - 1 AS sample_no, super_pop FROM {fx_sample}")
     europeans = panel.of_samples(panel.packed_panel(vcf_lines(s, d, odd=True)), panel.sample_mask(samples, F.col("super_pop") == "EUR"))
     return panel.common(europeans).select("rsid", "n0", "n1", "n2", F.round(panel.frequency(), 6).alias("frequency"))
+
+
+#: Lines of each source, some of them cut short.
+LINES = {"grasp": ("fx_grasp_lines", "len(f) < 71", 11, 25, None), "phewas": ("fx_phewas_lines", "len(f) < 10", 5, 4, 6), "gwas_db": ("fx_gwasdb_lines", "len(f) < 7", 4, None, None), "neale_ukb": ("fx_ukb_lines", "len(f) <> 10", 4, None, None)}
+CUT = "SELECT CASE WHEN value LIKE '%7%RAIL%' THEN substring(value, 1, 10) ELSE value END AS value FROM {{{0}}}"
+
+
+def _outcome_sql(kind: str) -> str:
+    lines, short, p, size, odds = LINES[kind]
+    more = "".join(f" WHEN TRY_CAST(f[{i}] AS {t}) IS NULL THEN '{r}'" for i, t, r in ((size, "BIGINT", "sample size"), (odds, "DOUBLE", "odds ratio")) if i)
+    return f"SELECT '{kind}' AS source, CASE WHEN {short} THEN 'fields' WHEN TRY_CAST(f[{p}] AS DOUBLE) IS NULL THEN 'p value'{more} ELSE 'accepted' END AS reason FROM (SELECT string_split(value, chr(9)) AS f FROM ({CUT.format(lines)}) c) s"
+
+
+@query("split_lines", "SELECT source, reason, count(*) AS n, sum(count(*)) OVER (PARTITION BY source) AS n_read FROM (" + " UNION ALL ".join(map(_outcome_sql, LINES)) + ") x GROUP BY source, reason")
+def _split(s, d):
+    """Lines taken and left out by source and reason; with the lines read, as counted in the pass."""
+    every = None
+    for kind, (lines, *_) in LINES.items():
+        got = rejects.split_lines(sql(s, d, CUT.format(lines)), kind)
+        rows = got.rejected.select("source", "reason").unionByName(got.accepted.select(F.lit(kind).alias("source"), F.lit("accepted").alias("reason")))
+        rows = rows.groupBy("source", "reason").agg(F.count("*").alias("n")).withColumn("n_read", F.lit(got.counts["read"]))
+        every = rows if every is None else every.unionByName(rows)
+    return every
