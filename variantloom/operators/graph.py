@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,17 +60,49 @@ def expand_terms(edges: DataFrame, terms: DataFrame) -> DataFrame:
     return terms.select("node").unionByName(descendants(edges, terms).select("node")).distinct()
 
 
-def greedy_pairs(pairs: DataFrame) -> DataFrame:
-    """Pairs (a, b, place) -> the pairs taken when they are visited in the order of place and each node is used once.
+def _walk(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Lists of ends, in order of place -> whether each pair is taken."""
+    out = []
+    for x, y in zip(a, b, strict=True):
+        used, taken = set(), []
+        for u, v in zip(x, y, strict=True):
+            free = u not in used and v not in used
+            taken.append(free)
+            if free:
+                used |= {u, v}
+        out.append(taken)
+    return pd.Series(out)
 
-    Each round takes the pairs that are first at both of their ends, and drops all others at those ends."""
-    left, taken = stored(pairs.select("a", "b", "place"), "pairs"), None
+
+def greedy_pairs(pairs: DataFrame, most: int = 20_000, rounds: int = 10) -> DataFrame:
+    """Pairs (a, b, place) -> the pairs taken when they are visited in the order of place (then a, b) and each node is used
+    once. Pairs with a null end are never taken; of repeated rows one is.
+
+    What is taken in one connected component does not bear on another. Components of up to `most` pairs are visited one
+    after the other within a task, all in one pass. Larger ones, which no task holds, first lose the pairs that are first
+    at both of their ends, and all others at those ends, for some rounds; what is left falls into components again. Only
+    one component of more than `most` pairs in which each waits for the one before needs rounds by its length."""
+    order = F.struct("place", "a", "b")
+    left, taken = stored(pairs.select("a", "b", "place").where("a is not null and b is not null").distinct(), "pairs"), None
     while left.limit(1).count():
-        ends = left.select(F.explode(F.array("a", "b")).alias("node"), "place").groupBy("node").agg(F.min("place").alias("first"))
-        ea, eb = ends.select(F.col("node").alias("a"), F.col("first").alias("fa")), ends.select(F.col("node").alias("b"), F.col("first").alias("fb"))
-        now = stored(left.join(ea, "a").join(eb, "b").where("place = fa and place = fb").select("a", "b", "place"), "pairs")
-        used = now.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        ua, ub = used.withColumnRenamed("node", "a"), used.withColumnRenamed("node", "b")
-        left = stored(left.join(ua, "a", "left_anti").join(ub, "b", "left_anti").select("a", "b", "place"), "pairs")
+        label = components(left, "ties").withColumnRenamed("node", "a")
+        labelled = left.join(label, "a", "left").withColumn("label", F.coalesce("label", "a"))
+        sizes = stored(labelled.groupBy("label").agg(F.count("*").alias("n")), "sizes")
+        large = sizes.where(F.col("n") > most).select("label")
+        labelled = stored(labelled, "pairs")
+        whole = labelled.join(large, "label", "left_anti").groupBy("label").agg(F.sort_array(F.collect_list(order)).alias("p"))
+        visit = F.pandas_udf(_walk, "array<boolean>")
+        seen = whole.select("p", visit("p.a", "p.b").alias("t")).select(F.explode(F.arrays_zip("p", "t")).alias("x")).where("x.t")
+        now = stored(seen.select("x.p.a", "x.p.b", "x.p.place"), "pairs")
         taken = now if taken is None else taken.unionByName(now)
+        left = labelled.join(large, "label", "left_semi").select("a", "b", "place")
+        for _ in range(rounds):
+            if not large.limit(1).count() or not left.limit(1).count():
+                break
+            ends = left.select(F.explode(F.array("a", "b")).alias("node"), order.alias("o")).groupBy("node").agg(F.min("o").alias("first"))
+            ea, eb = ends.select(F.col("node").alias("a"), F.col("first").alias("fa")), ends.select(F.col("node").alias("b"), F.col("first").alias("fb"))
+            now = stored(left.withColumn("o", order).join(ea, "a").join(eb, "b").where("o = fa and o = fb").select("a", "b", "place"), "pairs")
+            used = now.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            left = stored(left.join(used.withColumnRenamed("node", "a"), "a", "left_anti").join(used.withColumnRenamed("node", "b"), "b", "left_anti").select("a", "b", "place"), "pairs")
+            taken = taken.unionByName(now)
     return left if taken is None else taken
