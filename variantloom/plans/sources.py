@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from ..functions.tables import run_dir
 from ..operators import prep
 from ..sources import panel, readers, rejects
 from .base import F, query, rounded, sql, vcf_lines, view
@@ -225,3 +228,11 @@ def _split(s, d):
         rows = rows.groupBy("source", "reason").agg(F.count("*").alias("n")).withColumn("n_read", F.lit(got.counts["read"]))
         every = rows if every is None else every.unionByName(rows)
     return every
+
+
+@query("write_json", "SELECT rsid, chrom, pos, CASE WHEN k % 3 = 0 THEN NULL ELSE 'a \"quoted\" name ' || rsid END AS note FROM {fx_snp}")
+def _json(s, d):
+    """Rows written as JSON lines and read again; null fields are left out of a line."""
+    path = f"{run_dir(s)}/json-{uuid.uuid4().hex}"
+    readers.write_json(sql(s, d, "SELECT rsid, chrom, pos, CASE WHEN k % 3 = 0 THEN NULL ELSE 'a \"quoted\" name ' || rsid END AS note FROM {fx_snp}"), path)
+    return s.read.schema("rsid string, chrom string, pos bigint, note string").json(path)
