@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from variantloom.operators import ld, tiles
+from variantloom.operators import finemap, ld, report, tiles
 from variantloom.plans import base
 from variantloom.sources import panel
 
@@ -62,3 +62,28 @@ def test_ld_to_top_joins_calls_for_far_members_only(spark, monkeypatch, metric):
         joined.clear()
         rows = ld.ld_to_top(m, t, packed, metric, reach=reach).collect()
         assert len(rows) == len(want) and {(r.cluster_id, r.rsid): pytest.approx(r.ld) for r in rows} == want and joined == [far]
+
+
+def test_colocalise_singles_like_all_rows(spark):
+    """The same as with a row for each member from the start; extreme z scores too."""
+    rng = np.random.default_rng(7)
+    m = spark.createDataFrame([(c, f"{c}{k}", float(rng.normal()), 0.1) for c, size in (("a", 12), ("b", 5), ("c", 1)) for k in range(size)], "cluster_id string, rsid string, z double, beta double")
+    rows = [(f"g{g}", t, f"{c}{k}", float(z)) for g in range(4) for t in "xy" for c in "ab" for k, z in ((g, 2.5 * g), (g + 1, -60.0 if t == "x" else 0.3)) if (g, t) != (3, "y")]
+    index = spark.createDataFrame([*rows, ("g9", "x", "c0", 1.0), ("g9", "y", "b2", None), ("g9", "y", "off", 1.0)], "gene_id string, tissue string, rsid string, z double")
+    gwas = finemap.posterior(finemap.configurations(m, None, 1000, 1))
+    key = lambda r: (r.cluster_id, r.gene_id, r.tissue, tuple(r.snps))
+    want = {key(r): r for r in finemap.colocalise(gwas, finemap.eqtl_configurations(m, index)).collect()}
+    got = finemap.colocalise_singles(gwas, index).collect()
+    assert len(got) == len(want) == 7 * 12 + 8 * 5 + 1
+    for r in got:
+        w = want[key(r)]
+        assert (r.p1, r.p2, r.joint, r.clpp) == pytest.approx((w.p1, w.p2, w.joint, w.clpp))
+    assert finemap.colocalise_singles(gwas, index.limit(0)).collect() == []
+
+
+def test_best_tissue_sorts_a_row_a_tissue(spark):
+    rows = spark.createDataFrame([("g", "c", f"rs{k}", t, x) for k in range(50) for t, x in (("AF", 0.25), ("NO", 0.25), ("RO", 0.125))], "gene_id string, cluster string, rsid string, tissue string, clpp_cluster double")
+    best = report.best_tissue(rows)
+    assert [tuple(r) for r in best.collect()] == [("g", "c", "NO", 0.25)]
+    plan = best._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 2  # the rows of a tissue become one before they are sorted
