@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from variantloom.operators import finemap, ld, report, tiles
+from variantloom.operators import checks, finemap, ld, report, tiles
 from variantloom.plans import base
 from variantloom.sources import panel
 
@@ -87,3 +87,12 @@ def test_best_tissue_sorts_a_row_a_tissue(spark):
     assert [tuple(r) for r in best.collect()] == [("g", "c", "NO", 0.25)]
     plan = best._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 2  # the rows of a tissue become one before they are sorted
+
+
+def test_checks_count_rows_that_stand_for_several(spark):
+    rows = spark.createDataFrame([("x1", "99", 3), ("ENSG1", "1", 5), ("x0", "99", 4)], "gene string, chrom string, n long")
+    bad = {"gene": checks.matches("gene", checks.GENE_ID)}
+    assert tuple(checks.run_checks(rows, bad, "n").first())[1:] == (7, "x0") and tuple(checks.run_checks(rows, bad).first())[1:] == (2, "x0")
+    assert tuple(checks.run_checks(rows.limit(0), bad, "n").first())[1:] == (0, None)
+    assert [tuple(r) for r in checks.invalid_values(rows, "chrom", count="n").collect()] == [("99", 7)]
+    assert [tuple(r) for r in checks.invalid_values(rows, "chrom").collect()] == [("99", 2)]
