@@ -1,7 +1,9 @@
 import hashlib
 import random
 import string
+import tempfile
 from collections import defaultdict
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -69,3 +71,13 @@ def test_a_later_call_reads_new_files_only(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     written(spark, [], f"{tmp_path}/docs")
     assert exact.deduplicate(spark, f"{tmp_path}/docs").collect() == []
+
+
+def test_a_store_of_few_rows_takes_little_disk(spark, tmp_path):
+    logs = lambda: set(Path(spark.conf.get("spark.local.dir", tempfile.gettempdir())).glob("spark-*/StateStoreId*/**/MANIFEST-*"))
+    before = logs()
+    written(spark, [(i, f"t{i % 5}") for i in range(20)], f"{tmp_path}/docs")
+    assert exact.deduplicate(spark, f"{tmp_path}/docs").where("kept").count() == 5
+    made = logs() - before
+    assert made
+    assert max(f.stat().st_blocks * 512 for f in made) < 100_000  # 4 MB were reserved for each

@@ -51,12 +51,15 @@ def fingerprint_stream(spark: SparkSession, path: str, folder: str, bytes_per_ba
 def state_stream(prints: DataFrame, folder: str, bytes_per_batch: int) -> DataFrame:
     """Feeds the fingerprints that are new since the last call to the state, which no watermark empties: for each digest
     the largest doc_id with file and row of its text, and the number of rows. Tasks combine their rows of a digest before
-    they send them, so a digest of many rows costs one a task. State is kept by RocksDB and backed up in `folder`."""
+    they send them, so a digest of many rows costs one a task. State is kept by RocksDB and backed up in `folder`. RocksDB
+    would reserve 4 MB of disk for the log of each partition's store, however small; the session is told not to, and the
+    setting stays, as the state is read later."""
     spark = prints.sparkSession
     source = spark.readStream.schema(prints.schema).option("maxBytesPerTrigger", bytes_per_batch).parquet(f"{folder}/prints")
     held = source.groupBy("digest").agg(F.max(F.struct("doc_id", "file", "row")).alias("keep"), F.count("*").alias("n"))
     name = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(name)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     spark.conf.set(name, ROCKS)
     try:
         _drained(held.writeStream.outputMode("update").format("noop").option("checkpointLocation", f"{folder}/state"))
