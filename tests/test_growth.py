@@ -23,3 +23,14 @@ def test_vep_rows_come_from_bins(spark, name):
     want = base.view(spark, SF, "fx_vep")
     got = base.vep(spark, SF)
     assert got.columns == want.columns and got.exceptAll(want).count() == want.exceptAll(got).count() == 0 < want.count()
+
+
+def test_figures_are_rounded_before_snps_meet_their_genes(spark):
+    ld = spark.createDataFrame([("c", "a", 0.8123456789), ("c", "b", 1.0)], "cluster_id string, rsid string, ld double")
+    top = spark.createDataFrame([("c", 1e-9)], "cluster_id string, pvalue double")
+    v2g = spark.createDataFrame([(r, f"g{i}", i / 7) for r in "ab" for i in range(3)], "rsid string, gene_id string, score double")
+    plain = [tuple(x) for x in output.cluster_genes(ld, top, v2g).collect()]
+    df = output.cluster_genes(ld, top, v2g, 6)
+    assert sorted(tuple(x) for x in df.collect()) == sorted((*p[:3], *(pytest.approx(x, abs=1e-6) for x in p[3:])) for p in plain)
+    assert all(round(x, 6) == x for r in df.collect() for x in r[3:])
+    assert optimized(QUERIES["cluster_genes"](spark, SF)).split("Join")[0].count("round(") == 1
