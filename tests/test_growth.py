@@ -25,6 +25,26 @@ def test_vep_rows_come_from_bins(spark, name):
     assert got.columns == want.columns and got.exceptAll(want).count() == want.exceptAll(got).count() == 0 < want.count()
 
 
+@pytest.mark.parametrize("k", [2, 3, 4])
+def test_sets_are_scored_from_one_decomposition(monkeypatch, k):
+    rng = np.random.default_rng(k)
+    x = rng.normal(size=(400, k, 6))
+    x /= np.linalg.norm(x, axis=2, keepdims=True)
+    cov = x @ x.transpose(0, 2, 1)
+    cov[::7] *= 0.2
+    cov[1::50, 0, 1] = cov[1::50, 1, 0] = 0.95
+    cov[:, range(k), range(k)] = 1.0
+    z, beta = rng.normal(0, 3, (400, k)), rng.normal(0, 0.3, (400, k))
+    want = []
+    for c, zz, b in zip(cov, z, beta, strict=True):
+        full = np.block([[np.ones((1, 1)), b[None] * np.sqrt(0.5)], [b[:, None] * np.sqrt(0.5), c]])
+        left_out = np.abs(np.tril(c, -1)).max() > 0.9 or np.linalg.eigvalsh(full).min() <= 0.1
+        want.append(0.0 if left_out else -0.5 * np.linalg.slogdet(np.eye(k) + 2.5 * c)[1] + 0.5 * zz @ np.linalg.pinv(np.eye(k) / 2.5 + c, 1e-4) @ zz)
+    monkeypatch.setattr(finemap.np.linalg, "pinv", lambda *a: pytest.fail("a singular value decomposition a set"))
+    got = finemap.set_log_bfs(z, beta, cov, 1000, 0.0025)
+    assert got == pytest.approx(np.array(want)) and 0 < np.count_nonzero(got) < 400
+
+
 def test_figures_are_rounded_before_snps_meet_their_genes(spark):
     ld = spark.createDataFrame([("c", "a", 0.8123456789), ("c", "b", 1.0)], "cluster_id string, rsid string, ld double")
     top = spark.createDataFrame([("c", 1e-9)], "cluster_id string, pvalue double")
