@@ -25,6 +25,22 @@ def test_vep_rows_come_from_bins(spark, name):
     assert got.columns == want.columns and got.exceptAll(want).count() == want.exceptAll(got).count() == 0 < want.count()
 
 
+@pytest.mark.parametrize("parse,lines", [(readers.parse_grasp, "fx_grasp_lines"), (readers.parse_phewas, "fx_phewas_lines"), (readers.parse_gwas_db, "fx_gwasdb_lines"), (readers.parse_neale_ukb, "fx_ukb_lines")])
+def test_a_line_is_split_once(spark, parse, lines):
+    assert optimized(parse(base.view(spark, SF, lines))).count("rtrim(") == 1
+
+
+@pytest.mark.parametrize("kind", ["grasp", "phewas", "gwas_db", "neale_ukb"])
+def test_the_reason_of_a_line_splits_it_once(spark, kind, monkeypatch):
+    seen = []
+    monkeypatch.setattr(rejects, "reason", lambda k, plain=rejects.reason: seen.append(plain(k)) or seen[-1])
+    lines = spark.createDataFrame([("a\tb",), (None,), ("",)], "value string")
+    got = rejects.split_lines(lines, kind)
+    assert len(seen) == 1 and "split(" not in str(seen[0])
+    assert got.counts == {"read": 3, "accepted": 0, "rejected": 3}
+    assert sorted((r.line or "", r.reason) for r in got.rejected.collect()) == [("", "fields"), ("", "no line"), ("a\tb", "fields")]
+
+
 @pytest.mark.parametrize("k", [2, 3, 4])
 def test_sets_are_scored_from_one_decomposition(monkeypatch, k):
     rng = np.random.default_rng(k)

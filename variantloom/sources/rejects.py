@@ -11,19 +11,16 @@ from pyspark.sql import functions as F
 from ..functions.tables import run_dir
 from . import readers
 
-_FIELDS = "split(rtrim(value), '\t')"
-
-
 def _missing(i: int, kind: str = "double") -> str:
-    return f"try_cast(get({_FIELDS}, {i}) AS {kind}) IS NULL"
+    return f"try_cast(get(f, {i}) AS {kind}) IS NULL"
 
 
-#: For each format its parser and, in order, what makes it leave a line out: (reason, condition).
+#: For each format its parser and, in order, what makes it leave a line out: (reason, condition on value and its fields f).
 FORMATS = {
-    "grasp": (readers.parse_grasp, [("fields", f"size({_FIELDS}) < 71"), ("p value", _missing(10)), ("sample size", _missing(24, "bigint"))]),
-    "phewas": (readers.parse_phewas, [("fields", f"size({_FIELDS}) < 10"), ("p value", _missing(4)), ("sample size", _missing(3, "bigint")), ("odds ratio", _missing(5))]),
-    "gwas_db": (readers.parse_gwas_db, [("fields", f"size({_FIELDS}) < 7"), ("p value", _missing(3))]),
-    "neale_ukb": (readers.parse_neale_ukb, [("fields", f"size({_FIELDS}) <> 10"), ("p value", _missing(3))]),
+    "grasp": (readers.parse_grasp, [("fields", f"size(f) < 71"), ("p value", _missing(10)), ("sample size", _missing(24, "bigint"))]),
+    "phewas": (readers.parse_phewas, [("fields", f"size(f) < 10"), ("p value", _missing(4)), ("sample size", _missing(3, "bigint")), ("odds ratio", _missing(5))]),
+    "gwas_db": (readers.parse_gwas_db, [("fields", f"size(f) < 7"), ("p value", _missing(3))]),
+    "neale_ukb": (readers.parse_neale_ukb, [("fields", f"size(f) <> 10"), ("p value", _missing(3))]),
     "gwas_catalog": (readers.flatten_gwas_catalog, [("JSON", f"try_parse_json(value) IS NULL OR from_json(value, '{readers.CATALOG}', map('mode', 'PERMISSIVE')) IS NULL"),
                                                     ("SNP", f"NOT coalesce(exists(from_json(value, '{readers.CATALOG}').snps, x -> contains(x.rsId, 'rs')), false)")]),
     **{f"bed_{layout}": (lambda lines, layout=layout: readers.parse_bed(lines, layout), [("fields", "size(split(value, '\t')) < 3"), ("start", "try_cast(get(split(value, '\t'), 1) AS bigint) IS NULL"),
@@ -40,7 +37,7 @@ class Outcome(NamedTuple):
 
 
 def reason(kind: str) -> Column:
-    """Why a line (`value`) of this format is left out: the first of its reasons, null if it is taken."""
+    """Why a line (`value`, with its fields f) of this format is left out: the first of its reasons, null if it is taken."""
     found = F.when(F.col("value").isNull(), F.lit("no line"))
     for name, test in FORMATS[kind][1]:
         found = found.when(F.expr(test), F.lit(name))
@@ -56,7 +53,7 @@ def split_lines(lines: DataFrame, kind: str, source: str | None = None) -> Outco
     rejects. Null lines have the reason `no line`. source is the format's name by default.
     """
     spark, seen = lines.sparkSession, Observation()
-    judged = lines.select("value", reason(kind).alias("reason")).withColumn("taken", F.col("reason").isNull())
+    judged = readers.fields(lines, "value").select("value", F.explode(F.array(reason(kind))).alias("reason")).withColumn("taken", F.col("reason").isNull())
     path = f"{run_dir(spark)}/lines-{uuid.uuid4().hex}"
     counted = judged.observe(seen, F.count("*").alias("read"), F.count_if("taken").alias("accepted"), F.count_if(~F.col("taken")).alias("rejected"))
     counted.write.option("compression", "zstd").partitionBy("taken").parquet(path)
