@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pytest
 
-from variantloom.operators import finemap, output
+from variantloom.operators import evidence, finemap, output
 from variantloom.plans import QUERIES, base
 from variantloom.sources import readers, rejects
 
@@ -70,3 +70,15 @@ def test_figures_are_rounded_before_snps_meet_their_genes(spark):
     assert sorted(tuple(x) for x in df.collect()) == sorted((*p[:3], *(pytest.approx(x, abs=1e-6) for x in p[3:])) for p in plain)
     assert all(round(x, 6) == x for r in df.collect() for x in r[3:])
     assert optimized(QUERIES["cluster_genes"](spark, SF)).split("Join")[0].count("round(") == 1
+
+
+def dealt_once(df, parts):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning") == 1 and f", {parts}), REPARTITION_BY_NUM" in plan
+
+
+def test_tissue_columns_are_dealt_once(spark):
+    rows = [("g", "x", "rs1", 0.25, 1.0), ("g", "x", "rs1", 0.5, 0.0), ("g", "y", "rs1", 0.125, 0.0), ("h", "z", "rs1", 1.0, 0.0), ("h", "off", "rs2", 0.5, 0.0), ("h", "y", "rs2", None, 0.0)]
+    got = evidence.tissue_columns(evidence.eqtl_index(spark.createDataFrame(rows, "gene_id string, tissue string, rsid string, pvalue double, beta double")), ["x", "y", "z"])
+    assert dealt_once(got, spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(tuple(r) for r in got.collect()) == [("g", "rs1", 0.5, 0.875, 0.0), ("h", "rs1", 0.0, 0.0, 0.0), ("h", "rs2", 0.0, 0.0, 0.0)]
