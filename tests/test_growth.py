@@ -82,3 +82,10 @@ def test_tissue_columns_are_dealt_once(spark):
     got = evidence.tissue_columns(evidence.eqtl_index(spark.createDataFrame(rows, "gene_id string, tissue string, rsid string, pvalue double, beta double")), ["x", "y", "z"])
     assert dealt_once(got, spark.conf.get("spark.sql.shuffle.partitions"))
     assert sorted(tuple(r) for r in got.collect()) == [("g", "rs1", 0.5, 0.875, 0.0), ("h", "rs1", 0.0, 0.0, 0.0), ("h", "rs2", 0.0, 0.0, 0.0)]
+
+
+def test_evidence_without_gtex_is_dealt_once(spark):
+    rows = [("a", "g", "GTEx", 0.5), ("a", "g", "GTEx", 0.7), ("b", "g", "GTEx", 0.5), ("b", "g", "PCHiC", 6.0), ("b", "g", "PCHiC", 6.0), ("c", "h", "Nearest", None)]
+    got = evidence.drop_gtex(spark.createDataFrame(rows, "rsid string, gene_id string, source string, score double"))
+    assert dealt_once(got, spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(map(tuple, got.collect())) == [("a", "g", "none", 0.0), ("b", "g", "PCHiC", 6.0), ("b", "g", "PCHiC", 6.0), ("c", "h", "Nearest", None)]
