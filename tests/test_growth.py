@@ -4,7 +4,9 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from variantloom.functions import scoring
 from variantloom.operators import evidence, finemap, output
 from variantloom.plans import QUERIES, base
 from variantloom.sources import readers, rejects
@@ -89,3 +91,39 @@ def test_evidence_without_gtex_is_dealt_once(spark):
     got = evidence.drop_gtex(spark.createDataFrame(rows, "rsid string, gene_id string, source string, score double"))
     assert dealt_once(got, spark.conf.get("spark.sql.shuffle.partitions"))
     assert sorted(map(tuple, got.collect())) == [("a", "g", "none", 0.0), ("b", "g", "PCHiC", 6.0), ("b", "g", "PCHiC", 6.0), ("c", "h", "Nearest", None)]
+
+
+def test_rows_of_single_snps_are_grouped_once_and_not_sent_again(spark, capsys):
+    plan = QUERIES["snp_output"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan and "Exchange hashpartitioning" not in plan[:plan.index("Union")]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        QUERIES["snp_output"](spark, SF).explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(-?\d+)", capsys.readouterr().out)]
+    assert sizes and 0 < min(sizes) and max(sizes) < 8000  # the JVM only interprets longer methods
+
+
+def test_single_snps_with_and_without_notes(spark):
+    table = lambda rows, kinds: spark.createDataFrame(rows, kinds)
+    figures = ", ".join(f"{c} double" for c in ("score", *evidence.CIS_SOURCES, *evidence.REG_SOURCES))
+    scores = table([("a", "g", *[1 / 3] * 10), ("a", "h", *[0.0] * 10), ("b", "g", *[0.5] * 10), ("off", "g", *[0.5] * 10)], f"rsid string, gene_id string, {figures}")
+    snps = table([("a", "1", 5), ("a", "1", 5), ("b", "1", 7), ("c", "1", 8), ("off", "odd", 9)], "rsid string, chrom string, pos long")
+    genes = table([(g, g.upper(), "1", 1) for g in "ghi"], "gene_id string, name string, chrom string, tss long")
+    eqtl = table([("g", "x", "a", 1 / 7), ("g", "y", "a", 1.0), ("i", "x", "a", 0.5), ("h", "other", "a", 0.25), ("g", "x", "c", 0.5)], "gene_id string, tissue string, rsid string, pvalue double")
+    mafs = table([("a", {"eur": 0.25})], "rsid string, mafs map<string,double>")
+    terms = table([("a", "g", "t1,t2"), ("a", "i", "t3")], "rsid string, gene_id string, vep_terms string")
+    vep = table([("a", "g", 1, 0.1234567, 0.5)], "rsid string, gene_id string, VEP_count long, VEP_sum double, VEP_mean double")
+    for most in (0, 10):
+        got = output.snp_output(snps, scores, genes, eqtl, mafs, terms, vep, snps.distinct(), genes.select("gene_id", "chrom", "tss"), ["x", "y"], max_broadcast=most, places=6)
+        rows = [(r.snp_rsID, r.gene_id, r.eur, r.afr, r.score, r.GERP, r.vep_terms, r.vep_sum, r.vep_mean, r.GTEx_x, r.GTEx_y) for r in got.collect()]
+        assert sorted(rows) == [("a", "g", 0.25, None, 0.333333, 0.333333, "t1,t2", 0.123457, 0.5, 0.857143, 0.0), ("a", "h", 0.25, None, 0.0, 0.0, "N/A", 0.0, 0.0, 0.0, 0.0), ("b", "g", None, None, 0.5, 0.5, "N/A", 0.0, 0.0, 0.0, 0.0)]
+
+
+def test_half_up_is_round(spark):
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.normal(size=3000) * 10.0 ** rng.integers(-9, 14, 3000), np.arange(-500, 500) / 2e6, np.arange(-500, 500) * 1e-7, [0.0, -0.0, 1e300, np.inf, -np.inf, 2.0**40 / 1e6, 4.5e9 + 1e-6]])
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,), (float("nan"),)], "x double")
+    got = df.select(scoring.half_up(df["x"], 6).alias("a"), F.round("x", 6).alias("b"))
+    assert got.where("not (a <=> b) or cast(a as string) <> cast(b as string)").count() == 0
