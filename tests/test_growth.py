@@ -127,3 +127,20 @@ def test_half_up_is_round(spark):
     df = spark.createDataFrame([(float(v),) for v in x] + [(None,), (float("nan"),)], "x double")
     got = df.select(scoring.half_up(df["x"], 6).alias("a"), F.round("x", 6).alias("b"))
     assert got.where("not (a <=> b) or cast(a as string) <> cast(b as string)").count() == 0
+
+
+def test_priors_of_sets_keep_the_number_of_partitions(spark):
+    c = spark.createDataFrame([("c", [f"r{i}"], -1.0) for i in range(4)] + [("c", ["r0", "r2"], -2.0), ("d", ["r0"], -0.5)], "cluster_id string, snps array<string>, log_prior double")
+    m = spark.createDataFrame([("c", f"r{i}") for i in range(4)] + [("d", "r0")], "cluster_id string, rsid string")
+    notes = spark.createDataFrame([("r0", 1), ("r3", None)], "rsid string, DHS int")
+    df = finemap.log_prior_annotation(c, notes, {"DHS": 1.5}, m)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    sent = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "snps#" in line]
+    assert sent and all("REPARTITION_BY_NUM" in line for line in sent)  # neither combined in the task of one file nor merged
+    pi = {"c": (4 * np.exp(-1.0) + np.exp(-2.0)) / 5, "d": np.exp(-0.5)}
+    p = lambda k, r: 1 / (1 + np.exp(-(np.log(pi[k] / (1 - pi[k])) + (1.5 if r == "r0" else 0))))
+    of = {"c": [f"r{i}" for i in range(4)], "d": ["r0"]}
+    got = df.collect()
+    assert len(got) == 6 and df.columns == ["cluster_id", "snps", "log_prior"]
+    for k, snps, value in got:
+        assert value == pytest.approx(sum(np.log(p(k, r)) if r in snps else np.log(1 - p(k, r)) for r in of[k]))
