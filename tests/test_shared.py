@@ -65,3 +65,24 @@ def test_ld_filter_takes_pairs_in_either_order(spark):
     rows = spark.createDataFrame([("a", "b"), ("b", "a"), ("c", "c"), ("a", None), (None, "a"), (None, None), ("b", "c")], "rsid string, gwas_rsid string")
     known = spark.createDataFrame([("b", "a", 0.7), ("a", "b", 0.9), ("a", "a", 1.0), (None, "a", 1.0), ("c", "b", 0.6)], "rsid_a string, rsid_b string, r2 double")
     assert sorted(map(tuple, filters.ld_filter(rows, known).select("rsid", "gwas_rsid", "r2").collect())) == [("a", "b", 0.9), ("b", "a", 0.9), ("c", "c", 1.0)]
+
+
+@pytest.mark.parametrize(("name", "most", "where", "maker"), [
+    ("packed_panel", 69 * 8, "panel", "packed_panel"), ("panel_common", 69 * 8, "panel", "packed_panel"), ("read_genotypes", 69 * 4, "readers", "parse_vcf"), ("filter_common_biallelic", 69 * 2 * 100, "prep", "filter_common_biallelic")])
+def test_sites_with_the_same_calls_are_read_once(spark, monkeypatch, name, most, where, maker):
+    from variantloom.operators import prep
+    from variantloom.sources import panel, readers
+
+    module = {"panel": panel, "readers": readers, "prep": prep}[where]
+    plain, seen = getattr(module, maker), []
+    monkeypatch.setattr(module, maker, lambda rows: seen.append(rows.count()) or plain(rows))
+    sites = plans.QUERIES[name](spark, "/root/testdata/sf0.01").select("rsid").distinct().count()
+    assert sum(seen) <= most and sites > 600
+
+
+def test_odd_calls_are_read_as_before(spark):
+    from variantloom.sources import readers
+
+    calls = ["0|0", "0/1", "1|0:35", "1/1:9:x", "./.", "0|2", "2", "", "1|1|1", "0:1|1", "1/0\r", "|", "01", "0|1 ", " 0|1"]
+    lines = spark.createDataFrame([("\t".join(["1", "5", "rs1", "A", "C", ".", ".", ".", "GT", *calls]),)], "value string")
+    assert {r.sample_no: r.dosage for r in readers.parse_vcf(lines).collect()} == {0: 0, 1: 1, 2: 1, 3: 2, 10: 1}
